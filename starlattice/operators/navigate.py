@@ -198,7 +198,8 @@ def pivot(wh: Warehouse, spec: Pivot) -> DataFrame:
     if not spec.rows:
         main = spec.measures[0]
         grand = grid.agg(total(main, ROW_TOTAL, of=MEASURES[spec.cube][main])).scalar()
-        return grid.withColumn(ROW_TOTAL, grand).orderBy(*result_order(spec))
+        with_total = grid.withColumn(ROW_TOTAL, grand)
+        return with_total.orderBy(*result_order(spec)) if spec.columns else with_total
     totals = row_totals(wh, spec)
     if spec.page is not None:
         if spec.page_size > MAX_PAGE_SIZE:
@@ -293,7 +294,9 @@ def inventory_query(
     group_by, columns = tuple(group_by), tuple(columns)
     if group_by:
         return answer(wh, "inventory", group_by, filters).orderBy(*sort_columns(group_by))
-    cuboid = choose("inventory", columns, filters)
+    cuboid = choose("inventory", [c for c in columns if c not in MEASURES["inventory"]], filters)
+    if cuboid is None:
+        raise ValueError(f"no cuboid has the columns {columns}")
     rows = wh.cuboid(cuboid.name).where(equals_all(filters))
     return rows.select(*columns) if columns else rows
 

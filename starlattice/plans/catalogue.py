@@ -1,6 +1,11 @@
 """All registered queries and their check SQL."""
 
-from starlattice.plans import cuboid_queries, load_queries  # noqa: F401
+from starlattice.plans import (  # noqa: F401
+    cuboid_queries,
+    dashboard_queries,
+    load_queries,
+    navigation_queries,
+)
 from starlattice.plans.registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]
