@@ -134,10 +134,9 @@ def customer_attributes(star: Star, attributes: Iterable[str]) -> DataFrame:
     return customers.select("customer_key", *attributes)
 
 
-def store_attributes(star: Star) -> DataFrame:
-    return (
-        star.table("dim_store").join(located(star), "location_key").select("store_key", "city", "state")
-    )
+def store_attributes(star: Star, attributes: Iterable[str]) -> DataFrame:
+    """Stores that have a location, with some of its columns."""
+    return star.table("dim_store").join(located(star), "location_key").select("store_key", *attributes)
 
 
 def located(star: Star) -> DataFrame:
@@ -188,55 +187,49 @@ def sales_rollup(star: Star, columns: Iterable[str]) -> DataFrame:
 # --- inventory --------------------------------------------------------------
 
 
-def stock_rows(star: Star) -> DataFrame:
-    """Stock facts whose month and store exist, with time and place columns.
-
-    The place columns are joined by store key; a store that holds very many
-    stock rows is split by adaptive skew-join handling when the stores are too
-    many to broadcast.
-    """
-    stores = store_attributes(star)
-    if star.is_small("dim_store"):
-        stores = F.broadcast(stores)
-    return with_time(star.table("fact_inventory"), star, ALL_TIME_COLUMNS).join(stores, "store_key")
-
-
-def latest_stock(stock: DataFrame, time: Iterable[str], quantity: str, order: str) -> DataFrame:
+def latest_stock(
+    stock: DataFrame, time: Iterable[str], quantity: str, order: str, place: Iterable[str] = ()
+) -> DataFrame:
     """The newest quantity of each product and store inside each time group.
 
     `max_by` folds months on the map side, so no task holds a product's or a
-    store's whole history.
+    store's whole history. `place` columns depend on the store and only ride along.
     """
-    return stock.groupBy("product_key", "store_key", "city", "state", *time).agg(
+    return stock.groupBy("product_key", "store_key", *place, *time).agg(
         F.max_by(quantity, order).cast(QUANTITY_TOTAL).alias("total_quantity_on_hand")
     )
 
 
 def inventory_rollup(star: Star, columns: Iterable[str]) -> DataFrame:
-    """Latest stock summed by any set of time, product and store columns."""
+    """Latest stock summed by any set of time, product and store columns.
+
+    The snapshot is taken on keys alone and the place of each store is looked
+    up afterwards. With too many stores to broadcast, quantities are summed
+    per store first where that shrinks them; a store that still holds very
+    many rows is split by adaptive skew-join handling.
+    """
     columns = tuple(columns)
     measures = tuple(MEASURES["inventory"])
     time = [c for c in ALL_TIME_COLUMNS if c in columns]
-    if star.is_small("dim_store"):
-        latest = _latest_from_fact(stock_rows(star), time)
-    else:
-        # Snapshot first and sum per store, then fetch the place columns once per store group.
-        months = with_time(star.table("fact_inventory"), star, ALL_TIME_COLUMNS)
-        keyed = months.groupBy("product_key", "store_key", *time).agg(
-            F.max_by("quantity_on_hand", "time_key").cast(QUANTITY_TOTAL).alias("total_quantity_on_hand")
-        )
-        keys = [c for c in columns if c not in ("city", "state", "store_key")] + ["store_key"]
-        latest = sums(keyed, keys, measures).join(store_attributes(star), "store_key")
-    if {"product_key", "store_key"} <= set(columns):
-        return latest.select(*columns, *measures)
-    return sums(latest, columns, measures)
-
-
-def _latest_from_fact(stock: DataFrame, time: list[str]) -> DataFrame:
+    place = [c for c in ("city", "state") if c in columns]
+
+    stock = with_time(star.table("fact_inventory"), star, time)
     if set(time) == set(ALL_TIME_COLUMNS):
         # The fact has one row per month, store and product: every row is the latest of its month.
-        return stock.withColumn("total_quantity_on_hand", F.col("quantity_on_hand").cast(QUANTITY_TOTAL))
-    return latest_stock(stock, time, "quantity_on_hand", "time_key")
+        latest = stock.withColumn("total_quantity_on_hand", F.col("quantity_on_hand").cast(QUANTITY_TOTAL))
+    else:
+        latest = latest_stock(stock, time, "quantity_on_hand", "time_key")
+
+    stores = store_attributes(star, place)
+    one_row_per_group = {"product_key", "store_key"} <= set(columns)
+    if star.is_small("dim_store"):
+        stores = F.broadcast(stores)
+    elif "product_key" not in columns:
+        latest = sums(latest, [c for c in columns if c not in (*place, "store_key")] + ["store_key"], measures)
+        one_row_per_group = "store_key" in columns
+    # Without place columns the join only leaves out stock of unknown stores.
+    known = latest.join(stores, "store_key", "inner" if place else "left_semi")
+    return known.select(*columns, *measures) if one_row_per_group else sums(known, columns, measures)
 
 
 def build(star: Star, cuboid: Cuboid) -> DataFrame:
@@ -273,11 +266,19 @@ def build_from(parent: Cuboid, rows: DataFrame, cuboid: Cuboid) -> DataFrame:
     if cuboid.cube == "inventory" and cuboid.time != parent.time:
         period = rows.withColumn("period", F.col("year") * 100 + F.col("month"))
         time = TIME_COLUMNS[cuboid.time]
-        rows = latest_stock(period, time, "total_quantity_on_hand", "period")
+        rows = latest_stock(period, time, "total_quantity_on_hand", "period", ("city", "state"))
         return rows.select(*cuboid.dimensions, *cuboid.measures)
     return sums(rows, cuboid.dimensions, cuboid.measures)
 
 
-def refresh_order(cube: str) -> list[Cuboid]:
-    """Every cuboid of a cube, finest first, so that parents are ready before children."""
-    return sorted(LATTICES[cube].values(), key=lambda c: (-len(c.dimensions), c.time != "month", c.name))
+def refresh_waves(cube: str) -> list[list[Cuboid]]:
+    """The cuboids of a cube in waves: the smallest parent of each is in an earlier wave."""
+    waiting = list(LATTICES[cube].values())
+    done: set[str] = set()
+    waves = []
+    while waiting:
+        ready = [c for c in waiting if not parents(c) or parents(c)[0].name in done]
+        waves.append(sorted(ready, key=lambda c: (-len(c.dimensions), c.name)))
+        done |= {c.name for c in ready}
+        waiting = [c for c in waiting if c.name not in done]
+    return waves

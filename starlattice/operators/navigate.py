@@ -114,15 +114,17 @@ def _stock_answer(
     if cuboid is not None and set(TIME_COLUMNS[cuboid.time]) <= _fixed_columns(group, filters):
         rows = wh.cuboid(cuboid.name).where(equals_all(filters))
         return _finish(rows, cuboid, group, filters, measures)
-    rows = latest_in_filter(wh, [c for c in ALL_TIME_COLUMNS if c in group], filters)
-    return sums(rows, group, measures)
+    return sums(latest_in_filter(wh, group, filters), group, measures)
 
 
-def latest_in_filter(wh: Warehouse, time: Iterable[str], filters: Mapping[str, Any] | None) -> DataFrame:
-    """The newest stock per product and store (and time group) among the filtered months."""
+def latest_in_filter(wh: Warehouse, group: Iterable[str], filters: Mapping[str, Any] | None) -> DataFrame:
+    """The newest stock per product and store among the filtered months, kept apart by `group`."""
+    group = tuple(group)
     months = wh.cuboid("olap_inv_base").where(equals_all(filters))
     months = months.withColumn("period", F.col("year") * 100 + F.col("month"))
-    return latest_stock(months, time, "total_quantity_on_hand", "period")
+    time = [c for c in ALL_TIME_COLUMNS if c in group]
+    place = [c for c in ("city", "state") if c in group]
+    return latest_stock(months, time, "total_quantity_on_hand", "period", place)
 
 
 # --- pivot ------------------------------------------------------------------

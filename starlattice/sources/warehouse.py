@@ -12,8 +12,10 @@ import tempfile
 import threading
 import uuid
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,9 @@ from starlattice.sources.files import write_full_refresh
 # A dimension up to this many rows is broadcast: keys and a few short strings, about 10 MB.
 BROADCAST_ROWS = 100_000
 
+# Cuboids of one refresh wave that are written at the same time.
+REFRESH_JOBS = 8
+
 # The month that dim_time always contains when the given tables are loaded.
 AS_OF = date(2001, 12, 31)
 
@@ -51,8 +56,8 @@ Builder = Callable[["Warehouse"], DataFrame]
 class Warehouse:
     """Star tables by name, cuboids by name, each built on first use.
 
-    With a `root` folder every table is written there and read back; without
-    one the tables stay lazy DataFrames.
+    With a `root` folder every table is written there and read back, except
+    the `views`; without one the tables stay lazy DataFrames.
     """
 
     def __init__(
@@ -63,6 +68,7 @@ class Warehouse:
         *,
         folder: str = "",
         partition_by: Mapping[str, str] | None = None,
+        views: frozenset[str] = frozenset(),
         broadcast_rows: int = BROADCAST_ROWS,
     ):
         self.spark = spark
@@ -70,6 +76,7 @@ class Warehouse:
         self.folder = folder
         self._builders = dict(builders)
         self._partition_by = dict(partition_by or {})
+        self._views = views
         self._broadcast_rows = broadcast_rows
         self._tables: dict[str, DataFrame] = {}
         self._small: dict[str, bool] = {}
@@ -88,7 +95,9 @@ class Warehouse:
         with self._lock:
             if name not in self._tables:
                 built = self._builders[name](self)
-                self._tables[name] = self._keep(name, built, self._partition_by.get(name))
+                if name not in self._views:
+                    built = self._keep(name, built, self._partition_by.get(name))
+                self._tables[name] = built
             return self._tables[name]
 
     def is_small(self, name: str) -> bool:
@@ -114,35 +123,44 @@ class Warehouse:
                 cuboid = cuboids.CUBOIDS[name]
                 if self._is_view(cuboid):
                     return cuboids.build(self, cuboid)
-                return self._store_cuboid(cuboid)
+                self._tables[name] = self._built(cuboid, self._tables, "cuboids")
             return self._tables[name]
 
-    def _store_cuboid(self, cuboid: cuboids.Cuboid) -> DataFrame:
-        with self._lock:
-            name = cuboid.name
-            if name not in self._tables:
-                stored = [p for p in cuboids.parents(cuboid) if p.name in self._tables]
-                if self.root is not None and stored:
-                    rows = cuboids.build_from(stored[0], self._tables[stored[0].name], cuboid)
-                else:
-                    rows = cuboids.build(self, cuboid)
-                by_year = "year" if cuboid.is_detail and cuboid.time != "none" else None
-                self._tables[name] = self._keep(f"refresh-{self._refreshes}/{name}", rows, by_year)
-            return self._tables[name]
+    def _built(self, cuboid: cuboids.Cuboid, have: Mapping[str, DataFrame], folder: str) -> DataFrame:
+        stored = [p for p in cuboids.parents(cuboid) if p.name in have]
+        if self.root is not None and stored:
+            rows = cuboids.build_from(stored[0], have[stored[0].name], cuboid)
+        else:
+            rows = cuboids.build(self, cuboid)
+        by_year = "year" if cuboid.is_detail and cuboid.time != "none" else None
+        return self._keep(f"{folder}/{cuboid.name}", rows, by_year)
 
     def refresh_cuboids(self, cube: str) -> list[str]:
-        """Rebuild every cuboid of a cube, finest first, and return their names.
+        """Rebuild every cuboid of a cube from its smallest parent and return their names.
 
-        Each refresh fills a new folder, so readers of the previous one are not disturbed.
+        Cuboids of one wave do not depend on each other and are submitted
+        together, so that small ones do not leave the cluster idle. A refresh
+        fills a new folder and is published when all of it is written: readers
+        of the last one are not disturbed, and a failed one changes nothing.
         """
         with self._lock:
             self._refreshes += 1
-            order = cuboids.refresh_order(cube)
-            for cuboid in order:
-                self._tables.pop(cuboid.name, None)
-            for cuboid in order:
-                self._store_cuboid(cuboid)
-            return [c.name for c in order]
+            folder = f"refresh-{self._refreshes}"
+            for name in ("fact_sales", "fact_inventory", "dim_time"):
+                self.table(name)
+            for name in ("dim_location", "dim_store", "dim_customer"):
+                self.is_small(name)
+        fresh: dict[str, DataFrame] = {}
+
+        def build(cuboid: cuboids.Cuboid) -> None:
+            fresh[cuboid.name] = self._built(cuboid, fresh, folder)
+
+        for wave in cuboids.refresh_waves(cube):
+            with ThreadPoolExecutor(REFRESH_JOBS) as jobs:
+                list(jobs.map(inheritable_thread_target(self.spark)(build), wave))
+        with self._lock:
+            self._tables.update(fresh)
+        return list(fresh)
 
 
 # --- the warehouse of the given tables --------------------------------------
@@ -196,6 +214,8 @@ def open_warehouse(spark: SparkSession, folder: str) -> Warehouse:
                 star_builders(spark, folder),
                 root,
                 folder=folder,
+                # Products are a projection of the given table: copying them would gain nothing.
+                views=frozenset({"dim_product"}),
                 partition_by={"fact_sales": "time_key", "fact_inventory": "time_key"},
             )
         return _open[key]
