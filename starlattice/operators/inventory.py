@@ -81,13 +81,14 @@ def forward_coverage(
     by: Iterable[str] = (),
     decimals: int | None = 2,
 ) -> DataFrame:
-    """Coverage per period (and per `by` group) from both cubes."""
+    """Coverage per period, in time order, or per `by` group and period, from both cubes."""
     by = tuple(by)
     keys = [*by, *TIME_COLUMNS[level]]
     merged = merge_measures(
         sales_by_period(wh, level, filters, by), stock_by_period(wh, level, filters, by), keys
     )
-    return with_coverage(merged, level, by, decimals).orderBy(*keys)
+    covered = with_coverage(merged, level, by, decimals)
+    return covered if by else covered.orderBy(*keys)
 
 
 def _single_period(level: str, active: Mapping[str, Any]) -> bool:

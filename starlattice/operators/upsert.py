@@ -1,4 +1,4 @@
-"""Upserts by primary key, load counts, high-water marks, freshness and table profiles.
+"""Upserts by primary key, load counts, freshness and table profiles.
 
 Batches are applied as if row by row in the order given by `order_by`: the
 first row of an absent key inserts, every further row of that key updates.
@@ -9,13 +9,11 @@ that fills much of a batch is one row when it is shuffled.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from datetime import date, datetime
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starlattice.operators.conform import NEVER_LOADED
-
 
 def _sequence(batch: DataFrame, order_by: Iterable[str]) -> Column:
     """Arrival order of batch rows; ties fall back to the row values, never to chance."""
@@ -43,9 +41,7 @@ def insert_if_absent(
     old: DataFrame, batch: DataFrame, key: Iterable[str], order_by: Iterable[str] = ()
 ) -> DataFrame:
     """Keep every old row; add the first batch row of each key the table lacks."""
-    key = list(key)
-    new = first_per_key(_keyed(batch, key), key, order_by).join(old.select(*key), key, "left_anti")
-    return old.unionByName(new.select(*old.columns))
+    return old.unionByName(new_rows(old, batch, key, order_by))
 
 
 def update_named(
@@ -141,53 +137,43 @@ def upsert(
     return update_named(old, batch, key, rule, order_by)
 
 
-# --- load state -------------------------------------------------------------
-
-MARKS_SCHEMA = "stage string, table_name string, mark date, loaded_at timestamp"
-
-
-def high_water_mark(batch: DataFrame, change_column: str) -> DataFrame:
-    """One row: the newest business date of a batch, NULL when it is empty."""
-    return batch.agg(F.max(change_column).cast("date").alias("mark"))
-
-
-def read_mark(spark: SparkSession, path: str, stage: str, table: str) -> date:
-    """The newest mark recorded for a table, or the first day of 1970."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        marks = spark.read.schema(MARKS_SCHEMA).parquet(path)
-        row = marks.where((F.col("stage") == stage) & (F.col("table_name") == table)).agg(F.max("mark")).first()
-    except AnalysisException:
-        return NEVER_LOADED
-    return row[0] or NEVER_LOADED
+def new_rows(old: DataFrame, batch: DataFrame, key: Iterable[str], order_by: Iterable[str] = ()) -> DataFrame:
+    """The batch rows an insert-if-absent adds, to be appended to the stored table."""
+    key = list(key)
+    first = first_per_key(_keyed(batch, key), key, order_by)
+    return first.join(old.select(*key), key, "left_anti").select(*old.columns)
 
 
-def record_mark(batch: DataFrame, change_column: str, path: str, stage: str, table: str, at: datetime) -> None:
-    """Append the mark of a batch that was loaded; called only after its table was written."""
-    mark = high_water_mark(batch, change_column)
-    mark.select(
-        F.lit(stage).alias("stage"),
-        F.lit(table).alias("table_name"),
-        "mark",
-        F.lit(at).cast("timestamp").alias("loaded_at"),
-    ).where(F.col("mark").isNotNull()).write.mode("append").parquet(path)
+def touched_values(batch: DataFrame, partition: str) -> list:
+    """The partition values of a batch; months of a calendar, so few."""
+    return [row[0] for row in batch.select(partition).distinct().collect()]
 
 
-def load(
-    old: DataFrame,
-    batch: DataFrame,
-    table: str,
-    key: Iterable[str],
-    target: str,
-    order_by: Iterable[str] = (),
+def upsert_touched(
+    old: DataFrame, batch: DataFrame, table: str, key: Iterable[str], partition: str, order_by: Iterable[str] = ()
 ) -> DataFrame:
-    """Write the table with the batch applied to a new folder and return the counts.
+    """The new content of the partitions that a batch touches; the others are not read.
 
-    The old folder is only read, so a load that fails changes nothing.
+    `partition` is one of the key columns, so equal keys are in one partition.
     """
-    upsert(old, batch, table, key, order_by).write.mode("errorifexists").parquet(target)
-    return load_counts(old, batch, key, updates=UPSERT_RULES[table] != "absent")
+    same = old.where(F.col(partition).isin(touched_values(batch, partition)))
+    return upsert(same, batch, table, key, order_by)
+
+
+def replace_partitions(rows: DataFrame, target: str, partition: str) -> None:
+    """Overwrite only the stored partitions that `rows` has values of."""
+    (
+        rows.hint("rebalance", partition)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition)
+        .parquet(target)
+    )
+
+
+def high_water_mark(batch: DataFrame, change_column: str) -> DataFrame:
+    """One row: the newest business date of a batch, NULL when it is empty."""
+    return batch.agg(F.max(change_column).cast("date").alias("mark"))
 
 
 # --- reports over loaded tables ---------------------------------------------

@@ -66,10 +66,10 @@ def test_refresh_from_parents(spark, mini, tmp_path, cube):
     assert before.count() == 1  # a reader of the previous cuboids is not disturbed
 
 
-@pytest.mark.parametrize("name", list(CUBOIDS))
+@pytest.mark.parametrize("name", ["olap_sales_year_state", "olap_inv_by_quarter", "olap_inv_quarter_product_store"])
 def test_every_parent_gives_the_same_rows(wh, mini, name):
     cuboid = CUBOIDS[name]
-    for parent in parents(cuboid)[:2]:
+    for parent in parents(cuboid):
         rows = build_from(parent, build(wh, parent), cuboid)
         assert rows_of(rows, cuboid) == expected(mini, cuboid)
 
