@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from starlattice.functions.paging import page_of, sort_columns
-from starlattice.functions.periods import TIME_COLUMNS, next_period
+from starlattice.functions.periods import TIME_COLUMNS, next_period, quarter_of
 from starlattice.functions.predicates import active_filters
 from starlattice.operators.navigate import answer, latest_in_filter
 from starlattice.operators.sales import product_name, ratio
@@ -113,6 +113,8 @@ def product_analysis(
 
     parts = [p for p in ("year", "quarter", "month") if p in TIME_COLUMNS[level]]
     now = {p: active.get(p) for p in parts}
+    if level == "month" and now["quarter"] is None:
+        now["quarter"] = quarter_of(now["month"])
     shifted = next_period(**{p: active[p] for p in parts if p in active})
     others = {k: v for k, v in active.items() if k not in ("year", "quarter", "month")}
     finer = {k: v for k, v in active.items() if k in ("quarter", "month") and k not in parts}

@@ -144,6 +144,14 @@ class Pivot:
     sort_column: str | None = None
     sort_order: str = "asc"
 
+    def __post_init__(self):
+        # The stock cube has one measure; a request for others gets that one.
+        if self.cube == "inventory":
+            stock = tuple(m for m in self.measures if m in MEASURES["inventory"])
+            known = all(m in MEASURES["sales"] or m in stock for m in self.measures)
+            if known:
+                object.__setattr__(self, "measures", stock or tuple(MEASURES["inventory"]))
+
     @property
     def descending(self) -> bool:
         return self.sort_order.lower() == "desc"

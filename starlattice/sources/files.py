@@ -52,19 +52,20 @@ def read_database(
     return reader.load()
 
 
-def write_full_refresh(df: DataFrame, path: str, *, partition_by: str | None = None) -> None:
+def write_full_refresh(
+    df: DataFrame, path: str, *, partition_by: str | None = None, sort_by: str | None = None
+) -> None:
     """Replace a stored table; an empty input leaves an empty table.
 
     With `partition_by`, rows are first rebalanced by that column: adaptive
     execution splits a partition value that holds far more rows than others
-    over several files and packs small ones together.
+    over several files and packs small ones together. `sort_by` orders the
+    rows inside each file, so that a filter on that column skips most pages.
     """
     if partition_by is None:
         df.write.mode("overwrite").parquet(path)
         return
-    (
-        df.hint("rebalance", partition_by)
-        .write.mode("overwrite")
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
+    spread = df.hint("rebalance", partition_by)
+    if sort_by is not None:
+        spread = spread.sortWithinPartitions(partition_by, sort_by)
+    spread.write.mode("overwrite").partitionBy(partition_by).parquet(path)

@@ -68,6 +68,7 @@ class Warehouse:
         *,
         folder: str = "",
         partition_by: Mapping[str, str] | None = None,
+        sort_by: Mapping[str, str] | None = None,
         views: frozenset[str] = frozenset(),
         broadcast_rows: int = BROADCAST_ROWS,
     ):
@@ -76,6 +77,7 @@ class Warehouse:
         self.folder = folder
         self._builders = dict(builders)
         self._partition_by = dict(partition_by or {})
+        self._sort_by = dict(sort_by or {})
         self._views = views
         self._broadcast_rows = broadcast_rows
         self._tables: dict[str, DataFrame] = {}
@@ -87,7 +89,7 @@ class Warehouse:
         if self.root is None:
             return df
         path = f"{self.root}/{name}"
-        write_full_refresh(df, path, partition_by=partition_by)
+        write_full_refresh(df, path, partition_by=partition_by, sort_by=self._sort_by.get(name))
         stored = self.spark.read.schema(df.schema).parquet(path)
         return stored.select(*df.columns)
 
@@ -217,5 +219,6 @@ def open_warehouse(spark: SparkSession, folder: str) -> Warehouse:
                 # Products are a projection of the given table: copying them would gain nothing.
                 views=frozenset({"dim_product"}),
                 partition_by={"fact_sales": "time_key", "fact_inventory": "time_key"},
+                sort_by={"fact_sales": "customer_key", "fact_inventory": "product_key"},
             )
         return _open[key]

@@ -104,6 +104,8 @@ def test_analysis_of_one_period(spark):
     wh = star_of(spark, [(202401, 1, 4)], [(202312, 1, 9)])
     row = inv.product_analysis(wh, 1, "month", {"year": 2023, "quarter": 4, "month": 12}).first()
     assert (row["time_key"], row["total_quantity"], row["total_quantity_on_hand"], row["coverage_ratio"]) == ("2023-4-12", 4, 9, 2.25)
+    same = inv.product_analysis(wh, 1, "month", {"year": 2023, "month": 12}).first()
+    assert (same["time_key"], same["quarter"], same["total_quantity"]) == ("2023-4-12", 4, 4)
     nothing = inv.product_analysis(wh, 2, "year", {"year": 2023}).first()
     assert (nothing["total_quantity"], nothing["total_quantity_on_hand"], nothing["coverage_ratio"]) == (0, 0, 0.0)
 
@@ -220,6 +222,12 @@ def test_requests_are_checked(wh):
         nav.raw_rows(wh, "sales", page=0)
 
 
+def test_the_stock_cube_has_one_measure(wh):
+    assert nav.Pivot(rows=("year",), cube="inventory").measures == ("total_quantity_on_hand",)
+    with pytest.raises(ValueError):
+        nav.pivot(wh, nav.Pivot(cube="inventory", measures=("profit",)))
+
+
 def test_drill_across_keeps_one_sided_rows(spark):
     wh = star_of(spark, [(202401, 1, 4)], [(202402, 1, 9)])
     rows = nav.drill_across(wh, ["year", "month"]).orderBy("month").collect()

@@ -107,3 +107,6 @@ def test_freshness_and_profile(spark):
     }
     profile = upsert.table_profile({n: t for n, (t, _) in tables.items()})
     assert rows_of(profile) == [("never", 0), ("new", 2), ("old", 1)]
+    timed = upsert.timed_counts({n: t for n, (t, _) in tables.items()})
+    assert [(n, c) for n, c, _ in timed] == [("never", 0), ("old", 1), ("new", 2)]
+    assert all(ms >= 0 for _, _, ms in timed)
