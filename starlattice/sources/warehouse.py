@@ -11,7 +11,7 @@ import hashlib
 import tempfile
 import threading
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
@@ -27,8 +27,8 @@ from starlattice.sources.files import write_full_refresh
 # A dimension up to this many rows is broadcast: keys and a few short strings, about 10 MB.
 BROADCAST_ROWS = 100_000
 
-# Cuboids of one refresh wave that are written at the same time.
-REFRESH_JOBS = 8
+# Tables that are written at the same time.
+CONCURRENT_JOBS = 8
 
 # The month that dim_time always contains when the given tables are loaded.
 AS_OF = date(2001, 12, 31)
@@ -83,7 +83,8 @@ class Warehouse:
         self._tables: dict[str, DataFrame] = {}
         self._small: dict[str, bool] = {}
         self._refreshes = 0
-        self._lock = threading.RLock()
+        self._lock = threading.Lock()
+        self._building: dict[str, threading.RLock] = {}
 
     def _keep(self, name: str, df: DataFrame, partition_by: str | None) -> DataFrame:
         if self.root is None:
@@ -93,25 +94,33 @@ class Warehouse:
         stored = self.spark.read.schema(df.schema).parquet(path)
         return stored.select(*df.columns)
 
-    def table(self, name: str) -> DataFrame:
+    def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """The named table, built by the first caller while others of the same name wait."""
         with self._lock:
+            building = self._building.setdefault(name, threading.RLock())
+        with building:
             if name not in self._tables:
-                built = self._builders[name](self)
-                if name not in self._views:
-                    built = self._keep(name, built, self._partition_by.get(name))
-                self._tables[name] = built
+                self._tables[name] = build()
             return self._tables[name]
 
+    def table(self, name: str) -> DataFrame:
+        def build() -> DataFrame:
+            built = self._builders[name](self)
+            return built if name in self._views else self._keep(name, built, self._partition_by.get(name))
+
+        return self._once(name, build)
+
+    def prepare(self, names: Iterable[str]) -> None:
+        """Build several tables at the same time; one that needs another waits for it."""
+        with ThreadPoolExecutor(CONCURRENT_JOBS) as jobs:
+            list(jobs.map(inheritable_thread_target(self.spark)(self.table), names))
+
     def is_small(self, name: str) -> bool:
         """True when the table has at most `broadcast_rows` rows; stops counting there."""
-        with self._lock:
-            if name not in self._small:
-                if self.root is None:
-                    self._small[name] = False
-                else:
-                    bound = self._broadcast_rows
-                    self._small[name] = self.table(name).limit(bound + 1).count() <= bound
-            return self._small[name]
+        if name not in self._small:
+            bound = self._broadcast_rows
+            self._small[name] = self.root is not None and self.table(name).limit(bound + 1).count() <= bound
+        return self._small[name]
 
     def _is_view(self, cuboid: cuboids.Cuboid) -> bool:
         """The finest cuboids have the rows of their fact; with few dimension rows they stay a join."""
@@ -120,13 +129,10 @@ class Warehouse:
 
     def cuboid(self, name: str) -> DataFrame:
         """A cuboid, summed from the smallest stored parent or else from the fact."""
-        with self._lock:
-            if name not in self._tables:
-                cuboid = cuboids.CUBOIDS[name]
-                if self._is_view(cuboid):
-                    return cuboids.build(self, cuboid)
-                self._tables[name] = self._built(cuboid, self._tables, "cuboids")
-            return self._tables[name]
+        cuboid = cuboids.CUBOIDS[name]
+        if name not in self._tables and self._is_view(cuboid):
+            return cuboids.build(self, cuboid)
+        return self._once(name, lambda: self._built(cuboid, self._tables, "cuboids"))
 
     def _built(self, cuboid: cuboids.Cuboid, have: Mapping[str, DataFrame], folder: str) -> DataFrame:
         stored = [p for p in cuboids.parents(cuboid) if p.name in have]
@@ -148,17 +154,16 @@ class Warehouse:
         with self._lock:
             self._refreshes += 1
             folder = f"refresh-{self._refreshes}"
-            for name in ("fact_sales", "fact_inventory", "dim_time"):
-                self.table(name)
-            for name in ("dim_location", "dim_store", "dim_customer"):
-                self.is_small(name)
+        self.prepare(["fact_sales", "fact_inventory", "dim_time"])
+        for name in ("dim_location", "dim_store", "dim_customer"):
+            self.is_small(name)
         fresh: dict[str, DataFrame] = {}
 
         def build(cuboid: cuboids.Cuboid) -> None:
             fresh[cuboid.name] = self._built(cuboid, fresh, folder)
 
         for wave in cuboids.refresh_waves(cube):
-            with ThreadPoolExecutor(REFRESH_JOBS) as jobs:
+            with ThreadPoolExecutor(CONCURRENT_JOBS) as jobs:
                 list(jobs.map(inheritable_thread_target(self.spark)(build), wave))
         with self._lock:
             self._tables.update(fresh)
