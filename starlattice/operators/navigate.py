@@ -16,7 +16,6 @@ from starlattice.operators.cuboids import (
     CUBOIDS,
     LATTICES,
     Cuboid,
-    inventory_rollup,
     latest_stock,
     sales_rollup,
     sums,

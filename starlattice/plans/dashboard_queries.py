@@ -358,19 +358,22 @@ on_star(
 
 
 def city_risk_sql(where: str | None = None) -> str:
-    per = (
-        "CAST(CAST({top} AS DOUBLE) / CAST(CASE WHEN {bottom} > 0 THEN {bottom} ELSE 1 END AS DOUBLE) "
-        "AS DECIMAL(24,6))"
-    )
-    over = per.format(top="held", bottom="sold_quantity")
-    under = per.format(top="sold_quantity", bottom="held")
+    def score(top: str, bottom: str) -> str:
+        divisor = f"CASE WHEN {bottom} > 0 THEN {bottom} ELSE 1 END"
+        return f"CAST(CAST({top} AS DOUBLE) / CAST({divisor} AS DOUBLE) AS DECIMAL(24,6))"
+
+    def mean(status: str, column: str) -> str:
+        kept = f"FILTER (status = '{status}')"
+        return ratio_sql(f"SUM({column}) {kept}", f"COUNT(*) {kept}")
+
     return (
         "SELECT city, state, COUNT(*) FILTER (status = 'overstock') AS overstock_count, "
-        f"{ratio_sql('SUM(over) FILTER (status = ' + chr(39) + 'overstock' + chr(39) + ')', 'COUNT(*) FILTER (status = ' + chr(39) + 'overstock' + chr(39) + ')')} AS overstock_score, "
+        f"{mean('overstock', 'over')} AS overstock_score, "
         "COUNT(*) FILTER (status = 'understock') AS understock_count, "
-        f"{ratio_sql('SUM(under) FILTER (status = ' + chr(39) + 'understock' + chr(39) + ')', 'COUNT(*) FILTER (status = ' + chr(39) + 'understock' + chr(39) + ')')} AS understock_score, "
+        f"{mean('understock', 'under')} AS understock_score, "
         f"{ratio_sql('SUM(held)', 'COUNT(*)')} AS avg_inventory, CAST(SUM(sold_quantity) AS BIGINT) AS total_sales "
-        f"FROM (SELECT *, {STATUS} AS status, {over} AS over, {under} AS under "
+        f"FROM (SELECT *, {STATUS} AS status, {score('held', 'sold_quantity')} AS over, "
+        f"{score('sold_quantity', 'held')} AS under "
         f"FROM ({merged_sql('city, state, product_key', where, where)})) GROUP BY city, state"
     )
 
