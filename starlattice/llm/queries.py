@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlattice.llm import mixing, sharding, url_filter
-from starlattice.llm.common import table
+from starlattice.llm import chat, mixing, sharding, token_counts, url_filter
+from starlattice.llm.common import new_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -105,3 +106,55 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return whole.select(
         "doc.doc_id", "size", "source_size", "target", (F.col("size") * F.col("epochs")).cast("long").alias("taken")
     )
+
+
+@query("op8_token_counts")
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every run starts a cache of its own, so that its work does not depend on earlier runs."""
+    vocabulary = token_counts.Tokenizer(
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+        (("<|endoftext|>", 50256),),
+    )
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    counts = token_counts.count_tokens(docs, vocabulary, new_folder(spark, "token-cache"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+# The mark of another common template, with a backslash before it and an end mark inside.
+MARKED = "\\### Assistant: </turn> ok"
+
+
+@query(
+    "op2_chat_formatting",
+    r"""
+    WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'),
+            (-7, 1, 'assistant', '\### Assistant: </turn> ok'))),
+    escaped AS (SELECT *, replace(replace(replace(text, '\', '\\'), '</turn>', '<\/turn>'), '### ', '#\## ') AS safe,
+            replace(replace(replace(replace(role, '\', '\\'), '</turn>', '<\/turn>'), '### ', '#\## '), ':', '\:') AS safe_role
+        FROM turns),
+    ended AS (SELECT *, sum(length('### ' || safe_role || ': ' || safe || '</turn>') + 1) OVER prefix AS chars,
+            row_number() OVER prefix = count(*) OVER (PARTITION BY conv_id) AS is_last
+        FROM escaped WINDOW prefix AS (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING))
+    SELECT conv_id, count(*)::BIGINT AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+        coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+        sum(chars) FILTER (WHERE role = 'assistant' OR is_last)::BIGINT AS formatted_chars
+    FROM ended GROUP BY conv_id
+    """,
+)
+def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.createDataFrame([(-7, 0, "user", MARKED), (-7, 1, "assistant", MARKED)], turns.schema)
+    back = chat.read_back(chat.expand(turns.unionByName(marked)))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), ""), 256).alias("turns_sha256"),
+        F.length(F.array_join("replies", "")).cast("long").alias("loss_chars"),
+        F.sha2(F.array_join("replies", ""), 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
