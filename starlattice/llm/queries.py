@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlattice.llm import chat, mixing, sharding, token_counts, url_filter
+from starlattice.llm import chat, language_id, mixing, secret_scan, sharding, token_counts, url_filter
 from starlattice.llm.common import new_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,3 +158,33 @@ def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("replies", ""), 256).alias("loss_sha256"),
         "formatted_chars",
     )
+
+
+@query("op10_language_id")
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language_id.train(language_id.sample(docs))
+    return language_id.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        F.coalesce(language_id.held_out(), F.lit(False)).alias("held_out"),
+        "language.lang_pred",
+        "language.score",
+        "language.rejected",
+    )
+
+
+@query("op4_secret_scan")
+def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, folder, "documents").select("doc_id", "text"))
+    base = [r.kind for r in secret_scan.BASE_RULES]
+    written = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ","
+    )
+    return found.select(
+        "doc_id",
+        *[
+            (F.size("spans") - F.size(F.array_remove(F.col("spans.kind"), k))).cast("long").alias(f"n_{k}") for k in base
+        ],
+        F.sha2(written(F.filter("spans", lambda s: s.kind.isin(base))), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"),
+    )
