@@ -130,7 +130,7 @@ def train(rows: pd.DataFrame, *, epochs: int = 4, batch: int = 64, rate: float =
     """Fits embeddings and softmax by stochastic gradient descent, then temperature and rejection threshold.
 
     The threshold is the score that one in a thousand right predictions on
-    calibration texts falls below, but never above one half. Without labelled rows
+    calibration texts falls below, but at most one half and 1.5 times a guess. Without labelled rows
     the model knows no language.
     """
     languages = tuple(sorted(rows["lang"].unique()))
@@ -187,7 +187,7 @@ def train(rows: pd.DataFrame, *, epochs: int = 4, batch: int = 64, rate: float =
     p = np.exp(y - y.max(1, keepdims=True))
     p /= p.sum(1, keepdims=True)
     good = p.max(1)[p.argmax(1) == right]
-    threshold = min(0.5, float(np.quantile(good, 0.001))) if len(good) else 0.0
+    threshold = min(0.5, 1.5 / len(languages), float(np.quantile(good, 0.001))) if len(good) else 0.0
     return Model(languages, scores, bias.astype(np.float64), best[1], threshold)
 
 

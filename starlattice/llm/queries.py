@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlattice.llm import chat, language_id, mixing, secret_scan, sharding, token_counts, url_filter
+from starlattice.llm import (
+    chat,
+    language_id,
+    mixing,
+    quality_rules,
+    secret_scan,
+    sharding,
+    token_counts,
+    url_filter,
+)
 from starlattice.llm.common import new_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,3 +197,48 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(written(F.filter("spans", lambda s: s.kind.isin(base))), 256).alias("base_sha256"),
         written(F.col("spans")).alias("spans"),
     )
+
+
+@query(
+    "op6_quality_rules",
+    r"""
+    WITH rows AS (SELECT row_number() OVER () AS id, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+    worded AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+            list_filter(string_split(text, chr(10)), lambda line: regexp_matches(line, '[^\x20\x09-\x0D]')) AS lines FROM rows),
+    windows AS (SELECT id, unnest(range(len(words) - 2)) AS place, unnest(list_transform(range(len(words) - 2),
+            lambda i: words[i + 1] || ' ' || words[i + 2] || ' ' || words[i + 3])) AS three FROM worded WHERE len(words) >= 3),
+    repeated AS (SELECT id, place FROM windows QUALIFY count(*) OVER (PARTITION BY id, three) > 1),
+    covered AS (SELECT id, count(DISTINCT place + step)::BIGINT AS n_repeat_words
+        FROM repeated, (VALUES (0), (1), (2)) AS s(step) GROUP BY id),
+    measured AS (SELECT id, doc_id, lang, source, len(words)::BIGINT AS n_words,
+            length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+            len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(lines) AS n_lines,
+            (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+        FROM worded LEFT JOIN covered USING (id)),
+    shares AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+            n_symbols::DOUBLE / greatest(n_words, 1) AS a, n_dup_lines::DOUBLE / greatest(n_lines, 1) AS b,
+            n_repeat_words::DOUBLE / greatest(n_words, 1) AS c, word_chars::DOUBLE / greatest(n_words, 1) AS d FROM measured),
+    good AS (SELECT * FROM shares WHERE NOT base_failed),
+    levels AS (
+        SELECT 1 AS level, lang, source, count(*) AS n, quantile_disc(a, [0.25, 0.5, 0.75]) AS qa, quantile_disc(b, [0.25, 0.5, 0.75]) AS qb,
+            quantile_disc(c, [0.25, 0.5, 0.75]) AS qc, quantile_disc(d, [0.25, 0.5, 0.75]) AS qd FROM good GROUP BY lang, source
+        UNION ALL SELECT 2, lang, NULL, count(*), quantile_disc(a, [0.25, 0.5, 0.75]), quantile_disc(b, [0.25, 0.5, 0.75]),
+            quantile_disc(c, [0.25, 0.5, 0.75]), quantile_disc(d, [0.25, 0.5, 0.75]) FROM good GROUP BY lang
+        UNION ALL SELECT 3, NULL, NULL, count(*), quantile_disc(a, [0.25, 0.5, 0.75]), quantile_disc(b, [0.25, 0.5, 0.75]),
+            quantile_disc(c, [0.25, 0.5, 0.75]), quantile_disc(d, [0.25, 0.5, 0.75]) FROM good),
+    chosen AS (SELECT s.*, l.* EXCLUDE (lang, source), row_number() OVER (PARTITION BY s.id ORDER BY level) AS place
+        FROM shares s LEFT JOIN levels l ON (level = 3) OR (n >= 100 AND s.lang IS NOT DISTINCT FROM l.lang
+            AND (level = 2 OR s.source IS NOT DISTINCT FROM l.source)))
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        NOT base_failed AND coalesce(a <= greatest(qa[3] + 3 * (qa[3] - qa[1]), 0.5)
+            AND b <= greatest(qb[3] + 3 * (qb[3] - qb[1]), 0.4) AND c <= greatest(qc[3] + 3 * (qc[3] - qc[1]), 0.4)
+            AND d <= greatest(qd[3] + 3 * (qd[3] - qd[1]), qd[2] * 1.5)
+            AND d >= least(qd[1] - 3 * (qd[3] - qd[1]), qd[2] / 1.5), true) AS kept
+    FROM chosen WHERE place = 1
+    """,
+)
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, folder, "documents").select("doc_id", "text", "lang", "source"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
