@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starlattice.llm import (
     chat,
+    decontaminate,
     language_id,
     mixing,
     quality_rules,
@@ -242,3 +243,42 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query(
+    "op3_decontamination",
+    r"""
+    WITH lowered AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+    items AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+    starts AS (SELECT item_id, words, unnest(range(greatest(len(words) - 12, 1))) AS place FROM items WHERE len(words) > 0),
+    windows AS (SELECT DISTINCT item_id, array_to_string(words[place + 1:place + 13], ' ') AS part,
+            least(len(words), 13) AS n FROM starts),
+    lengths AS (SELECT DISTINCT n FROM windows),
+    places AS (SELECT id, words, unnest(range(len(words))) AS place FROM lowered),
+    parts AS (SELECT id, place, n, array_to_string(words[place + 1:place + n], ' ') AS part
+        FROM places, lengths WHERE place + n <= len(words)),
+    hits AS (SELECT id, place, n, item_id FROM parts JOIN windows USING (part, n)),
+    covered AS (SELECT id, count(DISTINCT word)::BIGINT AS n_hit
+        FROM (SELECT id, unnest(range(place, place + n)) AS word FROM (SELECT DISTINCT id, place, n FROM hits)) GROUP BY id),
+    found AS (SELECT id, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+        FROM (SELECT DISTINCT id, item_id::VARCHAR AS item FROM hits) GROUP BY id)
+    SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+    FROM lowered LEFT JOIN covered USING (id) LEFT JOIN found USING (id)
+    """,
+)
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(
+        table(spark, folder, "documents").select("doc_id", "text"),
+        table(spark, folder, "benchmark").select("item_id", "text"),
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontaminate.contaminated().alias("contaminated"),
+    )
