@@ -15,6 +15,7 @@ from starlattice.llm import (
     mixing,
     quality_rules,
     secret_scan,
+    set_join,
     sharding,
     token_counts,
     url_filter,
@@ -282,3 +283,8 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         decontaminate.contaminated().alias("contaminated"),
     )
+
+
+@query("op7_set_join")
+def op7_set_join(spark: SparkSession, folder: str) -> DataFrame:
+    return set_join.near_copies(table(spark, folder, "documents").select("doc_id", "text"))
