@@ -50,3 +50,18 @@ def ascii_lower(text: Column) -> Column:
 def count_words(text: Column) -> Column:
     """Number of spaced words; null counts as empty."""
     return F.coalesce(F.regexp_count(text, F.lit(SPACED_WORD)), F.lit(0)).cast("long")
+
+
+# Keys (two longs each) that are broadcast, at most about 30 MB.
+BROADCAST_KEYS = 500_000
+
+
+def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of docs (doc_id, text, ...) whose id and text hash are not among the keys (doc_id, text_hash)."""
+    gone = stored(
+        keys.select(F.col("doc_id").cast("long").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct(), "dropped-keys"
+    )
+    small = gone.count() <= BROADCAST_KEYS
+    rows = docs.select(F.struct("*").alias("row"))
+    same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("gone_id")) & (F.xxhash64("row.text") == F.col("gone_hash"))
+    return rows.join(F.broadcast(gone) if small else gone, same, "left_anti").select("row.*")

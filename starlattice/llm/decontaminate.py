@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starlattice.llm.common import ascii_lower, stored
+from starlattice.llm.common import ascii_lower, stored, without
 
 # Words of a lower-case text; the second pattern finds as many in the text itself.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -139,3 +139,9 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW_WORDS)
 def contaminated() -> Column:
     """At least one word in twenty is hit."""
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of docs that are not contaminated, with all their columns."""
+    found = contamination(docs.select("doc_id", "text"), items)
+    return without(docs, found.where(contaminated()).select("doc_id", "text_hash"))

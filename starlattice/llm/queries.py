@@ -287,4 +287,5 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op7_set_join")
 def op7_set_join(spark: SparkSession, folder: str) -> DataFrame:
-    return set_join.near_copies(table(spark, folder, "documents").select("doc_id", "text"))
+    found = set_join.near_copies(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id", "class_id", "n_links")

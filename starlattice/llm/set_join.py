@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starlattice.llm import overlap
-from starlattice.llm.common import stored
+from starlattice.llm.common import stored, without
 from starlattice.llm.components import components
 from starlattice.llm.shingles import digest, shingle_sets
 
@@ -29,18 +29,18 @@ def _share(name: str) -> str:
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and the digest of the shingle set for every row of docs (doc_id, text)."""
+    """doc_id, a hash of the text, n_shingles and the digest of the shingle set for every row of docs (doc_id, text)."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(len(s), digest(s)) for s in shingle_sets(batch.column(1).to_pylist())]
+            found = [(len(s), digest(s)) for s in shingle_sets(batch.column(2).to_pylist())]
+            sizes, digests = pa.array([n for n, _ in found], pa.int64()), pa.array([d for _, d in found], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([n for n, _ in found], pa.int64()), pa.array([d for _, d in found], pa.binary())],
-                ["doc_id", "n_shingles", "digest"],
+                [batch.column(0), batch.column(1), sizes, digests], ["doc_id", "text_hash", "n_shingles", "digest"]
             )
 
-    ids = docs.select(F.col("doc_id").cast("long"), "text")
-    return ids.mapInArrow(sets, "doc_id long, n_shingles long, digest binary")
+    ids = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
+    return ids.mapInArrow(sets, "doc_id long, text_hash long, n_shingles long, digest binary")
 
 
 def _blocks(docs: DataFrame, parts: int) -> DataFrame:
@@ -282,6 +282,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
         .join(degrees, "class_no", "left")
         .select(
             "digest",
+            F.col("root").alias("group_no"),
             F.col("first_id").alias("class_id"),
             "component_id",
             (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
@@ -289,8 +290,45 @@ def near_copies(docs: DataFrame) -> DataFrame:
         "class-components",
     )
     filled = rows.where("n_shingles > 0").join(named, "digest")
-    names = ["doc_id", "n_shingles", "component_id", "class_id", "n_links"]
     empty = rows.where("n_shingles = 0").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links")
+        "*",
+        F.lit(None).cast("long").alias("group_no"),
+        F.col("doc_id").alias("component_id"),
+        F.col("doc_id").alias("class_id"),
+        F.lit(0).cast("long").alias("n_links"),
     )
-    return filled.select(*names).unionByName(empty)
+    return filled.unionByName(empty).select(
+        "doc_id", "text_hash", "n_shingles", "component_id", "class_id", "n_links", "group_no"
+    )
+
+
+def drop_near_copies(docs: DataFrame) -> DataFrame:
+    """One row of each group of linked documents (doc_id, text), all columns kept.
+
+    The one with the smallest id stays, of equal ids the one with the smaller text
+    hash; a null id stays only where there is no other. Rows without words are groups
+    of their own. Only the keys of what goes are joined to the texts.
+    """
+    rows = stored(near_copies(docs).where("group_no is not null").select("group_no", "doc_id", "text_hash"), "near-copies")
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
+    first = rows.groupBy("group_no").agg(F.min(place).alias("first")).select("group_no", "first.*")
+    known = first.select("group_no", F.col("doc_id").alias("first_id"), F.col("text_hash").alias("first_hash"))
+    gone = (
+        rows.join(known, "group_no")
+        .where(~(F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))))
+        .select("doc_id", "text_hash")
+    )
+    kept = without(docs, gone)
+    repeated = stored(rows.groupBy("doc_id", "text_hash").count().where("count > 1"), "repeated-rows")
+    if not repeated.take(1):
+        return kept
+    return without(kept, repeated).unionByName(_once(kept, repeated))
+
+
+def _once(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """One row for each of the keys (doc_id, text_hash) among the rows of docs."""
+    wanted = keys.select(F.col("doc_id").alias("wanted_id"), F.col("text_hash").alias("wanted_hash"))
+    found = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("hash")).join(
+        wanted, F.col("row.doc_id").cast("long").eqNullSafe(F.col("wanted_id")) & (F.col("hash") == F.col("wanted_hash")), "left_semi"
+    )
+    return found.groupBy(F.col("row.doc_id").alias("id"), "hash").agg(F.first("row").alias("row")).select("row.*")
