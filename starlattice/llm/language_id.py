@@ -55,33 +55,38 @@ def has_letter(text: str | None) -> bool:
     return text is not None and _LETTER.search(text) is not None
 
 
+def _softmax(z: np.ndarray) -> np.ndarray:
+    p = np.exp(z - z.max(-1, keepdims=True))
+    return p / p.sum(-1, keepdims=True)
+
+
 @dataclass(frozen=True)
 class Model:
     """Language scores of each bucket (the embeddings times the softmax weights), calibrated."""
 
     languages: tuple[str, ...]
-    scores: np.ndarray  # buckets x languages
-    bias: np.ndarray
+    scores: np.ndarray  # buckets x (languages, whether training saw the bucket)
     temperature: float
     threshold: float  # lower calibrated scores are rejected
+    least_seen: float  # so are texts with a lower share of subwords that training saw
 
-    def logits(self, text: str) -> np.ndarray:
-        total, count = np.zeros(len(self.languages)), 0
+    def evidence(self, text: str) -> np.ndarray:
+        """Mean language scores of the text's subwords, and the share of them that training saw."""
+        total, count = np.zeros(len(self.languages) + 1), 0
         for start in range(0, max(1, len(text)), _CHUNK):
             for found in subwords(text[start : start + _CHUNK]):
                 total += np.bincount(found, minlength=BUCKETS)[:BUCKETS] @ self.scores if len(found) > 4096 else self.scores[found].sum(0)
                 count += len(found)
-        return total / max(count, 1) + self.bias
+        return total / max(count, 1)
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, calibrated score from 0 to 1, and whether the score is too low to be relied on."""
         if not self.languages or not has_letter(text):
             return UNKNOWN, 0.0, True
-        z = self.logits(text) / self.temperature
-        p = np.exp(z - z.max())
-        p /= p.sum()
+        found = self.evidence(text)
+        p = _softmax(found[:-1] / self.temperature)
         best = int(p.argmax())
-        return self.languages[best], float(p[best]), bool(p[best] < self.threshold)
+        return self.languages[best], float(p[best]), bool(p[best] < self.threshold or found[-1] < self.least_seen)
 
 
 def learnable() -> Column:
@@ -129,13 +134,13 @@ def _bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
 def train(rows: pd.DataFrame, *, epochs: int = 4, batch: int = 64, rate: float = 0.5, seed: int = 0) -> Model:
     """Fits embeddings and softmax by stochastic gradient descent, then temperature and rejection threshold.
 
-    The threshold is the score that one in a thousand right predictions on
-    calibration texts falls below, but at most one half and 1.5 times a guess. Without labelled rows
-    the model knows no language.
+    One in a thousand right predictions on calibration texts falls below the threshold,
+    and below the least share of known subwords; the first is at most one half and
+    1.5 times a guess, the second 0.3. Without labelled rows the model knows no language.
     """
     languages = tuple(sorted(rows["lang"].unique()))
     if not languages:
-        return Model((), np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0, 0.0)
+        return Model((), np.zeros((BUCKETS, 1), np.float32), 1.0, 0.0, 0.0)
     rng = np.random.default_rng(seed)
     target = rows["lang"].map({lang: i for i, lang in enumerate(languages)}).to_numpy()
     calibrates = rows["calibrates"].to_numpy(bool) & (len(rows) > 4 * len(languages))
@@ -148,7 +153,6 @@ def train(rows: pd.DataFrame, *, epochs: int = 4, batch: int = 64, rate: float =
     bags, wanted = examples(~calibrates)
     embedding = rng.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH)).astype(np.float32)
     softmax = np.zeros((WIDTH, len(languages)), np.float32)
-    bias = np.zeros(len(languages), np.float32)
     steps, step = epochs * -(-len(bags) // batch), 0
     counts = np.zeros((batch, BUCKETS), np.float32)
     for _ in range(epochs):
@@ -160,35 +164,29 @@ def train(rows: pd.DataFrame, *, epochs: int = 4, batch: int = 64, rate: float =
                 counts[row, bags[i][0]] = bags[i][1]
             used = counts[: len(picked)]
             hidden = used @ embedding
-            z = hidden @ softmax + bias
-            p = np.exp(z - z.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
+            p = _softmax(hidden @ softmax)
             p[np.arange(len(picked)), wanted[picked]] -= 1
             now = rate * (1 - step / steps)
             back = p @ softmax.T
             softmax -= now * (hidden.T @ p)
-            bias -= now * p.sum(0)
             embedding -= now * (used.T @ back)
             step += 1
     # Buckets that no example used say nothing about a language.
     seen = np.zeros(BUCKETS, bool)
     for ids, _ in bags:
         seen[ids] = True
-    scores = np.where(seen[:, None], embedding @ softmax, 0).astype(np.float32)
+    scores = np.column_stack([np.where(seen[:, None], embedding @ softmax, 0), seen]).astype(np.float32)
 
     held, right = examples(calibrates if calibrates.any() else ~calibrates)
-    z = np.array([weights @ scores[ids] if len(ids) else np.zeros(len(languages)) for ids, weights in held]) + bias
+    found = np.array([weights @ scores[ids] for ids, weights in held])
     best = (np.inf, 1.0)
-    for temperature in np.geomspace(0.05, 20, 60):
-        y = z / temperature
-        loss = float(np.mean(np.log(np.exp(y - y.max(1, keepdims=True)).sum(1)) + y.max(1) - y[np.arange(len(y)), right]))
-        best = min(best, (loss, float(temperature)))
-    y = z / best[1]
-    p = np.exp(y - y.max(1, keepdims=True))
-    p /= p.sum(1, keepdims=True)
-    good = p.max(1)[p.argmax(1) == right]
-    threshold = min(0.5, 1.5 / len(languages), float(np.quantile(good, 0.001))) if len(good) else 0.0
-    return Model(languages, scores, bias.astype(np.float64), best[1], threshold)
+    for temperature in np.geomspace(0.05, 20, 60).tolist():
+        own = _softmax(found[:, :-1] / temperature)[np.arange(len(right)), right]
+        best = min(best, (float(-np.log(np.maximum(own, 1e-30)).mean()), temperature))
+    p = _softmax(found[:, :-1] / best[1])
+    good = p.argmax(1) == right
+    low = lambda values, most: min(most, float(np.quantile(values, 0.001))) if len(values) else 0.0
+    return Model(languages, scores, best[1], low(p.max(1)[good], min(0.5, 1.5 / len(languages))), low(found[good, -1], 0.3))
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
