@@ -58,48 +58,59 @@ def ranked_sources(sizes: DataFrame, weights: Sequence[int]) -> DataFrame:
     return ranged.join(before, "part").withColumn("weight", weight).drop("part", "start")
 
 
-def _queued(docs: DataFrame, sizes: DataFrame, seed: int) -> DataFrame:
-    """Each row with its source's size, weight and target, and the words of its source up to its end.
+def _queued(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Adds to each row its source's weight, size and target, and its bucket of the shuffled source.
 
-    Rows of a source are shuffled by a digest of seed, id and text. Buckets of that
-    digest are summed first, so a source of any share of the rows is never one group.
+    Buckets are ranges of the digest `turn`. They are summed first, so a source of
+    any share of the rows is never one group.
     """
-    turn = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc.doc_id").cast("string"), F.lit("")), F.coalesce("doc.text", F.lit(""))))
-    rows = docs.withColumn("source", F.col("doc.source")).withColumn("turn", turn)
-    rows = rows.withColumn("bucket_key", F.conv(F.substring("turn", 1, 8), 16, 10).cast("long"))
     known = sizes.select(
         F.col("source").alias("known_source"), "weight", "source_size", "target",
         F.ceil(F.col("source_rows") / BUCKET_ROWS).alias("buckets"),
     )
     rows = rows.join(known, F.col("source").eqNullSafe(F.col("known_source"))).drop("known_source")
-    return rows.withColumn("bucket", F.floor(F.col("bucket_key") * F.col("buckets") / F.lit(1 << 32)).cast("long"))
-
-
-def mix(docs: DataFrame, *, weights: Sequence[int] = WEIGHTS, share: float = 1.5, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+    place = F.conv(F.substring("turn", 1, 8), 16, 10).cast("long")
+    return rows.withColumn("bucket", F.floor(place * F.col("buckets") / F.lit(1 << 32)).cast("long"))
+
+
+def mix(
+    docs: DataFrame,
+    *,
+    weights: Sequence[int] = WEIGHTS,
+    share: float = 1.5,
+    seed: int = 0,
+    keep: Sequence[str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """Takes documents (doc_id, text, source) until the budget, `share` of all words, is spent.
 
-    Every document stands twice in the queue of its source, once for each epoch,
-    at the virtual time at which it ends: words of its source so far, divided by the
+    Rows of a source are shuffled by a digest of seed, id and text. Every document
+    stands twice in the queue of its source, once for each epoch, at the virtual time at which it ends: words of its source so far, divided by the
     weight. All queues are sorted by that time and cut where the budget is spent.
     A source that is used up twice over leaves its share to the others.
 
-    Returns two frames. The first has each row's columns in a struct `doc`, and size
+    Returns two frames. The first has each row's columns (those named by `keep`, else
+    all) in a struct `doc`, and size
     (words; null text: 0), source_size, target and epochs (0 to 2: how often the mix
     takes it). The second has doc, epoch and the virtual time `finish` for every
     copy taken, to be sorted by finish, turn, epoch. The order of sources is by code
     point, null last; rows of equal id and text are equal. Documents without words
     cost nothing and are taken if their time comes before the cut. No rows: no rows.
     """
-    spark = docs.sparkSession
-    wrapped = docs.select(F.struct("*").alias("doc")).withColumn("size", count_words(F.col("doc.text")))
+    names = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", "text")]
+    rows = docs.select(
+        F.struct(*(keep or ["*"])).alias("doc"),
+        "source",
+        count_words(F.col("text")).alias("size"),
+        F.md5(F.concat_ws(":", F.lit(str(seed)), *names)).alias("turn"),
+    )
     sums = stored(
-        wrapped.groupBy(F.col("doc.source").alias("source")).agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows")),
+        rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows")),
         "source-sizes",
     )
     total = sums.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
     budget = share * total
     sizes = stored(source_targets(ranked_sources(sums, weights), budget), "source-targets")
-    rows = _queued(wrapped, sizes, seed)
+    rows = _queued(rows, sizes)
     bucket_sums = rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     offsets = stored(
         bucket_sums.withColumn(

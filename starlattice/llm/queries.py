@@ -113,7 +113,7 @@ def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
-    whole, _ = mixing.mix(docs)
+    whole, _ = mixing.mix(docs, keep=["doc_id"])
     return whole.select(
         "doc.doc_id", "size", "source_size", "target", (F.col("size") * F.col("epochs")).cast("long").alias("taken")
     )
