@@ -116,4 +116,6 @@ def count_tokens(docs: DataFrame, tokenizer: Tokenizer, cache: str, *, keep: Seq
     rows = docs.select(
         *keep, F.octet_length(text).cast("long").alias("n_bytes"), F.unhex(F.sha2(text, 256)).alias("digest")
     )
-    return rows.join(_cached(docs, folder), "digest").select(*keep, "n_bytes", "n_tokens")
+    # Stored, so that the join stands alone and skew handling can split the rows of a hot content.
+    counts = stored(_cached(docs, folder), "token-counts")
+    return rows.join(counts, "digest").select(*keep, "n_bytes", "n_tokens")
