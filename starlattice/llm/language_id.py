@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Labelled rows that one language gives to training and calibration, in expectation.
-SAMPLE_ROWS = 1500
+SAMPLE_ROWS = 1000
 BUCKETS = 1 << 15
 WIDTH = 16
 ORDERS = (2, 3, 4)
@@ -127,7 +127,7 @@ def _bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     for text in texts:
         found = subwords(text)
         ids, counts = np.unique(np.concatenate(found) if found else np.zeros(0, np.int64), return_counts=True)
-        bags.append((ids, (counts / max(1, counts.sum())).astype(np.float32)))
+        bags.append((ids.astype(np.uint16), (counts / max(1, counts.sum())).astype(np.float32)))
     return bags
 
 

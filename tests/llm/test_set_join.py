@@ -98,7 +98,7 @@ def test_groups_derive_the_same_answers(two):
     sets = []
     for _ in range(3):
         base = rng.choice(10**6, 200, replace=False)
-        for _ in range(50):
+        for _ in range(90):
             own = base.copy()
             own[rng.choice(200, rng.integers(0, 25), replace=False)] = rng.integers(10**6, 10**7, 1)
             sets.append(np.unique(own).astype(np.uint64)[rng.integers(0, 10) :])
