@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_PAGE_SIZE = 500
+# Up to this many rows before the end of a page every task keeps that many and one task sorts them.
+SHALLOW_ROWS = 10_000
 
 
 def sort_columns(names: Iterable[str], descending: bool = False) -> list[Column]:
@@ -18,12 +20,38 @@ def sort_columns(names: Iterable[str], descending: bool = False) -> list[Column]
 def page_of(df: DataFrame, order: Iterable[Column], page: int, page_size: int) -> DataFrame:
     """One page of the sorted rows.
 
-    `order` should end in a unique key, so that pages never overlap. Spark
-    keeps at most page * page_size rows per task for this.
+    `order` should end in a unique key, so that pages never overlap. A page near
+    the start is the end of a top-n. For one further on, the rows are range-sorted
+    and counted per range; only the ranges that hold the page are numbered and cut.
     """
     if page < 1 or page_size < 1:
         raise ValueError("page and page_size start at 1")
-    return df.orderBy(*order).offset((page - 1) * page_size).limit(page_size)
+    order = list(order)
+    start = (page - 1) * page_size
+    if start + page_size <= SHALLOW_ROWS:
+        return df.orderBy(*order).offset(start).limit(page_size)
+    ranged = df.repartitionByRange(*order).withColumn("sorted_range", F.spark_partition_id())
+    shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        # Ranges are drawn from samples: stored, they are the same when they are read again.
+        path = f"{shared.rstrip('/')}/starlattice/pages/{uuid.uuid4().hex}"
+        ranged.write.parquet(path)
+        ranged = df.sparkSession.read.schema(ranged.schema).parquet(path)
+    counts = {r["sorted_range"]: r["count"] for r in ranged.groupBy("sorted_range").count().collect()}
+    before, held = 0, []
+    for part in sorted(counts):
+        if before < start + page_size and before + counts[part] > start:
+            held.append((part, before))
+        before += counts[part]
+    if not held:
+        return df.limit(0)
+    offsets = F.create_map(*[F.lit(x) for pair in held for x in pair])
+    inside = F.row_number().over(Window.partitionBy("sorted_range").orderBy(*order))
+    numbered = ranged.where(F.col("sorted_range").isin([part for part, _ in held])).withColumn(
+        "sorted_place", offsets[F.col("sorted_range")] + inside
+    )
+    cut = numbered.where(F.col("sorted_place").between(start + 1, start + page_size))
+    return cut.orderBy("sorted_place").select(*df.columns)
 
 
 def page_counts(df: DataFrame, page_size: int, *, at_least_one: bool = False) -> DataFrame:

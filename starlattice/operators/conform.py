@@ -89,16 +89,22 @@ EXTRACTS = {
 }
 
 
+# An order line has either a unit price or a line amount.
+EITHER = {"order_product": {"ordered_price", "line_amount"}}
+
+
 def conform(source: DataFrame, table: str, since: date | str = NEVER_LOADED) -> DataFrame:
     """Rows changed on or after `since`, renamed and cleaned.
 
-    An order line has either a unit price or a line amount; a mapped column
-    the source does not have is left out.
+    A mapped column that the source lacks is an error, but for one of an order
+    line's price and amount.
     """
     extract = EXTRACTS[table]
+    either = EITHER.get(table, set())
+    lacking = {name for name, _, _ in extract.columns if name not in source.columns}
+    if (lacking - either) or (either and either <= lacking):
+        raise ValueError(f"source of {table} lacks {', '.join(sorted(lacking))}")
     projected: list[Column] = [
-        RULES[rule](F.col(name)).alias(target)
-        for name, target, rule in extract.columns
-        if name in source.columns
+        RULES[rule](F.col(name)).alias(target) for name, target, rule in extract.columns if name not in lacking
     ]
     return source.where(changed_since(extract.change_column, since, inclusive=True)).select(*projected)

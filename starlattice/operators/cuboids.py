@@ -271,14 +271,20 @@ def build_from(parent: Cuboid, rows: DataFrame, cuboid: Cuboid) -> DataFrame:
     return sums(rows, cuboid.dimensions, cuboid.measures)
 
 
-def refresh_waves(cube: str) -> list[list[Cuboid]]:
-    """The cuboids of a cube in waves: the smallest parent of each is in an earlier wave."""
+def smallest_parents(cuboid: Cuboid) -> list[Cuboid]:
+    """Its parents with the fewest columns; which has the fewest rows is known once they are written."""
+    found = parents(cuboid)
+    return [p for p in found if len(p.dimensions) == len(found[0].dimensions)]
+
+
+def refresh_order(cube: str) -> list[Cuboid]:
+    """The cuboids of a cube, each after the parents it may be summed from."""
     waiting = list(LATTICES[cube].values())
     done: set[str] = set()
-    waves = []
+    order: list[Cuboid] = []
     while waiting:
-        ready = [c for c in waiting if not parents(c) or parents(c)[0].name in done]
-        waves.append(sorted(ready, key=lambda c: (-len(c.dimensions), c.name)))
+        ready = [c for c in waiting if all(p.name in done for p in smallest_parents(c))]
+        order += sorted(ready, key=lambda c: (-len(c.dimensions), c.name))
         done |= {c.name for c in ready}
         waiting = [c for c in waiting if c.name not in done]
-    return waves
+    return order

@@ -18,12 +18,14 @@ from starlattice.schemas import MEASURES, QUANTITY_TOTAL
 from starlattice.sources.warehouse import Warehouse
 
 Filters = Mapping[str, Any] | None
+# Statuses, their factors and the coverage of products without sales.
 STATUSES = ("optimal", "overstock", "understock")
 OVERSTOCK_FACTOR = 1.2
 UNDERSTOCK_FACTOR = 0.8
 NO_SALES_COVERAGE = 999.0
-# Ratios are summed as decimals of this type: the sum does not depend on task order.
-SCORE = "decimal(24,6)"
+# Ratios are summed as decimals of this type: the sum does not depend on task order,
+# and the twelve places are finer than any score that is shown.
+SCORE = "decimal(38,12)"
 
 
 def _without_store(filters: Filters) -> dict[str, Any]:

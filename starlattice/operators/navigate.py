@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starlattice.functions.paging import MAX_PAGE_SIZE, page_counts, page_of, sort_columns
+from starlattice.functions.paging import page_counts, page_of, sort_columns
 from starlattice.functions.periods import ALL_TIME_COLUMNS, TIME_COLUMNS
 from starlattice.functions.predicates import active_filters, equals_all, key_contains
 from starlattice.operators.cuboids import (
@@ -91,7 +91,10 @@ def answer(
     cuboid = choose(cube, group, filters)
     if cuboid is None:
         # Customer type together with a place: no cuboid has both.
-        rows = sales_rollup(wh, [c for c in _ordered(cube) if c in {*group, *filters}])
+        columns = [c for c in _ordered(cube) if c in {*group, *filters}]
+        rows = sales_rollup(wh, columns)
+        if set(columns) == set(group):
+            return rows.where(equals_all(filters)).select(*group, *measures)
         return sums(rows.where(equals_all(filters)), group, measures)
     return _finish(wh.cuboid(cuboid.name).where(equals_all(filters)), cuboid, group, filters, measures)
 
@@ -126,6 +129,9 @@ def latest_in_filter(wh: Warehouse, group: Iterable[str], filters: Mapping[str,
     return latest_stock(months, time, "total_quantity_on_hand", "period", place)
 
 
+# Row groups of a page that is broadcast: a few short values each.
+BROADCAST_PAGE = 500
+
 # --- pivot ------------------------------------------------------------------
 
 
@@ -199,8 +205,8 @@ def pivot(wh: Warehouse, spec: Pivot) -> DataFrame:
     """Cells with the total of their row, for one page of row groups, sorted.
 
     Row totals are summed with partial aggregation and joined back to the
-    cells, so a row group with very many cells never sits in one task. A page
-    holds at most `MAX_PAGE_SIZE` row groups, which bounds the broadcast side.
+    cells, so a row group with very many cells never sits in one task. A page of
+    up to `BROADCAST_PAGE` row groups is broadcast to the cells.
     """
     check_fields(spec.cube, [*spec.rows, *spec.columns, *active_filters(spec.filters)], spec.measures)
     grid = cells(wh, spec)
@@ -211,9 +217,9 @@ def pivot(wh: Warehouse, spec: Pivot) -> DataFrame:
         return with_total.orderBy(*result_order(spec)) if spec.columns else with_total
     totals = row_totals(wh, spec)
     if spec.page is not None:
-        if spec.page_size > MAX_PAGE_SIZE:
-            raise ValueError(f"page_size is at most {MAX_PAGE_SIZE}")
-        totals = F.broadcast(page_of(totals, row_order(spec), spec.page, spec.page_size))
+        totals = page_of(totals, row_order(spec), spec.page, spec.page_size)
+        if spec.page_size <= BROADCAST_PAGE:
+            totals = F.broadcast(totals)
     joined = grid.join(totals, list(spec.rows))
     return joined.select(*spec.rows, *spec.columns, *spec.measures, ROW_TOTAL).orderBy(*result_order(spec))
 
@@ -226,39 +232,52 @@ def pivot_page_counts(wh: Warehouse, spec: Pivot) -> DataFrame:
     return page_counts(groups, spec.page_size, at_least_one=True)
 
 
-def crosstab(wh: Warehouse, spec: Pivot, column_values: Iterable[str]) -> DataFrame:
+# The column that holds what lies in none of the listed column groups.
+REMAINDER = "other"
+
+
+def _column_label(spec: Pivot) -> Column:
+    return F.concat_ws(" | ", *[F.coalesce(F.col(c).cast("string"), F.lit("N/A")) for c in spec.columns])
+
+
+def crosstab(
+    wh: Warehouse, spec: Pivot, column_values: Iterable[str] | None = None, at_most: int = 10_000
+) -> DataFrame:
     """Two-dimensional table of the first measure: one column per column-group value.
 
     Column groups are labelled by their values joined with " | ", missing
-    values as "N/A". Empty cells are 0 and a row total closes each row.
+    values as "N/A". Empty cells are 0 and the total of all cells closes each row.
+    The columns are those of the data, refused beyond `at_most`; with
+    `column_values` they are the listed ones and a last one, `REMAINDER`, for the rest.
     """
     main = spec.measures[0]
     kind = MEASURES[spec.cube][main]
-    values = list(column_values)
-    labels = [F.coalesce(F.col(c).cast("string"), F.lit("N/A")) for c in spec.columns]
-    table = (
-        cells(wh, spec)
-        .withColumn("column_label", F.concat_ws(" | ", *labels))
-        .groupBy(*spec.rows)
-        .pivot("column_label", values)
-        .agg(total(main))
+    listed = column_values is not None
+    values = list(column_values) if listed else column_labels(wh, spec, at_most)
+    clash = {*spec.rows, ROW_TOTAL, *([REMAINDER] if listed else [])} & set(values)
+    if clash:
+        raise ValueError(f"column groups named like another column: {', '.join(sorted(clash))}")
+    label = _column_label(spec)
+    shown = [*values, REMAINDER] if listed else values
+    labelled = cells(wh, spec).withColumn(
+        "column_label", F.when(label.isin(values), label).otherwise(REMAINDER) if listed else label
     )
-    filled = [F.coalesce(F.col(f"`{v}`"), F.lit(0)).cast(kind).alias(v) for v in values]
-    every = sum((F.coalesce(F.col(f"`{v}`"), F.lit(0)) for v in values), F.lit(0)).cast(kind)
-    return table.select(*spec.rows, *filled, every.alias(ROW_TOTAL))
+    table = labelled.groupBy(*spec.rows).pivot("column_label", shown).agg(total(main)) if shown else (
+        labelled.select(*spec.rows).distinct()
+    )
+    filled = [F.coalesce(F.col(f"`{v}`"), F.lit(0)).cast(kind) for v in shown]
+    every = sum(filled, F.lit(0)).cast(kind)
+    return table.select(*spec.rows, *[c.alias(v) for c, v in zip(filled, shown)], every.alias(ROW_TOTAL))
 
 
 def column_labels(wh: Warehouse, spec: Pivot, at_most: int = 10_000) -> list[str]:
     """The column-group labels present, numbers in number order; refuses more than `at_most`."""
-    labels = [F.coalesce(F.col(c).cast("string"), F.lit("N/A")) for c in spec.columns]
     groups = answer(wh, spec.cube, spec.columns, spec.filters, spec.measures)
-    found = groups.select(F.concat_ws(" | ", *labels).alias("label"), *spec.columns).orderBy(
-        *sort_columns(spec.columns)
-    )
+    found = groups.select(_column_label(spec).alias("label"), *spec.columns).orderBy(*sort_columns(spec.columns))
     rows = found.limit(at_most + 1).collect()
     if len(rows) > at_most:
         raise ValueError(f"more than {at_most} column groups")
-    return [r["label"] for r in rows]
+    return list(dict.fromkeys(r["label"] for r in rows))
 
 
 def top_cells(wh: Warehouse, spec: Pivot, n: int = 100) -> DataFrame:

@@ -360,7 +360,7 @@ on_star(
 def city_risk_sql(where: str | None = None) -> str:
     def score(top: str, bottom: str) -> str:
         divisor = f"CASE WHEN {bottom} > 0 THEN {bottom} ELSE 1 END"
-        return f"CAST(CAST({top} AS DOUBLE) / CAST({divisor} AS DOUBLE) AS DECIMAL(24,6))"
+        return f"CAST(CAST({top} AS DOUBLE) / CAST({divisor} AS DOUBLE) AS DECIMAL(38,12))"
 
     def mean(status: str, column: str) -> str:
         kept = f"FILTER (status = '{status}')"

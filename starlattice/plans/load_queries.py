@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,10 +98,10 @@ def through_csv(table: str):
         root = open_warehouse(spark, folder).root
         source = given_tables.SOURCES[table](spark, folder)
         if root is None:
-            return conform(source, table)
-        path = f"{root}/csv/{table}"
+            raise ValueError("CSV files need the shared folder that spark.checkpoint.dir names")
+        path = f"{root}/csv/{table}-{uuid.uuid4().hex[:12]}"
         columns = [c.split(" ")[0] for c in SOURCE_SCHEMAS[table].split(", ")]
-        quoted = source.select(*columns).write.mode("overwrite").option("header", True).option("escape", '"')
+        quoted = source.select(*columns).write.option("header", True).option("escape", '"')
         quoted.csv(path)
         read = conform(read_csv(spark, path, table), table)
         kinds = dict(conform(source, table).dtypes)

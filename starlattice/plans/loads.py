@@ -1,30 +1,35 @@
 """Incremental loads: sources to conformed tables, conformed tables to the star.
 
-Every load reads its high-water mark, stores the batch, applies it by the rule
-of the target table and records the new mark last. A load that stops half-way
-leaves the mark where it was, and running it again gives the same table:
-
-- insert-if-absent targets are appended to; rows that made it are found again,
-- targets with named-column updates are written to a new folder that only
-  becomes current with the mark,
-- facts change only in the months the batch touches. The new content of those
-  months is written aside and recorded before it replaces the old one, so an
-  additive batch is never added twice.
+Loads of a store are numbered. A load writes new files only, under its number,
+and a row of the state table publishes them; what an unfinished load left is
+never read, and running that load again gives the same table and counts:
+
+- insert-if-absent targets gain a folder with the rows they lacked,
+- targets with named-column updates get a new version,
+- facts get new versions of the months that the batch touches.
+
+Sources are read by business date, rows dated on the mark again. Between the
+layers rows are carried by load number instead: the star takes every conformed
+row that is newer than its last load, whatever its date, and a line (store)
+whose order (office) comes later is taken when that arrives.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import json
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from starlattice.operators import star, upsert
 from starlattice.operators.conform import EXTRACTS, NEVER_LOADED, conform
 from starlattice.schemas import PRIMARY_KEYS
+from starlattice.sources.storage import drop_folder, read_if_there
 from starlattice.sources.warehouse import Warehouse
 
 # Load order, parents before children.
@@ -35,7 +40,7 @@ SOURCE_TABLES = (
 STAR_TABLES = (
     "dim_time", "dim_location", "dim_product", "dim_store", "dim_customer", "fact_sales", "fact_inventory",
 )
-# The conformed table and column whose newest date is the mark of a star table.
+# The conformed table and column whose newest date is reported as the mark of a star table.
 STAR_CHANGES = {
     "dim_time": ("order", "order_date"),
     "dim_location": ("representative_office", "last_updated_time"),
@@ -46,7 +51,13 @@ STAR_CHANGES = {
     "fact_inventory": ("stocked_product", "last_updated_time"),
 }
 FACTS = ("fact_sales", "fact_inventory")
-STATE = "layer string, table_name string, step string, number int, mark date, path string, at timestamp"
+NUMBER = "load_number"
+STATE = (
+    "number int, mark date, parts string, inserted bigint, updated bigint, schema string, at timestamp, "
+    "layer string, table_name string"
+)
+# Versions of a table that stay for readers of an earlier one.
+KEPT_VERSIONS = 2
 
 
 @dataclass(frozen=True)
@@ -58,143 +69,233 @@ class LoadReport:
 
 
 class LoadStore:
-    """The loaded tables under one shared folder, and the small table that says which are current."""
+    """The loaded tables under one shared folder, and the state table that says what of them is published."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
-        self.root = root
-
-    def state(self, layer: str, table: str, step: str = "loaded") -> Row | None:
-        """The newest state row of a table."""
+        self.root = root.rstrip("/")
+        self._held: dict[tuple[str, str], Row] | None = None
+
+    def current(self) -> dict[tuple[str, str], Row]:
+        """The newest state row of every table, read once while `held`."""
+        if self._held is not None:
+            return self._held
+        rows = read_if_there(self.spark, f"{self.root}/state", STATE)
+        if rows is None:
+            return {}
+        newest = rows.groupBy("layer", "table_name").agg(F.max_by(F.struct("*"), "number").alias("row"))
+        return {(r["layer"], r["table_name"]): r for r in newest.select("row.*").collect()}
+
+    @contextmanager
+    def held(self) -> Iterator[None]:
+        """Reads the state once for the loads inside, of which a store has one at a time."""
+        self._held = self.current()
         try:
-            rows = self.spark.read.schema(STATE).parquet(f"{self.root}/state")
-        except AnalysisException:
-            return None
-        mine = rows.where((F.col("layer") == layer) & (F.col("table_name") == table) & (F.col("step") == step))
-        return mine.orderBy(F.col("number").desc()).first()
-
-    def record(self, layer: str, table: str, step: str, number: int, mark: date, path: str, at: datetime) -> None:
-        row = [(layer, table, step, number, mark, path, at)]
-        self.spark.createDataFrame(row, STATE).coalesce(1).write.mode("append").parquet(f"{self.root}/state")
-
-    def read(self, layer: str, table: str) -> DataFrame | None:
+            yield
+        finally:
+            self._held = None
+
+    def state(self, layer: str, table: str) -> Row | None:
+        return self.current().get((layer, table))
+
+    def next_number(self) -> int:
+        return max((row["number"] for row in self.current().values()), default=0) + 1
+
+    def record(
+        self, layer: str, table: str, number: int, mark: date, parts: dict, counts: tuple[int, int], schema: str, at: datetime
+    ) -> None:
+        row = [(number, mark, json.dumps(parts), *counts, schema, at, layer, table)]
+        state = self.spark.createDataFrame(row, STATE).coalesce(1)
+        state.write.mode("append").partitionBy("layer", "table_name").parquet(f"{self.root}/state")
+        if self._held is not None:
+            self._held[layer, table] = Row(*(f.split(" ")[0] for f in STATE.split(", ")))(*row[0])
+
+    def version(self) -> str:
+        """Names the published content of the star."""
+        states = self.current()
+        found = [states.get(("star", t)) for t in STAR_TABLES]
+        return "-".join(str(s["number"] if s else 0) for s in found)
+
+    def read(self, layer: str, table: str, *, numbered: bool = False) -> DataFrame | None:
+        """The published rows, with the number of the load that last changed each if `numbered`."""
         known = self.state(layer, table)
-        return self.spark.read.parquet(known["path"]) if known else None
-
-    def table(self, layer: str, table: str) -> DataFrame:
-        found = self.read(layer, table)
+        if known is None:
+            return None
+        parts = json.loads(known["parts"])
+        folder = f"{self.root}/{layer}/{table}"
+        rows = self.spark.read.schema(known["schema"])
+        if "version" in parts:
+            found = rows.parquet(f"{folder}/versions/{parts['version']}")
+        elif "loads" in parts:
+            found = rows.parquet(f"{folder}/rows").where(F.col(NUMBER).isin(parts["loads"]))
+        else:
+            # A month and its version are partitions, so months of other versions are not read.
+            of_version: dict[int, list[int]] = {}
+            for month, number in parts["months"].items():
+                of_version.setdefault(number, []).append(int(month))
+            current: list[Column] = [
+                (F.col(NUMBER) == number) & F.col("time_key").isin(months) for number, months in of_version.items()
+            ]
+            found = rows.parquet(f"{folder}/months").where(reduce(lambda a, b: a | b, current, F.lit(False)))
+        return found if numbered else found.drop(NUMBER)
+
+    def table(self, layer: str, table: str, *, numbered: bool = False) -> DataFrame:
+        found = self.read(layer, table, numbered=numbered)
         if found is None:
             raise ValueError(f"{layer} table {table} was never loaded")
         return found
 
 
-def _mark_of(state: Row | None) -> date:
-    return state["mark"] if state else NEVER_LOADED
+def _schema(df: DataFrame) -> str:
+    return ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
 
 
 def _load(
-    store: LoadStore, layer: str, table: str, batch: DataFrame, newest: date | None, at: datetime
+    store: LoadStore, layer: str, table: str, batch: DataFrame, newest: date | None, at: datetime, *, rebuild: bool = False
 ) -> LoadReport:
-    """Apply one batch and record the mark; `newest` is the latest business date seen."""
+    """Apply one batch and publish the result; `newest` is the latest business date seen.
+
+    With `rebuild` the batch is the whole table, which replaces the old one.
+    """
     spark, key = store.spark, list(PRIMARY_KEYS[table])
     known = store.state(layer, table)
-    number = known["number"] + 1 if known else 1
-    mark = max(_mark_of(known), newest or NEVER_LOADED)
+    number = store.next_number()
+    mark = max(known["mark"] if known else NEVER_LOADED, newest or NEVER_LOADED)
     folder = f"{store.root}/{layer}/{table}"
     order_by = [c for c in batch.columns if c == "last_updated_time"]
 
     stored_batch = f"{folder}/batches/{number}"
-    staged = store.state(layer, table, "staged")
-    is_staged = staged is not None and staged["number"] == number
-    if not is_staged:
-        batch.write.mode("overwrite").parquet(stored_batch)
+    batch.write.mode("overwrite").parquet(stored_batch)
     batch = spark.read.schema(batch.schema).parquet(stored_batch)
-    old = store.read(layer, table)
+    old = None if rebuild else store.read(layer, table)
     if old is None:
         old = batch.limit(0)
-
     rule = upsert.UPSERT_RULES[table]
+    counts = tuple(upsert.load_counts(old, batch, key, updates=rule != "absent").first())
+    before = json.loads(known["parts"]) if known else {}
+    schema = f"{_schema(batch)}, {NUMBER} int"
     if table in FACTS:
-        path, aside = f"{folder}/months", f"{folder}/staged/{number}"
-        if not is_staged:
-            counts = upsert.load_counts(old, batch, key, updates=True).first()
-            merged = upsert.upsert_touched(old, batch, table, key, "time_key", order_by)
-            merged.write.mode("overwrite").parquet(aside)
-            store.record(layer, table, "staged", number, mark, aside, at)
-        else:
-            mark, counts = staged["mark"], (0, 0)
-        upsert.replace_partitions(spark.read.schema(batch.schema).parquet(aside), path, "time_key")
+        merged = upsert.upsert_touched(old, batch, table, key, "time_key", order_by)
+        spread = merged.hint("rebalance", "time_key")
+        spread.write.mode("overwrite").partitionBy("time_key").parquet(f"{folder}/months/{NUMBER}={number}")
+        touched = {str(m): number for m in upsert.touched_values(batch, "time_key")}
+        parts = {"months": ({} if rebuild else before.get("months", {})) | touched}
     elif rule == "absent":
-        path = f"{folder}/rows"
-        counts = upsert.load_counts(old, batch, key, updates=False).first()
-        upsert.new_rows(old, batch, key, order_by).write.mode("append").parquet(path)
+        upsert.new_rows(old, batch, key, order_by).write.mode("overwrite").parquet(f"{folder}/rows/{NUMBER}={number}")
+        parts = {"loads": [*before.get("loads", []), number]}
     else:
-        path = f"{folder}/versions/{number}"
-        counts = upsert.load_counts(old, batch, key, updates=True).first()
-        upsert.upsert(old, batch, table, key, order_by).write.mode("overwrite").parquet(path)
-    store.record(layer, table, "loaded", number, mark, path, at)
+        numbered = batch.withColumn(NUMBER, F.lit(number))
+        held = numbered.limit(0) if known is None or rebuild else store.table(layer, table, numbered=True)
+        merged = upsert.update_named(held, numbered, key, [*rule, NUMBER], order_by)
+        merged.write.mode("overwrite").parquet(f"{folder}/versions/{number}")
+        parts = {"version": number}
+    older = [{k: v for k, v in before.items() if k != "older"}, *before.get("older", [])] if "loads" not in parts and before else []
+    parts["older"] = older[: KEPT_VERSIONS - 1]
+    store.record(layer, table, number, mark, parts, counts, schema, at)
+    drop_folder(spark, stored_batch)
+    kept = [parts, *parts["older"]]
+    for gone in older[KEPT_VERSIONS - 1 :]:
+        _expire(store, folder, gone, kept)
     return LoadReport(table, counts[0], counts[1], mark)
 
 
+def _expire(store: LoadStore, folder: str, gone: dict, kept: list[dict]) -> None:
+    """Drops the files of a version that neither the current one nor a kept older one has."""
+    if "version" in gone:
+        drop_folder(store.spark, f"{folder}/versions/{gone['version']}")
+    for month, version in gone.get("months", {}).items():
+        if all(p["months"].get(month) != version for p in kept):
+            drop_folder(store.spark, f"{folder}/months/{NUMBER}={version}/time_key={month}")
+
+
 def load_sources(
     store: LoadStore,
     sources: Mapping[str, DataFrame],
     at: datetime,
     tables: Iterable[str] = SOURCE_TABLES,
+    *,
+    everything: bool = False,
 ) -> list[LoadReport]:
-    """Changed source rows into the conformed tables; rows dated on the mark are read again."""
-    reports = []
-    for table in tables:
-        since = _mark_of(store.state("conformed", table))
-        batch = conform(sources[table], table, since)
-        change = next(target for name, target, _ in EXTRACTS[table].columns if name == EXTRACTS[table].change_column)
-        newest = upsert.high_water_mark(batch, change).first()[0]
-        reports.append(_load(store, "conformed", table, batch, newest, at))
-    return reports
+    """Changed source rows into the conformed tables; rows dated on the mark are read again.
+
+    With `everything` the marks are left aside, which also takes rows that
+    reached a source late with an older date.
+    """
+    with store.held():
+        return [_load_source(store, sources[table], table, at, everything) for table in tables]
+
+
+def _load_source(store: LoadStore, source: DataFrame, table: str, at: datetime, everything: bool) -> LoadReport:
+    known = store.state("conformed", table)
+    since = known["mark"] if known and not everything else NEVER_LOADED
+    batch = conform(source, table, since)
+    change = next(target for name, target, _ in EXTRACTS[table].columns if name == EXTRACTS[table].change_column)
+    newest = upsert.high_water_mark(batch, change).first()[0]
+    return _load(store, "conformed", table, batch, newest, at)
+
+
+def star_batch(store: LoadStore, table: str, since: int, as_of: date) -> DataFrame:
+    """Rows of a star table to which a conformed row newer than load `since` contributes."""
 
+    def rows(name: str) -> DataFrame:
+        return store.table("conformed", name, numbered=True)
 
-def star_batch(store: LoadStore, table: str, since: date, as_of: date) -> DataFrame:
-    """Rows of a star table from conformed rows newer than the mark."""
+    def new(name: str) -> DataFrame:
+        return rows(name).where(F.col(NUMBER) > since).drop(NUMBER)
 
-    def conformed(name: str) -> DataFrame:
-        return store.table("conformed", name)
+    def all_of(name: str) -> DataFrame:
+        return rows(name).drop(NUMBER)
+
+    def late(child: str, parent: str, key: str) -> DataFrame:
+        """Old rows whose parent is new: they were waiting for it."""
+        old = rows(child).where(F.col(NUMBER) <= since).drop(NUMBER)
+        return old.join(new(parent).select(key), key, "left_semi").select(*old.columns)
 
     if table == "dim_time":
-        return star.dim_time(conformed("order"), as_of, since)
+        return star.dim_time(new("order"), as_of)
     if table == "dim_location":
-        return star.dim_location(conformed("representative_office"), since)
+        return star.dim_location(new("representative_office"))
     if table == "dim_product":
-        return star.dim_product(conformed("product"), since)
+        return star.dim_product(new("product"))
     if table == "dim_store":
-        return star.dim_store(conformed("store"), conformed("representative_office"), since)
+        stores = new("store").unionByName(late("store", "representative_office", "city_id"))
+        return star.dim_store(stores, all_of("representative_office"))
     if table == "dim_customer":
-        return star.dim_customer(
-            conformed("customer"), conformed("tourist_customer"), conformed("mail_order_customer"), since
-        )
+        names = ("customer", "tourist_customer", "mail_order_customer")
+        changed = reduce(DataFrame.union, [new(n).select("customer_id") for n in names]).distinct()
+        customers = all_of("customer").join(changed, "customer_id", "left_semi")
+        return star.dim_customer(customers, all_of("tourist_customer"), all_of("mail_order_customer"))
     if table == "fact_sales":
-        return star.fact_sales(conformed("order_product"), conformed("order"), since)
-    return star.fact_inventory(conformed("stocked_product"))
+        lines = new("order_product").unionByName(late("order_product", "order", "order_id"))
+        return star.fact_sales(lines, all_of("order"))
+    return star.fact_inventory(all_of("stocked_product"))
 
 
 def load_star(
-    store: LoadStore, as_of: date, at: datetime, tables: Iterable[str] = STAR_TABLES
+    store: LoadStore, as_of: date, at: datetime, tables: Iterable[str] = STAR_TABLES, *, rebuild: bool = False
 ) -> list[LoadReport]:
-    """Conformed rows after each mark into dimensions and facts."""
-    reports = []
-    for table in tables:
-        since = _mark_of(store.state("star", table))
-        source, change = STAR_CHANGES[table]
-        newest = upsert.high_water_mark(store.table("conformed", source), change).first()[0]
-        if table == "dim_customer":
-            for members in ("tourist_customer", "mail_order_customer"):
-                late = upsert.high_water_mark(store.table("conformed", members), "last_updated_time").first()[0]
-                newest = max(d for d in (newest, late, NEVER_LOADED) if d is not None)
-        reports.append(_load(store, "star", table, star_batch(store, table, since, as_of), newest, at))
-    return reports
+    """Conformed rows after each table's last load into dimensions and facts.
+
+    With `rebuild`, facts are made anew from all conformed rows.
+    """
+    with store.held():
+        return [_load_star(store, table, as_of, at, rebuild and table in FACTS) for table in tables]
+
+
+def _load_star(store: LoadStore, table: str, as_of: date, at: datetime, rebuild: bool) -> LoadReport:
+    known = store.state("star", table)
+    since = known["number"] if known and not rebuild else 0
+    source, change = STAR_CHANGES[table]
+    newest = upsert.high_water_mark(store.table("conformed", source), change).first()[0]
+    if table == "dim_customer":
+        for members in ("tourist_customer", "mail_order_customer"):
+            late = upsert.high_water_mark(store.table("conformed", members), "last_updated_time").first()[0]
+            newest = max(d for d in (newest, late, NEVER_LOADED) if d is not None)
+    return _load(store, "star", table, star_batch(store, table, since, as_of), newest, at, rebuild=rebuild)
 
 
 def open_loaded(store: LoadStore, folder: str) -> Warehouse:
     """A warehouse over the loaded star; the star tables are read where they are, cuboids go to `folder`."""
     names = frozenset(STAR_TABLES)
     builders = {name: (lambda _, n=name: store.table("star", n)) for name in names}
-    return Warehouse(store.spark, builders, folder, views=names)
+    return Warehouse(store.spark, builders, folder, views=names, version=store.version)

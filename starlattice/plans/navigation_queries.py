@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.sql import DataFrame
+
 from starlattice.operators import adhoc
 from starlattice.operators import navigate as nav
 from starlattice.plans.registry import on_star
@@ -135,29 +137,43 @@ on_star(
     pivot_sql(["year"], ["state"]),
 )
 
-YEARS = [str(y) for y in range(1995, 2002)]
+def melted(table: DataFrame, rows: list[str]) -> DataFrame:
+    """A crosstab with one row per cell, so that its columns need not be known beforehand."""
+    return table.unpivot([*rows, nav.ROW_TOTAL], None, "column_label", "sum_amount")
 
 
-def crosstab_sql(rows: list[str], label: str, values: list[str], where: str = "TRUE") -> str:
-    shown = ", ".join(
-        f"CAST(COALESCE(SUM(amount) FILTER ({label} = '{v}'), 0) AS DOUBLE) AS \"{v}\"" for v in values
-    )
+def crosstab_sql(rows: list[str], label: str) -> str:
+    """Every row with every column group of the data, and the total over all sales of the row."""
+    keys = ", ".join(rows)
+    same = " AND ".join(f"c.{r} IS NOT DISTINCT FROM t.{r}" for r in rows)
     return (
-        f"SELECT {', '.join(rows)}, {shown}, CAST(SUM(amount) AS DOUBLE) AS {ROW_TOTAL} "
-        f"FROM sold WHERE {where} GROUP BY {', '.join(rows)}"
+        f"SELECT {', '.join(f't.{r}' for r in rows)}, CAST(t.amount AS DOUBLE) AS {ROW_TOTAL}, l.label AS column_label, "
+        "CAST(COALESCE(c.amount, 0) AS DOUBLE) AS sum_amount "
+        f"FROM (SELECT {keys}, SUM(amount) AS amount FROM sold GROUP BY {keys}) t "
+        f"CROSS JOIN (SELECT DISTINCT {label} AS label FROM sold) l "
+        f"LEFT JOIN (SELECT {keys}, {label} AS label, SUM(amount) AS amount FROM sold GROUP BY {keys}, {label}) c "
+        f"ON {same} AND c.label = l.label"
     )
 
 
 on_star(
     "crosstab_city_by_year",
-    lambda wh: nav.crosstab(wh, nav.Pivot(rows=("state", "city"), columns=("year",)), YEARS),
-    crosstab_sql(["state", "city"], "CAST(year AS VARCHAR)", YEARS),
+    lambda wh: melted(nav.crosstab(wh, nav.Pivot(rows=("state", "city"), columns=("year",))), ["state", "city"]),
+    crosstab_sql(["state", "city"], "CAST(year AS VARCHAR)"),
 )
-QUARTER_TYPES = [f"{q} | {t}" for q in range(1, 5) for t in ("Both", "MailOrder", "Tourist", "Unknown")]
 on_star(
     "crosstab_year_by_quarter_and_type",
-    lambda wh: nav.crosstab(wh, nav.Pivot(rows=("year",), columns=("quarter", "customer_type")), QUARTER_TYPES),
-    crosstab_sql(["year"], "CAST(quarter AS VARCHAR) || ' | ' || customer_type", QUARTER_TYPES),
+    lambda wh: melted(nav.crosstab(wh, nav.Pivot(rows=("year",), columns=("quarter", "customer_type"))), ["year"]),
+    crosstab_sql(["year"], "CAST(quarter AS VARCHAR) || ' | ' || customer_type"),
+)
+LISTED_YEARS = ["1996", "1998"]
+on_star(
+    "crosstab_listed_years_and_the_rest",
+    lambda wh: nav.crosstab(wh, nav.Pivot(rows=("state",), columns=("year",)), LISTED_YEARS),
+    "SELECT state, "
+    + "".join(f"CAST(COALESCE(SUM(amount) FILTER (year = {y}), 0) AS DOUBLE) AS \"{y}\", " for y in LISTED_YEARS)
+    + "CAST(COALESCE(SUM(amount) FILTER (year NOT IN (1996, 1998)), 0) AS DOUBLE) AS other, "
+    f"CAST(SUM(amount) AS DOUBLE) AS {ROW_TOTAL} FROM sold GROUP BY state",
 )
 on_star(
     "top_100_cells",
@@ -311,3 +327,11 @@ on_star(
     "CAST(SUM(amount) AS DOUBLE) AS revenue FROM sales JOIN months USING (time_key) JOIN buyer USING (customer_key) "
     "WHERE customer_type IN ('Tourist', 'Both') AND year = 1999 GROUP BY ALL",
 )
+
+on_star(
+    "raw_sales_deep_page",
+    lambda wh: nav.drill_through(wh, "sales", {"time_key": "All"}, page=31, page_size=1000),
+    "SELECT time_key, product_key, customer_key, CAST(quantity AS BIGINT) AS quantity_ordered, "
+    "CAST(amount AS DOUBLE) AS total_amount FROM sales "
+    "ORDER BY time_key, product_key, customer_key LIMIT 1000 OFFSET 30000",
+)

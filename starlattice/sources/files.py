@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from starlattice.schemas import SOURCE_SCHEMAS
@@ -53,19 +55,26 @@ def read_database(
 
 
 def write_full_refresh(
-    df: DataFrame, path: str, *, partition_by: str | None = None, sort_by: str | None = None
+    df: DataFrame,
+    path: str,
+    *,
+    partition_by: str | None = None,
+    sort_by: str | None = None,
+    watch: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> None:
     """Replace a stored table; an empty input leaves an empty table.
 
+    `watch` sees the rows as they go into the files, for counts that come with the write.
+
     With `partition_by`, rows are first rebalanced by that column: adaptive
     execution splits a partition value that holds far more rows than others
     over several files and packs small ones together. `sort_by` orders the
     rows inside each file, so that a filter on that column skips most pages.
     """
     if partition_by is None:
-        df.write.mode("overwrite").parquet(path)
+        watch(df).write.mode("overwrite").parquet(path)
         return
     spread = df.hint("rebalance", partition_by)
     if sort_by is not None:
         spread = spread.sortWithinPartitions(partition_by, sort_by)
-    spread.write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    watch(spread).write.mode("overwrite").partitionBy(partition_by).parquet(path)

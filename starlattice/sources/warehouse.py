@@ -2,27 +2,31 @@
 
 Tables live under the shared folder that `spark.checkpoint.dir` names, so an
 executor that is lost takes no state with it and every later query starts from
-a table instead of the raw joins.
+a table instead of the raw joins. A manifest beside them says which table was
+written where and from which version of its input; later sessions find it there.
 """
 
 from __future__ import annotations
 
 import hashlib
-import tempfile
+import pathlib
 import threading
+import time
 import uuid
 from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starlattice.operators import cuboids, star
 from starlattice.operators.conform import conform
 from starlattice.sources import given_tables
 from starlattice.sources.files import write_full_refresh
+from starlattice.sources.storage import drop_folder, exists, fingerprint, read_if_there
 
 # A dimension up to this many rows is broadcast: keys and a few short strings, about 10 MB.
 BROADCAST_ROWS = 100_000
@@ -33,21 +37,27 @@ CONCURRENT_JOBS = 8
 # The month that dim_time always contains when the given tables are loaded.
 AS_OF = date(2001, 12, 31)
 
-_process_id = uuid.uuid4().hex[:12]
-_local_folder: tempfile.TemporaryDirectory | None = None
+# Refreshes of a cube that stay for readers of an earlier one.
+KEPT_REFRESHES = 2
+
+MANIFEST = "version string, name string, path string, schema string, row_count bigint, measure_sum bigint, refresh string, at bigint"
 
 
 def shared_folder(spark: SparkSession) -> str | None:
-    """The cluster's shared folder; a private one only when Spark runs in this process."""
-    global _local_folder
+    """The cluster's shared folder, if the session names one."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        return None
-    if _local_folder is None:
-        _local_folder = tempfile.TemporaryDirectory(prefix="starlattice-", ignore_cleanup_errors=True)
-    return _local_folder.name
+    return configured.rstrip("/") if configured else None
+
+
+@dataclass(frozen=True)
+class Stored:
+    """A written table: where it lies, its rows and the sum of its first measure."""
+
+    name: str
+    path: str
+    schema: str
+    row_count: int
+    measure_sum: int | None
 
 
 Builder = Callable[["Warehouse"], DataFrame]
@@ -56,8 +66,10 @@ Builder = Callable[["Warehouse"], DataFrame]
 class Warehouse:
     """Star tables by name, cuboids by name, each built on first use.
 
-    With a `root` folder every table is written there and read back, except
-    the `views`; without one the tables stay lazy DataFrames.
+    With a `root` folder every table is written there, below a name of its own,
+    and read back, except the `views`; without one the tables stay lazy
+    DataFrames. `version` names the content of the input; tables that another
+    session wrote from the same version are read instead of built.
     """
 
     def __init__(
@@ -71,6 +83,7 @@ class Warehouse:
         sort_by: Mapping[str, str] | None = None,
         views: frozenset[str] = frozenset(),
         broadcast_rows: int = BROADCAST_ROWS,
+        version: Callable[[], str] | None = None,
     ):
         self.spark = spark
         self.root = root
@@ -80,19 +93,70 @@ class Warehouse:
         self._sort_by = dict(sort_by or {})
         self._views = views
         self._broadcast_rows = broadcast_rows
+        self._version = version
         self._tables: dict[str, DataFrame] = {}
+        self._stored: dict[str, Stored] = {}
         self._small: dict[str, bool] = {}
-        self._refreshes = 0
         self._lock = threading.Lock()
         self._building: dict[str, threading.RLock] = {}
-
-    def _keep(self, name: str, df: DataFrame, partition_by: str | None) -> DataFrame:
+        self._find_stored()
+
+    # --- what earlier sessions wrote ---
+
+    def _find_stored(self) -> None:
+        """The newest table of each name that was written from the current version."""
+        if self.root is None or self._version is None:
+            return
+        manifest = read_if_there(self.spark, f"{self.root}/manifest", MANIFEST, nested=True)
+        if manifest is None:
+            return
+        rows = manifest.where(F.col("version") == self._version()).orderBy("at").collect()
+        for row in rows:
+            found = Stored(row["name"], row["path"], row["schema"], row["row_count"], row["measure_sum"])
+            self._stored[row["name"]] = found
+        for name, found in list(self._stored.items()):
+            if exists(self.spark, found.path):
+                self._tables[name] = self._read(found)
+            else:
+                del self._stored[name]
+
+    def _publish(self, written: Iterable[Stored], refresh: str = "") -> None:
+        if self._version is None:
+            return
+        version, at = self._version(), time.time_ns()
+        rows = [(version, w.name, w.path, w.schema, w.row_count, w.measure_sum, refresh, at) for w in written]
+        # A folder of its own: tables are published at the same time.
+        path = f"{self.root}/manifest/{uuid.uuid4().hex}"
+        self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.parquet(path)
+
+    def _read(self, found: Stored) -> DataFrame:
+        return self.spark.read.schema(found.schema).parquet(found.path)
+
+    def _write(self, name: str, df: DataFrame, folder: str, partition_by: str | None) -> Stored:
+        """Writes a table below a path that nothing has used; its counts come with the write."""
+        path = f"{self.root}/{folder}/{name}-{uuid.uuid4().hex[:12]}"
+        measures = cuboids.CUBOIDS[name].measures if name in cuboids.CUBOIDS else ()
+        counts = Observation()
+        first = F.sum(next(iter(measures))).cast("bigint") if measures else F.max(F.lit(None).cast("bigint"))
+        write_full_refresh(
+            df,
+            path,
+            partition_by=partition_by,
+            sort_by=self._sort_by.get(name),
+            watch=lambda rows: rows.observe(counts, F.count(F.lit(1)).alias("row_count"), first.alias("measure_sum")),
+        )
+        schema = ", ".join(f"`{column}` {kind}" for column, kind in df.dtypes)
+        return Stored(name, path, schema, counts.get["row_count"], counts.get["measure_sum"])
+
+    def _keep(self, name: str, df: DataFrame, folder: str, partition_by: str | None) -> DataFrame:
         if self.root is None:
             return df
-        path = f"{self.root}/{name}"
-        write_full_refresh(df, path, partition_by=partition_by, sort_by=self._sort_by.get(name))
-        stored = self.spark.read.schema(df.schema).parquet(path)
-        return stored.select(*df.columns)
+        found = self._write(name, df, folder, partition_by)
+        self._publish([found])
+        self._stored[name] = found
+        return self._read(found)
+
+    # --- tables ---
 
     def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """The named table, built by the first caller while others of the same name wait."""
@@ -106,7 +170,7 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         def build() -> DataFrame:
             built = self._builders[name](self)
-            return built if name in self._views else self._keep(name, built, self._partition_by.get(name))
+            return built if name in self._views else self._keep(name, built, "star", self._partition_by.get(name))
 
         return self._once(name, build)
 
@@ -132,42 +196,69 @@ class Warehouse:
         cuboid = cuboids.CUBOIDS[name]
         if name not in self._tables and self._is_view(cuboid):
             return cuboids.build(self, cuboid)
-        return self._once(name, lambda: self._built(cuboid, self._tables, "cuboids"))
-
-    def _built(self, cuboid: cuboids.Cuboid, have: Mapping[str, DataFrame], folder: str) -> DataFrame:
-        stored = [p for p in cuboids.parents(cuboid) if p.name in have]
-        if self.root is not None and stored:
-            rows = cuboids.build_from(stored[0], have[stored[0].name], cuboid)
-        else:
-            rows = cuboids.build(self, cuboid)
-        by_year = "year" if cuboid.is_detail and cuboid.time != "none" else None
-        return self._keep(f"{folder}/{cuboid.name}", rows, by_year)
-
-    def refresh_cuboids(self, cube: str) -> list[str]:
-        """Rebuild every cuboid of a cube from its smallest parent and return their names.
-
-        Cuboids of one wave do not depend on each other and are submitted
-        together, so that small ones do not leave the cluster idle. A refresh
-        fills a new folder and is published when all of it is written: readers
-        of the last one are not disturbed, and a failed one changes nothing.
+
+        def build() -> DataFrame:
+            known = [self._stored[p.name] for p in cuboids.parents(cuboid) if p.name in self._stored]
+            return self._keep(name, self._rows(cuboid, known), "cuboids", self._by_year(cuboid))
+
+        return self._once(name, build)
+
+    def _rows(self, cuboid: cuboids.Cuboid, known: Iterable[Stored]) -> DataFrame:
+        """The rows of a cuboid from the written parent with the fewest rows, else from the fact."""
+        parent = min(known, key=lambda p: p.row_count, default=None)
+        if parent is None:
+            return cuboids.build(self, cuboid)
+        return cuboids.build_from(cuboids.CUBOIDS[parent.name], self._read(parent), cuboid)
+
+    @staticmethod
+    def _by_year(cuboid: cuboids.Cuboid) -> str | None:
+        return "year" if cuboid.is_detail and cuboid.time != "none" else None
+
+    def refresh_cuboids(self, cube: str) -> list[Stored]:
+        """Rebuild every cuboid of a cube from its smallest parent; what was written, by name.
+
+        The star tables are looked up anew. A cuboid starts as soon as the parents it
+        may be summed from are there. A refresh fills a new folder and is
+        published when all of it is written: readers of the last one, in this
+        session or another, are not disturbed, and a failed one changes nothing.
         """
+        if self.root is None:
+            raise ValueError("a refresh needs a shared folder")
         with self._lock:
-            self._refreshes += 1
-            folder = f"refresh-{self._refreshes}"
+            for name in self._views:
+                self._tables.pop(name, None)
+            self._small.clear()
         self.prepare(["fact_sales", "fact_inventory", "dim_time"])
         for name in ("dim_location", "dim_store", "dim_customer"):
             self.is_small(name)
-        fresh: dict[str, DataFrame] = {}
+        refresh = f"{cube}-{uuid.uuid4().hex[:12]}"
+        running: dict[str, Future[Stored]] = {}
 
-        def build(cuboid: cuboids.Cuboid) -> None:
-            fresh[cuboid.name] = self._built(cuboid, fresh, folder)
+        def build(cuboid: cuboids.Cuboid, parents: list[str]) -> Stored:
+            known = [running[p].result() for p in parents]
+            return self._write(cuboid.name, self._rows(cuboid, known), f"refresh/{refresh}", self._by_year(cuboid))
 
-        for wave in cuboids.refresh_waves(cube):
-            with ThreadPoolExecutor(CONCURRENT_JOBS) as jobs:
-                list(jobs.map(inheritable_thread_target(self.spark)(build), wave))
+        with ThreadPoolExecutor(CONCURRENT_JOBS) as jobs:
+            submitted = inheritable_thread_target(self.spark)(build)
+            # Parents are submitted first, so a waiting cuboid waits for one that runs.
+            for cuboid in cuboids.refresh_order(cube):
+                running[cuboid.name] = jobs.submit(submitted, cuboid, [p.name for p in cuboids.smallest_parents(cuboid)])
+        written = [f.result() for f in running.values()]
+        self._publish(written, refresh)
         with self._lock:
-            self._tables.update(fresh)
-        return list(fresh)
+            self._stored.update({w.name: w for w in written})
+            self._tables.update({w.name: self._read(w) for w in written})
+        self._expire(cube)
+        return written
+
+    def _expire(self, cube: str) -> None:
+        """Drops the folders of refreshes that are older than those kept."""
+        manifest = read_if_there(self.spark, f"{self.root}/manifest", MANIFEST, nested=True)
+        if manifest is None:
+            return
+        found = manifest.where(F.col("refresh").startswith(f"{cube}-")).groupBy("refresh").agg(F.max("at").alias("at"))
+        for row in found.orderBy(F.col("at").desc()).collect()[KEPT_REFRESHES:]:
+            drop_folder(self.spark, f"{self.root}/refresh/{row['refresh']}")
 
 
 # --- the warehouse of the given tables --------------------------------------
@@ -203,27 +294,42 @@ def star_builders(spark: SparkSession, folder: str) -> dict[str, Builder]:
     }
 
 
+# The given tables that the star is built from.
+GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+
+
+def _code_version() -> str:
+    """A digest of the code that builds tables: what other code wrote is built again."""
+    package = pathlib.Path(__file__).resolve().parent.parent
+    seen = hashlib.sha256()
+    for part in ("schemas.py", "functions/*.py", "operators/*.py", "sources/*.py"):
+        for path in sorted(package.glob(part)):
+            seen.update(path.read_bytes())
+    return seen.hexdigest()[:16]
+
+
 _open: dict[tuple[str, str], Warehouse] = {}
 _open_lock = threading.Lock()
 
 
 def open_warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    """The warehouse of a data folder, shared by all queries of this application."""
+    """The warehouse of a data folder, shared by all queries of this application and found again by later ones."""
     application = spark.conf.get("spark.app.id", "application")
     with _open_lock:
         key = (application, folder)
         if key not in _open:
             shared = shared_folder(spark)
             label = hashlib.sha256(folder.encode()).hexdigest()[:12]
-            root = f"{shared}/starlattice/{application}-{_process_id}/{label}" if shared else None
+            content = f"{fingerprint(spark, [f'{folder}/{t}.parquet' for t in GIVEN])}-{_code_version()}" if shared else ""
             _open[key] = Warehouse(
                 spark,
                 star_builders(spark, folder),
-                root,
+                f"{shared}/starlattice/{label}" if shared else None,
                 folder=folder,
                 # Products are a projection of the given table: copying them would gain nothing.
                 views=frozenset({"dim_product"}),
                 partition_by={"fact_sales": "time_key", "fact_inventory": "time_key"},
                 sort_by={"fact_sales": "customer_key", "fact_inventory": "product_key"},
+                version=lambda: content,
             )
         return _open[key]

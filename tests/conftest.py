@@ -4,6 +4,7 @@ import datetime as dt
 import os
 import random
 import sys
+import tempfile
 from decimal import Decimal
 
 import pytest
@@ -26,6 +27,7 @@ def spark():
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='starlattice-tests-')}")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

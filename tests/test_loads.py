@@ -31,7 +31,7 @@ def sources(spark, second):
     }
     if second:
         rows["product"] = [(1, "Stool", "L", Decimal("1.5"), Decimal("12"), day("2024-03-01"))]
-        # Order 4 is dated before the mark of the first load: late rows are skipped.
+        # Order 4 is dated before the mark of the first load: only a load of everything sees it.
         rows["order"] += [(3, 1, day("2024-02-15")), (4, 1, day("2024-01-01"))]
         rows["order_product"] += [(3, 1, 5, Decimal("12"), day("2024-03-05"))]
         rows["stocked_product"] = [(1, 1, 33, day("2024-03-20"))]
@@ -87,21 +87,120 @@ def test_two_rounds(spark, store, tmp_path):
     assert wh.cuboid("olap_inv_all").first()["total_quantity_on_hand"] == 33
 
 
-def test_a_load_that_stops_before_its_mark_is_not_added_twice(spark, store, monkeypatch):
-    loads.load_sources(store, sources(spark, False), AT, ["order", "order_product"])
+# Each kind of target: its layer, and what else must be loaded before.
+KINDS = {
+    "order": ("conformed", ()),
+    "product": ("conformed", ()),
+    "dim_customer": ("star", ("customer", "tourist_customer", "mail_order_customer")),
+    "fact_sales": ("star", ("order", "order_product")),
+}
+
+
+@pytest.mark.parametrize("table, second", [("order", False), ("order", True), ("product", True), ("dim_customer", True), ("fact_sales", False), ("fact_sales", True)])
+def test_a_load_that_stops_before_it_is_published_repeats_nothing(spark, tmp_path, monkeypatch, table, second):
+    """Stopped after the write, twice over: then the same rows and counts as without a stop."""
+    layer, needed = KINDS[table]
+
+    def load_one(store, rows):
+        if layer == "star":
+            return reports(loads.load_star(store, AS_OF, AT, [table]))
+        return reports(loads.load_sources(store, rows, AT, [table]))
+
+    def prepared(name):
+        store = loads.LoadStore(spark, str(tmp_path / name))
+        rows = sources(spark, False)
+        loads.load_sources(store, rows, AT, needed)
+        if second:
+            load_one(store, rows)
+            rows = sources(spark, True)
+            loads.load_sources(store, rows, AT, needed)
+        return store, rows
+
+    plain, rows = prepared("plain")
+    expected = load_one(plain, rows)
+    stopped, rows = prepared("stopped")
     real = loads.LoadStore.record
 
-    def stop_after_publish(self, layer, table, step, *rest):
-        if table == "fact_sales" and step == "loaded":
-            raise RuntimeError("stopped")
-        real(self, layer, table, step, *rest)
+    def stop(self, *rest):
+        raise RuntimeError("stopped")
 
-    monkeypatch.setattr(loads.LoadStore, "record", stop_after_publish)
-    with pytest.raises(RuntimeError):
-        loads.load_star(store, AS_OF, AT, ["fact_sales"])
+    monkeypatch.setattr(loads.LoadStore, "record", stop)
+    for _ in range(2):
+        with pytest.raises(RuntimeError):
+            load_one(stopped, rows)
     monkeypatch.setattr(loads.LoadStore, "record", real)
+    # Another table is published meanwhile, so the repeated load has a new number.
+    loads.load_sources(stopped, rows, AT, ["store"])
+    assert load_one(stopped, rows) == expected
+    names = sorted(plain.table(layer, table).columns)
+    content = lambda store: sorted(map(repr, (tuple(r) for r in store.table(layer, table).select(names).collect())))
+    assert content(stopped) == content(plain)
+
+
+def lines(spark, *rows):
+    return spark.createDataFrame(list(rows), SOURCE_SCHEMAS["order_product"])
+
+
+def test_rows_of_the_same_day_and_lines_before_their_order_reach_the_star(spark, store):
+    orders = lambda *r: spark.createDataFrame(list(r), SOURCE_SCHEMAS["order"])
+    one, two, three = day("2024-01-10"), day("2024-01-11"), day("2024-01-09")
+    first = {"order": orders((1, 1, one)), "order_product": lines(spark, (1, 1, 2, Decimal(10), one), (2, 1, 5, Decimal(10), one))}
+    loads.load_sources(store, first, AT, first)
     loads.load_star(store, AS_OF, AT, ["fact_sales"])
-    assert sorted(r["quantity_ordered"] for r in store.table("star", "fact_sales").collect()) == [1, 2]
+    quantity = lambda: store.table("star", "fact_sales").groupBy().sum("quantity_ordered").first()[0]
+    assert quantity() == 2  # line 2 waits for its order
+    # The same day again, and an order dated before the mark.
+    second = {"order": orders((1, 1, one), (2, 2, two)), "order_product": lines(spark, (1, 2, 3, Decimal(10), one))}
+    loads.load_sources(store, second, AT, second)
+    assert reports(loads.load_star(store, AS_OF, AT, ["fact_sales"]))["fact_sales"] == (2, 0)
+    assert quantity() == 10
+    late = {"order_product": lines(spark, (2, 7, 100, Decimal(1), three))}
+    loads.load_sources(store, late, AT, late)
+    assert reports(loads.load_star(store, AS_OF, AT, ["fact_sales"]))["fact_sales"] == (0, 0)
+    loads.load_sources(store, late, AT, late, everything=True)
+    loads.load_star(store, AS_OF, AT, ["fact_sales"])
+    assert quantity() == 110
+    assert rows_of(store.table("star", "fact_sales")) == rows_of_rebuilt(store)
+
+
+def rows_of_rebuilt(store):
+    loads.load_star(store, AS_OF, AT, ["fact_sales"], rebuild=True)
+    return rows_of(store.table("star", "fact_sales"))
+
+
+def test_a_store_waits_for_its_office(spark, store):
+    first = sources(spark, False)
+    loads.load_sources(store, first, AT, ["representative_office", "store"])
+    loads.load_star(store, AS_OF, AT, ["dim_store"])
+    office = spark.createDataFrame([(9, "Salem", "2 Main", "Oregon", day("2024-05-01"))], SOURCE_SCHEMAS["representative_office"])
+    loads.load_sources(store, {"representative_office": office}, AT, ["representative_office"])
+    assert reports(loads.load_star(store, AS_OF, AT, ["dim_store"]))["dim_store"] == (1, 0)
+
+
+def test_load_refresh_load_refresh_in_one_session(spark, store, tmp_path):
+    loads.load_sources(store, sources(spark, False), AT)
+    loads.load_star(store, AS_OF, AT)
+    wh = loads.open_loaded(store, str(tmp_path / "cuboids"))
+    wh.refresh_cuboids("sales")
+    held = wh.cuboid("olap_sales_by_time")
+    before = rows_of(held)
+    loads.load_sources(store, sources(spark, True), AT)
+    loads.load_star(store, AS_OF, AT)
+    wh.refresh_cuboids("sales")
+    assert wh.cuboid("olap_sales_all").first()["total_quantity"] == 8
+    assert rows_of(held) == before
+    assert loads.open_loaded(store, str(tmp_path / "cuboids")).cuboid("olap_sales_all").first()["total_quantity"] == 8
+
+
+def test_old_versions_go(spark, store, tmp_path):
+    for price in range(5):
+        row = [(1, "Chair", "s", Decimal("1.5"), Decimal(price), day("2023-01-01"))]
+        source = {"product": spark.createDataFrame(row, SOURCE_SCHEMAS["product"])}
+        loads.load_sources(store, source, AT, ["product"])
+    assert store.table("conformed", "product").first()["price"] == 4
+    folder = tmp_path / "conformed" / "product"
+    assert len(list((folder / "versions").iterdir())) == loads.KEPT_VERSIONS
+    assert not [p for p in (folder / "batches").rglob("*.parquet")]
 
 
 def test_only_touched_months_are_read_and_replaced(spark, tmp_path):

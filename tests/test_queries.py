@@ -5,9 +5,9 @@ import pytest
 import __spark_entry__ as registered
 import checks
 from conftest import SF_DIR
+from starlattice.plans import catalogue
 
-QUERIES = registered.queries()
-CHECKS = registered.oracle_sql()
+QUERIES, CHECKS = catalogue.QUERIES, catalogue.CHECKS
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +23,7 @@ def test_query(spark, connection, name):
 
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(CHECKS)
+    assert set(QUERIES) <= set(registered.queries())
 
 
 def test_entry(spark):

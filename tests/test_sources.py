@@ -5,7 +5,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from starlattice.sources import warehouse
+from conftest import SF_DIR
+from starlattice.operators.conform import conform
+from starlattice.plans import load_queries
+from starlattice.sources import given_tables, storage, warehouse
 from starlattice.sources.files import read_csv, read_database, write_full_refresh
 
 
@@ -67,7 +70,66 @@ def test_the_shared_folder_comes_from_the_session(tmp_path):
     assert warehouse.shared_folder(_Session(**{"spark.checkpoint.dir": "hdfs://x/y/"})) == "hdfs://x/y"
     # A cluster without a shared folder gets no machine-local one.
     assert warehouse.shared_folder(_Session(**{"spark.master": "yarn"})) is None
-    assert warehouse.shared_folder(_Session(**{"spark.master": "local[2]"}))
+    assert warehouse.shared_folder(_Session(**{"spark.master": "local[2]"})) is None
+
+
+def test_csv_queries_say_when_they_have_no_folder(spark, monkeypatch):
+    monkeypatch.setattr(load_queries, "open_warehouse", lambda *_: warehouse.Warehouse(spark, {}))
+    with pytest.raises(ValueError, match="shared folder"):
+        load_queries.through_csv("order")(spark, SF_DIR)
+
+
+def test_a_source_without_a_mapped_column_is_refused(spark):
+    products = given_tables.product(spark, SF_DIR)
+    with pytest.raises(ValueError, match="lacks description"):
+        conform(products.withColumnRenamed("description", "descriptoin"), "product")
+    lines = given_tables.order_product(spark, SF_DIR)
+    assert "ordered_price" not in conform(lines, "order_product").columns
+    with pytest.raises(ValueError, match="lacks line_amount, ordered_price"):
+        conform(lines.drop("line_amount"), "order_product")
+
+
+def test_a_later_session_finds_the_lattice(spark, mini, tmp_path):
+    """The second warehouse stands for another session: it shares nothing but the folder."""
+    def open_one(version, builders=None):
+        return warehouse.Warehouse(spark, builders or mini.builders(spark), str(tmp_path), version=lambda: version)
+
+    first = open_one("1")
+    first.refresh_cuboids("sales")
+    files = lambda: sorted(str(p) for p in tmp_path.rglob("*.parquet") if "manifest" not in str(p))
+    before = files()
+
+    def never(_):
+        raise AssertionError("built again")
+
+    second = open_one("1", {name: never for name in mini.SCHEMAS})
+    row = second.cuboid("olap_sales_all").first()
+    assert row == first.cuboid("olap_sales_all").first() and files() == before
+    # Another version of the input is built anew; readers of older refreshes go on.
+    held = second.cuboid("olap_sales_by_year")
+    third = open_one("2")
+    assert "olap_sales_all" not in third._tables
+    third.refresh_cuboids("sales")
+    assert held.count() == 2 and open_one("2")._tables.keys() >= {"olap_sales_all"}
+    third.refresh_cuboids("sales")
+    assert len(list((tmp_path / "refresh").iterdir())) == warehouse.KEPT_REFRESHES
+
+
+def test_an_unreadable_table_is_not_a_missing_one(spark, tmp_path):
+    assert storage.read_if_there(spark, str(tmp_path / "none"), "a int") is None
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    (bad / "part.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception):
+        storage.read_if_there(spark, str(bad), "a int").collect()
+
+
+def test_a_fingerprint_follows_the_files(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "a"))
+    first = storage.fingerprint(spark, [str(tmp_path / "a")])
+    assert first == storage.fingerprint(spark, [str(tmp_path / "a")])
+    spark.range(4).write.mode("append").parquet(str(tmp_path / "a"))
+    assert first != storage.fingerprint(spark, [str(tmp_path / "a")])
 
 
 def test_without_a_folder_tables_stay_lazy(spark, mini):
