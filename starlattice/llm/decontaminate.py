@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from starlattice.llm.common import ascii_lower, stored, without
 
-# Words of a lower-case text; the second pattern finds as many in the text itself.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# Words of a lower-case text: all but the ASCII characters that are no digits or small letters.
+# The second pattern finds as many in the text itself.
+WORD = r"[a-z0-9\x80-\x{10FFFF}]+"
+ANY_CASE_WORD = r"[a-zA-Z0-9\x80-\x{10FFFF}]+"
+# Words of a shingle; shorter windows are one shingle.
+SHINGLE = 3
 WINDOW_WORDS = 13
-# Windows that are broadcast at once: at most 13 words and five numbers each, about 25 MB.
+# Windows that are broadcast at once: at most 11 shingle hashes and four numbers each, about 10 MB.
 BLOCK_WINDOWS = 50_000
 
 
@@ -39,45 +42,58 @@ def item_windows(items: DataFrame, window: int = WINDOW_WORDS) -> tuple[DataFram
     return distinct, parts.join(distinct, "window").select("window_id", "item_id")
 
 
-def _key(first: Column, second: Column | None) -> Column:
-    return F.xxhash64(F.lit(1), first) if second is None else F.xxhash64(F.lit(2), first, second)
+def _key(words: Column, place: Column, length: int) -> Column:
+    return F.xxhash64(F.lit(length), *[F.get(words, place + i) for i in range(length)])
 
 
-def _shingles(rows: DataFrame, words: str, pair: bool) -> DataFrame:
-    """One row for each place of the words, with the hash of the shingle there: a pair, or a single word."""
-    placed = rows.select("*", F.posexplode(words).alias("place", "word"))
-    return placed.withColumn("key", _key(F.col("word"), F.get(words, F.col("place") + 1) if pair else None)).drop("word")
+def _hits(docs: DataFrame, windows: DataFrame, length: int) -> DataFrame:
+    """Where windows occur: doc_id, text_hash, start, size, window_id.
 
-
-def _hits(docs: DataFrame, windows: DataFrame, pair: bool) -> DataFrame:
-    """Where windows occur: doc_id, text_hash, start, length, window_id.
-
-    Shingles of the windows are ordered by their number in the documents. A window
-    that occurs must have its rarest shingle there, so only that one is joined; its
-    place in the window gives the only possible start, and the length the end.
+    `length` is the number of words in a shingle. One pass over the texts finds all
+    places of the windows' shingles. The shingles are ordered by their number there;
+    a window that occurs must have its rarest one, so only that is joined. Its place
+    in the window gives the only possible start, the length the end, and the
+    shingles found on the way must be those of the window, without a gap.
     """
-    parts = _shingles(windows, "window", pair)
-    if pair:
-        parts = parts.where(F.col("place") < F.size("window") - 1)
-    keys = F.broadcast(parts.select("key").distinct())
-    seen = _shingles(docs.select("words"), "words", pair).join(keys, "key").groupBy("key").agg(F.count("*").alias("times"))
-    rarest = parts.join(seen, "key", "left").groupBy("window_id").agg(
-        F.min(F.struct(F.coalesce("times", F.lit(0)).alias("times"), "place", "key")).alias("rarest")
+    parts = windows.select(
+        "window_id",
+        F.size("window").alias("size"),
+        F.transform(F.sequence(F.lit(0), F.size("window") - length), lambda i: _key(F.col("window"), i, length)).alias("keys"),
+    )
+    placed = parts.select("window_id", F.posexplode("keys").alias("offset", "key"))
+    keys = F.broadcast(placed.select(F.col("key").alias("known")).distinct())
+    seen = stored(
+        docs.select("doc_id", "text_hash", F.size("words").alias("n"), "words", F.posexplode("words").alias("place", "word"))
+        .withColumn("key", _key(F.col("words"), F.col("place"), length))
+        .join(keys, F.col("key") == F.col("known"))
+        .where(F.col("place") + length <= F.col("n"))
+        .select("doc_id", "text_hash", "place", "key"),
+        "shingle-places",
+    )
+    times = seen.groupBy("key").agg(F.count("*").alias("times"))
+    rarest = placed.join(times, "key", "left").groupBy("window_id").agg(
+        F.min(F.struct(F.coalesce("times", F.lit(0)).alias("times"), "offset", "key")).alias("rarest")
     )
     anchors = stored(
-        windows.join(rarest, "window_id")
+        parts.join(rarest, "window_id")
         .where("rarest.times > 0")
-        .select("window_id", "window", F.col("rarest.place").alias("offset"), F.col("rarest.key").alias("anchor")),
+        .select("window_id", "size", "keys", F.col("rarest.offset").alias("offset"), F.col("rarest.key").alias("anchor")),
         "window-anchors",
     )
-    start = F.col("place") - F.col("offset")
+    # Places of a document in order; equal rows of documents have equal places.
+    documents = seen.groupBy("doc_id", "text_hash").agg(
+        F.sort_array(F.collect_set(F.struct("place", "key"))).alias("found")
+    )
+    first, count = F.col("at") - F.col("offset"), F.size("keys")
+    run = F.slice("found", F.greatest(first + 1, F.lit(1)), count)
+    start = F.col("here.place") - F.col("offset")
     return (
-        _shingles(docs, "words", pair)
-        .join(F.broadcast(anchors), F.col("key") == F.col("anchor"))
-        .where((start >= 0) & (start + F.size("window") <= F.size("words")))
-        .where(F.slice("words", start + 1, F.size("window")) == F.col("window"))
-        .select("doc_id", "text_hash", start.alias("start"), F.size("window").alias("length"), "window_id")
-        .distinct()
+        documents.select("doc_id", "text_hash", "found", F.posexplode("found").alias("at", "here"))
+        .join(F.broadcast(anchors), F.col("here.key") == F.col("anchor"))
+        .where((first >= 0) & (first + count <= F.size("found")))
+        .where((F.get("found", first)["place"] == start) & (F.get("found", first + count - 1)["place"] == start + count - 1))
+        .where(F.transform(run, lambda x: x["key"]) == F.col("keys"))
+        .select("doc_id", "text_hash", start.alias("start"), "size", "window_id")
     )
 
 
@@ -97,12 +113,12 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW_WORDS)
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     worded = keyed.select("doc_id", "text_hash", words_of(F.coalesce("text", F.lit(""))).alias("words"))
     found = []
-    for pair in (True, False):
-        sized = windows.where(F.size("window") > 1 if pair else F.size("window") == 1)
+    for length in range(1, SHINGLE + 1):
+        sized = windows.where(F.least(F.size("window"), F.lit(SHINGLE)) == length)
         blocks = -(-sized.count() // BLOCK_WINDOWS)
         for block in range(blocks):
             own = sized if blocks == 1 else sized.where(F.pmod(F.xxhash64("window_id"), F.lit(blocks)) == block)
-            found.append(_hits(worded, own, pair))
+            found.append(_hits(worded, own, length))
     counted = keyed.select(
         "doc_id",
         "text_hash",
@@ -112,8 +128,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW_WORDS)
         return counted.select("*", F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"))
     hits = stored(reduce(DataFrame.unionByName, found), "window-hits")
     # Words of a window beyond all windows that start before it in its document.
-    before = Window.partitionBy("doc_id", "text_hash").orderBy("start", "length", "window_id")
-    end = F.col("start") + F.col("length")
+    before = Window.partitionBy("doc_id", "text_hash").orderBy("start", "size", "window_id")
+    end = F.col("start") + F.col("size")
     reached = F.coalesce(F.max(end).over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     covered = hits.withColumn("new", F.greatest(end - F.greatest("start", reached), F.lit(0)))
     words = covered.groupBy("doc_id", "text_hash").agg(F.sum("new").alias("n_hit"))
