@@ -32,7 +32,8 @@ def _star(links: DataFrame, larger: bool) -> DataFrame:
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     if not larger:
         both = both.where("b < a")
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
+    # Stored, so that the join stands alone and skew handling can split the edges of a hot node.
+    least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least")), "least")
     moved = both.join(least, "a")
     if larger:
         moved = moved.where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))

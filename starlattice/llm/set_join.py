@@ -17,9 +17,11 @@ from starlattice.llm.shingles import digest, shingle_sets
 
 PERCENT = 75
 # Shingles of one block of documents, and of one part of the hash range, while they are counted.
-BLOCK_SHINGLES = 1 << 21
-# Sets that are compared in one group, and candidate documents that are broadcast (two longs each).
+BLOCK_SHINGLES = 1 << 20
+# Sets, and shingles of them, in one block of a group that is compared; a group has one or two blocks.
 GROUP_SETS = 1024
+GROUP_SHINGLES = 1 << 19
+# Candidate documents that are broadcast (two longs each).
 BROADCAST_IDS = 500_000
 
 
@@ -28,11 +30,18 @@ def _share(name: str) -> str:
     return f"ceil({PERCENT} * {name} / 100.0)"
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that few texts are held as Python strings at once."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def describe(docs: DataFrame) -> DataFrame:
     """doc_id, a hash of the text, n_shingles and the digest of the shingle set for every row of docs (doc_id, text)."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             found = [(len(s), digest(s)) for s in shingle_sets(batch.column(2).to_pylist())]
             sizes, digests = pa.array([n for n, _ in found], pa.int64()), pa.array([d for _, d in found], pa.binary())
             yield pa.RecordBatch.from_arrays(
@@ -54,7 +63,7 @@ def _blocks(docs: DataFrame, parts: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, np.ndarray] = {}
         size = 0
-        for batch in batches:
+        for batch in small_batches(batches):
             for tokens in shingle_sets(batch.column(0).to_pylist()):
                 if len(tokens) and (key := digest(tokens)) not in held:
                     held[key] = tokens
@@ -157,7 +166,7 @@ def shared_sets(docs: DataFrame) -> DataFrame:
     """
     characters = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     spark = docs.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), characters // (8 * BLOCK_SHINGLES), 1)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), characters // (16 * BLOCK_SHINGLES), 1)
     parts = min(parts, 1 << 20)
     counted = (
         _blocks(docs, parts)
@@ -180,7 +189,7 @@ def _candidate_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
     texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             found = list(shingle_sets(batch.column(0).to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([digest(s) for s in found], pa.binary()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))],
@@ -230,11 +239,13 @@ def _links(sets: DataFrame, clusters: DataFrame) -> DataFrame:
     """
     banded = stored(
         clusters.join(sets.select("class_no", F.size("tokens").alias("n")), "class_no").select(
-            "class_no", "cluster", F.floor(F.log(F.col("n").cast("double")) / -np.log(PERCENT / 100)).cast("int").alias("band")
+            "class_no", "cluster", "n", F.floor(F.log(F.col("n").cast("double")) / -np.log(PERCENT / 100)).cast("int").alias("band")
         ),
         "bands",
     )
-    blocks = banded.groupBy("cluster", "band").agg(F.ceil(F.count("*") / GROUP_SETS).cast("int").alias("blocks"))
+    blocks = banded.groupBy("cluster", "band").agg(
+        F.greatest(F.ceil(F.count("*") / GROUP_SETS), F.ceil(F.sum("n") / GROUP_SHINGLES)).cast("int").alias("blocks")
+    )
     placed = banded.join(blocks, ["cluster", "band"]).withColumn("block", F.pmod(F.xxhash64("class_no"), F.col("blocks")).cast("int"))
     near = blocks.select(F.col("cluster").alias("near_cluster"), F.col("band").alias("near_band"), F.col("blocks").alias("near_blocks"))
     pairs = placed.join(
@@ -312,7 +323,9 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     rows = stored(near_copies(docs).where("group_no is not null").select("group_no", "doc_id", "text_hash"), "near-copies")
     place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
     first = rows.groupBy("group_no").agg(F.min(place).alias("first")).select("group_no", "first.*")
-    known = first.select("group_no", F.col("doc_id").alias("first_id"), F.col("text_hash").alias("first_hash"))
+    known = stored(
+        first.select("group_no", F.col("doc_id").alias("first_id"), F.col("text_hash").alias("first_hash")), "first-copies"
+    )
     gone = (
         rows.join(known, "group_no")
         .where(~(F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))))

@@ -9,7 +9,7 @@ import numpy as np
 
 WORDS = 5
 # Bytes of text that are hashed at once; a longer text is hashed alone.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 
 _rng = np.random.default_rng(20240229)
 _LETTER = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
