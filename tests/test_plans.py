@@ -6,10 +6,10 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as registered
 from conftest import SF_DIR
 from starlattice.operators import cuboids
 from starlattice.operators.cuboids import CUBOIDS, build
+from starlattice.plans import catalogue
 from starlattice.sources.warehouse import Warehouse, open_warehouse
 
 
@@ -25,7 +25,7 @@ def final_plan(df):
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: plan_of(query(spark, SF_DIR), "simple") for name, query in registered.queries().items()}
+    return {name: plan_of(query(spark, SF_DIR), "simple") for name, query in catalogue.QUERIES.items()}
 
 
 @pytest.mark.parametrize(
