@@ -205,7 +205,8 @@ def _candidate_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
 def _clusters(sets: DataFrame) -> DataFrame:
     """class_no and cluster: sets that share a token of their prefixes, rarest tokens first, are in one cluster."""
     entries = sets.select("class_no", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
-    times = entries.groupBy("token").agg(F.count("*").alias("times")).where("times > 1")
+    # Sums that are joined back are stored first: such a join stands alone, and skew handling can split a hot key.
+    times = stored(entries.groupBy("token").agg(F.count("*").alias("times")).where("times > 1"), "token-counts")
     ranked = entries.join(times, "token").groupBy("class_no", "n").agg(
         F.sort_array(F.collect_list(F.struct("times", "token"))).alias("shared")
     )
@@ -217,7 +218,7 @@ def _clusters(sets: DataFrame) -> DataFrame:
         ),
         "prefixes",
     )
-    first = prefix.groupBy("token").agg(F.min("class_no").alias("first"))
+    first = stored(prefix.groupBy("token").agg(F.min("class_no").alias("first")), "first-of-tokens")
     edges = prefix.join(first, "token").select(F.col("class_no").alias("a"), F.col("first").alias("b"))
     found = components(edges)
     roots = found.select(F.col("root").alias("node"), "root").distinct()
@@ -243,9 +244,8 @@ def _links(sets: DataFrame, clusters: DataFrame) -> DataFrame:
         ),
         "bands",
     )
-    blocks = banded.groupBy("cluster", "band").agg(
-        F.greatest(F.ceil(F.count("*") / GROUP_SETS), F.ceil(F.sum("n") / GROUP_SHINGLES)).cast("int").alias("blocks")
-    )
+    enough = F.greatest(F.ceil(F.count("*") / GROUP_SETS), F.ceil(F.sum("n") / GROUP_SHINGLES))
+    blocks = stored(banded.groupBy("cluster", "band").agg(enough.cast("int").alias("blocks")), "band-blocks")
     placed = banded.join(blocks, ["cluster", "band"]).withColumn("block", F.pmod(F.xxhash64("class_no"), F.col("blocks")).cast("int"))
     near = blocks.select(F.col("cluster").alias("near_cluster"), F.col("band").alias("near_band"), F.col("blocks").alias("near_blocks"))
     pairs = placed.join(
