@@ -115,9 +115,10 @@ def _either(parts: list[_Part]) -> _Part:
 def _part(tokens) -> _Part:
     whole = _EMPTY
     for op, value in tokens:
-        if op is ops.LITERAL:
+        # Only ASCII letters have the same lower case everywhere; other literals ask for nothing.
+        if op is ops.LITERAL and value < 128:
             part = _exact([chr(value).lower()])
-        elif op is ops.IN and all(o is ops.LITERAL for o, _ in value) and len(value) <= 8:
+        elif op is ops.IN and len(value) <= 8 and all(o is ops.LITERAL and v < 128 for o, v in value):
             part = _exact(chr(v).lower() for _, v in value)
         elif op is ops.SUBPATTERN:
             part = _part(value[-1])
