@@ -19,7 +19,7 @@ PERCENT = 75
 # Shingles of one block of documents, and of one part of the hash range, while they are counted.
 BLOCK_SHINGLES = 1 << 20
 # Sets, and shingles of them, in one block of a group that is compared; a group has one or two blocks.
-GROUP_SETS = 1024
+GROUP_SETS = 256
 GROUP_SHINGLES = 1 << 19
 # Candidate documents that are broadcast (two longs each).
 BROADCAST_IDS = 500_000
