@@ -17,6 +17,8 @@ BUCKETS = 1 << 15
 WIDTH = 16
 ORDERS = (2, 3, 4)
 UNKNOWN = "und"
+# Right predictions on calibration texts that may fall below the least score, and below the least share of known subwords.
+LOST = 0.001
 # One in this many sampled rows calibrates and does not train.
 _CALIBRATION = 5
 # Texts are turned into subwords this many bytes at a time.
@@ -134,9 +136,10 @@ def _bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
 def train(rows: pd.DataFrame, *, epochs: int = 4, batch: int = 64, rate: float = 0.5, seed: int = 0) -> Model:
     """Fits embeddings and softmax by stochastic gradient descent, then temperature and rejection threshold.
 
-    One in a thousand right predictions on calibration texts falls below the threshold,
-    and below the least share of known subwords; the first is at most one half and
-    1.5 times a guess, the second 0.3. Without labelled rows the model knows no language.
+    At most one in a thousand (`LOST`) right predictions on calibration texts falls below
+    the threshold, and as many below the least share of known subwords; both are these
+    quantiles as they come. Texts without letters, which are rejected anyway, do not
+    calibrate. Without labelled rows the model knows no language.
     """
     languages = tuple(sorted(rows["lang"].unique()))
     if not languages:
@@ -146,11 +149,12 @@ def train(rows: pd.DataFrame, *, epochs: int = 4, batch: int = 64, rate: float =
     calibrates = rows["calibrates"].to_numpy(bool) & (len(rows) > 4 * len(languages))
     texts = rows["text"].tolist()
 
-    def examples(chosen: np.ndarray) -> tuple[list, np.ndarray]:
+    def examples(chosen: np.ndarray) -> tuple[list[str], np.ndarray]:
         own = [texts[i] for i in np.flatnonzero(chosen)]
-        return _bags(own + _pieces(own, rng)), np.concatenate([target[chosen], target[chosen]])
+        return own + _pieces(own, rng), np.concatenate([target[chosen], target[chosen]])
 
-    bags, wanted = examples(~calibrates)
+    learned, wanted = examples(~calibrates)
+    bags = _bags(learned)
     embedding = rng.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH)).astype(np.float32)
     softmax = np.zeros((WIDTH, len(languages)), np.float32)
     steps, step = epochs * -(-len(bags) // batch), 0
@@ -178,15 +182,20 @@ def train(rows: pd.DataFrame, *, epochs: int = 4, batch: int = 64, rate: float =
     scores = np.column_stack([np.where(seen[:, None], embedding @ softmax, 0), seen]).astype(np.float32)
 
     held, right = examples(calibrates if calibrates.any() else ~calibrates)
-    found = np.array([weights @ scores[ids] for ids, weights in held])
+    lettered = np.array([has_letter(text) for text in held], bool)
+    raw = Model(languages, scores, 1.0, 0.0, 0.0)
+    if not lettered.any():
+        return raw
+    # The sums of `predict` itself, so that equal texts do not fall below by rounding.
+    found, right = np.array([raw.evidence(held[i]) for i in np.flatnonzero(lettered)]), right[lettered]
     best = (np.inf, 1.0)
     for temperature in np.geomspace(0.05, 20, 60).tolist():
         own = _softmax(found[:, :-1] / temperature)[np.arange(len(right)), right]
         best = min(best, (float(-np.log(np.maximum(own, 1e-30)).mean()), temperature))
     p = _softmax(found[:, :-1] / best[1])
     good = p.argmax(1) == right
-    low = lambda values, most: min(most, float(np.quantile(values, 0.001))) if len(values) else 0.0
-    return Model(languages, scores, best[1], low(p.max(1)[good], min(0.5, 1.5 / len(languages))), low(found[good, -1], 0.3))
+    low = lambda values: float(np.quantile(values, LOST, method="lower")) if len(values) else 0.0
+    return Model(languages, scores, best[1], low(p.max(1)[good]), low(found[good, -1]))
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

@@ -56,3 +56,30 @@ def test_the_whole_text_counts():
     assert len(late) > language_id._CHUNK and model.predict(late)[0] == "fr"
     strange = model.predict("жщ ъыь эюя " * 5)
     assert strange[2] or strange[1] < 0.7
+
+
+def test_languages_that_were_not_learned_are_rejected(spark):
+    docs = spark.read.parquet(f"{SF_DIR.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text", "lang")
+    model = language_id.train(language_id.sample(docs.where("lang <> 'es'")))
+    rows = docs.where(language_id.held_out()).collect()
+    rejected = lambda own: np.mean([model.predict(r.text)[2] for r in rows if (r.lang == "es") == own])
+    assert rejected(True) > 0.9
+    assert rejected(False) < 0.02
+    for text in (
+        "Wczoraj wieczorem poszliśmy z przyjaciółmi nad rzekę, żeby zobaczyć zachód słońca i porozmawiać o wakacjach.",
+        "Eilen illalla menimme ystävien kanssa joen rannalle katsomaan auringonlaskua ja puhumaan tulevasta lomasta.",
+        "Jana jioni tulikwenda na marafiki zetu kando ya mto kutazama machweo ya jua na kuzungumza kuhusu likizo.",
+    ):
+        assert model.predict(text)[2]
+
+
+def test_calibration_loses_no_more_than_it_says_and_ignores_texts_without_letters():
+    rng = random.Random(2)
+    langs = ["en", "fr"] * 150
+    rows = pd.DataFrame({"lang": langs, "text": [messy.prose(rng, l, 40) for l in langs], "calibrates": [i % 5 < 2 for i in range(300)]})
+    model = language_id.train(rows)
+    # Equal texts have equal scores, none of which is below the quantile.
+    assert not any(model.predict(t)[2] for t in rows[rows.calibrates]["text"])
+    bare = pd.DataFrame({"lang": ["en"] * 40, "text": ["12 34 ... !!"] * 40, "calibrates": [True] * 40})
+    more = language_id.train(pd.concat([rows, bare], ignore_index=True))
+    assert more.threshold > 0.6 and more.least_seen > 0.6
