@@ -36,7 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def deal_into_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their shard and their slot in it."""
-    return sharding.shuffle_into_shards(docs, SHARDS, read_from_files=True)
+    return sharding.shuffle_into_shards(docs, SHARDS)
 
 
 STAGES = [

@@ -52,7 +52,7 @@ SHARDS = 16
 def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 16 shards of equal row counts; the digest is taken from the dealt texts."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    dealt = sharding.shuffle_into_shards(docs, SHARDS, read_from_files=True)
+    dealt = sharding.shuffle_into_shards(docs, SHARDS)
     return dealt.select(
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),

@@ -79,7 +79,7 @@ def matrix_row(before: np.ndarray, partition: int, sizes: np.ndarray, seed: int)
 
 
 def shuffle_into_shards(
-    docs: DataFrame, shards: int, *, seed: int = 0, block_rows: int = BLOCK_ROWS, read_from_files: bool = False
+    docs: DataFrame, shards: int, *, seed: int = 0, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Deals the rows into shards 0 to `shards` - 1, uniformly at random, with sizes at most one apart.
 
@@ -88,13 +88,18 @@ def shuffle_into_shards(
     (0, 1, ... in each shard); these names are replaced if the input has them, all other
     columns stay as they are. Nulls, empty texts, ties and repeated rows are rows
     like any other. No rows: no rows. A seed gives the same result again for the
-    same partitions. `read_from_files` says that the frame reads unchanging files,
-    so that its rows come in the same order again; other frames are stored first.
+    same partitions. Rows are stored with their partition and place first: files are
+    cut by the cores alive when a job is planned, so a later job may read other partitions.
     """
-    if not read_from_files:
-        docs = stored(docs, "shards")
     spark = docs.sparkSession
-    counts = {r["p"]: r["n"] for r in docs.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()}
+    names = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
+    docs = stored(
+        docs.select(
+            F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.monotonically_increasing_id().alias("id")
+        ),
+        "shards",
+    )
+    counts = {r["p"]: r["n"] for r in docs.groupBy(F.shiftright("id", 33).alias("p")).agg(F.count("*").alias("n")).collect()}
     rows = sum(counts.values())
     before = np.concatenate([[0], np.cumsum([counts.get(p, 0) for p in range(max(counts, default=-1) + 1)])])
     sizes, blocks = block_sizes(rows, shards, block_rows)
@@ -108,21 +113,17 @@ def shuffle_into_shards(
             if not len(batch):
                 yield batch
                 continue
-            values = batch.to_numpy()
-            if partition != values[0] >> 33:
-                partition = int(values[0] >> 33)
-                order = np.random.default_rng([seed, 1, partition]).permutation(int(before[partition + 1] - before[partition]))
-                ends = np.cumsum(matrix_row(before, partition, sizes, seed))
-            # An index beyond the counted rows fails the task: the input changed.
-            yield pd.Series(np.searchsorted(ends, order[values & ((1 << 33) - 1)], side="right").astype(np.int64))
-
-    names = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
-    dealt = (
-        docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
-        .withColumn("id", F.monotonically_increasing_id())
-        .withColumn("block", block_of("id"))
-        .withColumn("turn", F.xxhash64(F.lit(seed), "id"))
-    )
+            values, found = batch.to_numpy(), []
+            # A task may read several stored partitions, or a part of one.
+            for own in np.split(values, np.flatnonzero(np.diff(values >> 33)) + 1):
+                if partition != own[0] >> 33:
+                    partition = int(own[0] >> 33)
+                    order = np.random.default_rng([seed, 1, partition]).permutation(int(before[partition + 1] - before[partition]))
+                    ends = np.cumsum(matrix_row(before, partition, sizes, seed))
+                found.append(np.searchsorted(ends, order[own & ((1 << 33) - 1)], side="right"))
+            yield pd.Series(np.concatenate(found).astype(np.int64))
+
+    dealt = docs.withColumn("block", block_of("id")).withColumn("turn", F.xxhash64(F.lit(seed), "id"))
     shard = F.floor(F.col("block") / blocks).cast("long")
     # Where a block starts in its shard follows from the sizes alone.
     size, inner = F.lit(rows // shards) + (shard < rows % shards).cast("long"), F.col("block") % blocks

@@ -28,6 +28,31 @@ def test_a_seed_repeats_and_another_differs(spark):
     assert deal(1) == deal(1) != deal(2)
 
 
+@pytest.mark.parametrize("counted, dealt", [(1, 64), (64, 1)])
+def test_other_cores_between_counting_and_dealing(spark, tmp_path, counted, dealt):
+    """Spark cuts files by the cores alive, or by this setting; the deal must not depend on it."""
+    spark.range(400).withColumnRenamed("id", "doc_id").repartition(9).write.parquet(str(tmp_path / "docs"))
+    setting = "spark.sql.files.minPartitionNum"
+    costs = spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        spark.conf.set(setting, counted)
+        docs = spark.read.parquet(str(tmp_path / "docs"))
+        cut = docs.rdd.getNumPartitions()
+        found = sharding.shuffle_into_shards(docs, 7, block_rows=10)
+        spark.conf.set(setting, dealt)
+        assert spark.read.parquet(str(tmp_path / "docs")).rdd.getNumPartitions() != cut
+        rows = found.collect()
+    finally:
+        spark.conf.unset(setting)
+        spark.conf.set("spark.sql.files.openCostInBytes", costs)
+    assert sorted(r.doc_id for r in rows) == list(range(400))
+    sizes = Counter(r.shard for r in rows)
+    assert max(sizes.values()) - min(sizes.values()) <= 1 and set(sizes) == set(range(7))
+    for shard, size in sizes.items():
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(size))
+
+
 def test_empty_and_fewer_rows_than_shards(spark):
     assert sharding.shuffle_into_shards(messy.empty(spark), 16).count() == 0
     assert sharding.shuffle_into_shards(spark.range(3), 16).where("slot = 0").count() == 3
