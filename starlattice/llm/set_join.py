@@ -225,7 +225,11 @@ def _clusters(sets: DataFrame) -> DataFrame:
     return found.unionByName(roots).select(F.col("node").alias("class_no"), F.col("root").alias("cluster"))
 
 
-def _compare(rows: pd.DataFrame) -> pd.DataFrame:
+def _compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    _, low, high = key
+    if low != high and rows["side"].nunique() < 2:
+        # One of the two blocks is empty; pairs inside the other one are compared in a group of its own.
+        return pd.DataFrame({"class_no": [], "root": [], "links": []}, dtype=np.int64)
     sets = [np.asarray(t, np.int64).view(np.uint64) for t in rows["tokens"]]
     numbers = rows["class_no"].to_numpy()
     first, links, _ = overlap.link(sets, rows["side"].to_numpy(), rows["weight"].to_numpy(), PERCENT)

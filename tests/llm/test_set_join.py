@@ -71,6 +71,17 @@ def test_against_all_pairs(spark, docs, monkeypatch, group, ids, block):
     assert sorted(map(repr, got)) == sorted(map(repr, brute(docs)))
 
 
+def test_empty_blocks_add_no_links(spark, monkeypatch):
+    """With a set a block, some of a band's blocks stay empty and others hold several sets."""
+    monkeypatch.setattr(set_join, "GROUP_SETS", 1)
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(words[:40 + i] + [f"own{i}"] + words[40 + i:])) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in set_join.near_copies(df).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, brute(rows)))
+    assert {r[3] for r in got} == {11}
+
+
 def test_one_of_each_group_stays(spark, docs):
     df = spark.createDataFrame([(*r, "x") for r in docs], "doc_id long, text string, group_no string")
     kept = set_join.drop_near_copies(df)
