@@ -17,10 +17,12 @@ from starlattice.llm import (
     secret_scan,
     set_join,
     sharding,
+    structure_repair,
     token_counts,
     url_filter,
 )
 from starlattice.llm.common import new_folder, table
+from starlattice.llm.turns import joined_sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -289,3 +291,113 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op7_set_join(spark: SparkSession, folder: str) -> DataFrame:
     found = set_join.near_copies(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Rows with planted faults, by a checksum of conversation and turn; nulls are one space."""
+    blank = F.lit(" ")
+    number = lambda c: F.coalesce(F.col(c).cast("string"), blank)
+    written = F.concat(number("conv_id"), F.lit(":"), number("turn"))
+    fault = F.crc32(F.encode(written, "UTF-8")) % 20
+    role, text = F.coalesce("role", blank), F.coalesce("text", blank)
+    return (
+        turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), fault.alias("fault"))
+        .where("fault != 0")
+        .select(
+            "conv_id",
+            "turn",
+            F.when(F.col("fault") == 4, F.lit("user")).otherwise(F.col("role")).alias("role"),
+            F.when(F.col("fault") == 1, F.lit(""))
+            .when(F.col("fault") == 2, F.translate("text", ".!?", ""))
+            .otherwise(F.col("text"))
+            .alias("text"),
+            F.explode(F.when(F.col("fault") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("said"),
+        )
+        .drop("said")
+    )
+
+
+REPAIR_SQL = r"""
+    WITH RECURSIVE source AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+            coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS written FROM conversations),
+    bits(n, value) AS (SELECT n, n::UBIGINT FROM range(256) r(n)),
+    table_steps(n, step, value) AS (SELECT n, 0, n::BIGINT FROM range(256) r(n) UNION ALL
+        SELECT n, step + 1, CASE WHEN value & 1 = 1 THEN xor(value >> 1, 3988292384) ELSE value >> 1 END FROM table_steps WHERE step < 8),
+    crc_table AS (SELECT list(value ORDER BY n) AS entries FROM table_steps WHERE step = 8),
+    keys AS (SELECT DISTINCT written FROM source),
+    crcs(written, step, value) AS (SELECT written, 0, 4294967295::BIGINT FROM keys UNION ALL
+        SELECT written, step + 1, xor(value >> 8, entries[(xor(value, ascii(written[step + 1])::BIGINT) & 255) + 1])
+        FROM crcs, crc_table WHERE step < length(written)),
+    faults AS (SELECT written, xor(value, 4294967295) % 20 AS fault FROM crcs WHERE step = length(written)),
+    damaged AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+            CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+        FROM source JOIN faults USING (written), range(2) c(copy) WHERE fault <> 0 AND (copy = 0 OR fault = 3)),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place FROM damaged),
+    trimmed AS (SELECT *, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS kept,
+            row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) AS said, role[1] AS initial,
+            lag(role[1]) OVER (PARTITION BY conv_id ORDER BY place) AS before FROM placed),
+    marked AS (SELECT *, CASE WHEN kept = '' THEN 'blank' WHEN said > 1 THEN 'duplicate'
+            WHEN kept[-1] NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault FROM trimmed),
+    states(state, wanted, next) AS (VALUES (0, 'user', 2), (1, 'user', 2), (2, 'assistant', 3), (3, 'user', 2)),
+    -- Up to two inserted lines before a row: where they lead and what they write.
+    inserts AS (SELECT state, state AS reached, '' AS steps, '' AS written FROM states
+        UNION ALL SELECT state, next, 'I', wanted || ':' || chr(10) FROM states
+        UNION ALL SELECT a.state, b.next, 'II', a.wanted || ':' || chr(10) || b.wanted || ':' || chr(10) FROM states a JOIN states b ON a.next = b.state),
+    ways(conv_id, place, state, best) AS (
+        SELECT conv_id, 0::BIGINT, 0, {'cost': 0::BIGINT, 'audit': '', 'written': ''} FROM (SELECT DISTINCT conv_id FROM marked)
+        UNION ALL
+        SELECT conv_id, place, state, min(best) FROM (
+            SELECT m.conv_id, m.place, e.target AS state, {'cost': w.best.cost + 5 * length(i.steps) + e.price,
+                'audit': w.best.audit || i.steps || e.edit, 'written': w.best.written || i.written || e.line} AS best
+            FROM ways w JOIN marked m ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.place = w.place + 1
+            JOIN inserts i ON i.state = w.state JOIN states s ON s.state = i.reached,
+            LATERAL (SELECT 'D' AS edit, i.reached AS target, 2 AS price, '' AS line
+                UNION ALL SELECT 'R', s.next, 1 + CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END, s.wanted || ':' || text || chr(10)
+                    WHERE fault NOT IN ('blank', 'duplicate')
+                UNION ALL SELECT 'K', CASE initial WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END,
+                    CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END, role || ':' || text || chr(10)
+                    WHERE fault NOT IN ('blank', 'duplicate') AND ((initial = 's' AND i.reached = 0)
+                        OR (initial = 'u' AND i.reached <> 2) OR (initial = 'a' AND i.reached = 2))) e)
+        GROUP BY conv_id, place, state),
+    ended AS (SELECT w.conv_id, min({'cost': w.best.cost + 5 * length(i.steps), 'audit': w.best.audit || i.steps,
+            'written': w.best.written || i.written}) AS best
+        FROM ways w JOIN (SELECT conv_id, max(place) AS place FROM marked GROUP BY conv_id) l
+            ON l.conv_id IS NOT DISTINCT FROM w.conv_id AND l.place = w.place
+        JOIN inserts i ON i.state = w.state WHERE i.reached IN (0, 3) GROUP BY w.conv_id),
+    counted AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+            count(*) FILTER (WHERE fault = 'blank')::BIGINT AS blank, count(*) FILTER (WHERE fault = 'duplicate')::BIGINT AS duplicate,
+            count(*) FILTER (WHERE fault = 'truncated')::BIGINT AS truncated,
+            count(*) FILTER (WHERE place > 1 AND before || initial NOT IN ('su', 'ua', 'au'))::BIGINT AS illegal FROM marked GROUP BY conv_id)
+    SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+        coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+        coalesce(best.audit, '') AS audit, sha256(coalesce(left(best.written, length(best.written) - 1), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+        LEFT JOIN ended e ON o.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
+@query("op11_structure_repair", REPAIR_SQL)
+def op11_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation, damaged by a checksum and repaired; the digest is taken from the repaired rows."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return repaired_digests(turns)
+
+
+def repaired_digests(turns: DataFrame) -> DataFrame:
+    found = structure_repair.repair(damaged(turns))
+    lines = found.rows.select("conv_id", "place", "step", F.concat("role", F.lit(":"), "text").alias("part"))
+    digests = joined_sha256(lines, "conv_id", ["place", "step"], "\n").withColumnRenamed("conv_id", "digest_of")
+    report = found.report.withColumnRenamed("conv_id", "report_of")
+    # Conversations that lost every row to the damage have a row too.
+    whole = (
+        turns.select("conv_id").distinct()
+        .join(report, F.col("conv_id").eqNullSafe(F.col("report_of")), "left")
+        .join(digests, F.col("conv_id").eqNullSafe(F.col("digest_of")), "left")
+    )
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return whole.select(
+        "conv_id",
+        *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
