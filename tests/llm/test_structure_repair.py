@@ -104,8 +104,9 @@ def test_against_a_plain_search(spark, monkeypatch, bits, broadcast):
 def test_grammar_gives_the_answers_of_single_letters():
     rng = random.Random(4)
     plain = Grammar()
-    pairs = [a + b for a, b in itertools.product(LETTERS[:8], repeat=2)][:40] + ["", ""]
+    pairs = [a + b for a, b in itertools.product(LETTERS[:8], repeat=2)][:40] + ["\ue000A", "\ue001\ue002"]
     grammar = Grammar(pairs)
+    shortened = 0
     for _ in range(300):
         letters = "".join(rng.choices(LETTERS[:8], k=rng.randint(1, 30)))
         shortened += len(grammar.shorten(letters)) < len(letters)
