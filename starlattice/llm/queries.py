@@ -13,6 +13,7 @@ from starlattice.llm import (
     decontaminate,
     language_id,
     mixing,
+    prefix_trie,
     quality_rules,
     secret_scan,
     set_join,
@@ -401,3 +402,52 @@ def repaired_digests(turns: DataFrame) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
     )
+
+
+TRIE_SQL = r"""
+    WITH RECURSIVE turns AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+            row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+    table_steps(n, step, value) AS (SELECT n, 0, n::BIGINT FROM range(256) r(n) UNION ALL
+        SELECT n, step + 1, CASE WHEN value & 1 = 1 THEN xor(value >> 1, 3988292384) ELSE value >> 1 END FROM table_steps WHERE step < 8),
+    crc_table AS (SELECT list(value ORDER BY n) AS entries FROM table_steps WHERE step = 8),
+    crcs(conv_id, step, value) AS (SELECT DISTINCT conv_id, 0, 4294967295::BIGINT FROM turns UNION ALL
+        SELECT conv_id, step + 1, xor(value >> 8, entries[(xor(value, ascii((conv_id::VARCHAR)[step + 1])::BIGINT) & 255) + 1])
+        FROM crcs, crc_table WHERE step < length(conv_id::VARCHAR)),
+    shares AS (SELECT conv_id, xor(value, 4294967295) % 6 AS h FROM crcs WHERE step = length(conv_id::VARCHAR)),
+    parts AS (SELECT s.conv_id, 0 AS own, t.pos, t.role, t.text FROM shares s JOIN turns t ON t.conv_id = s.conv_id - s.conv_id % 100 AND t.pos <= s.h
+        UNION ALL SELECT s.conv_id, 1, t.pos, t.role, t.text FROM shares s JOIN turns t ON t.conv_id = s.conv_id AND t.pos > s.h),
+    rebuilt AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY own, pos) AS depth, role, text FROM parts),
+    paths AS (SELECT conv_id, depth, length(text) AS chars,
+            string_agg(sha256(role || chr(10) || sha256(text)), '' ORDER BY depth) OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM rebuilt
+        UNION ALL SELECT conv_id, 0, 0, '' FROM shares),
+    lengths AS (SELECT conv_id, max(depth) AS depth FROM paths GROUP BY conv_id),
+    nodes AS (SELECT path, any_value(p.depth) AS depth, min(p.conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+            sha256(coalesce(string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id) FILTER (WHERE p.depth = l.depth), '')) AS ends_sha256
+        FROM paths p JOIN lengths l USING (conv_id) GROUP BY path),
+    parented AS (SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes c WHERE left(c.path, length(c.path) - 64) = n.path
+            AND c.depth = n.depth + 1) AS n_children FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = left(n.path, length(n.path) - 64)),
+    below AS (SELECT left(n.path, 64 * up) AS path, n_children = 0 AS leaf, (n_convs - 1) * chars AS saved
+        FROM parented n, LATERAL (SELECT unnest(range(n.depth + 1)) AS up) u)
+    SELECT n.conv_id, n.depth::BIGINT AS depth, n.parent_conv_id, n.n_convs::BIGINT AS n_convs, n.n_children::BIGINT AS n_children,
+        count(*) FILTER (WHERE leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens, any_value(n.ends_sha256) AS ends_sha256
+    FROM parented n JOIN below b ON b.path = n.path GROUP BY n.path, n.conv_id, n.depth, n.parent_conv_id, n.n_convs, n.n_children
+"""
+
+
+@query("op12_prefix_trie", TRIE_SQL)
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The trie of all conversations, each begun with turns of the first of its hundred."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    lines = prefix_trie.conversation_lines(turns)
+    shared = F.crc32(F.encode(F.col("conv_id").cast("string"), "UTF-8")) % 6
+    trie = prefix_trie.prefix_trie(prefix_trie.rebuild(lines, F.col("conv_id") - F.col("conv_id") % 100, shared))
+    return trie.nodes.join(prefix_trie.ends_sha256(trie.ends), "node", "left").select(
+        "conv_id",
+        "depth",
+        "parent_conv_id",
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        F.col("saved").alias("saved_tokens"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"),
+    )
