@@ -182,16 +182,16 @@ def prefix_trie(members: DataFrame, band: int = BAND) -> Trie:
         (F.col("n_ends") == F.col("n_convs")).cast("long").alias("n_leaves"),
         ((F.col("n_convs") - 1) * F.coalesce("chars", F.lit(0))).alias("saved"),
     )
-    deepest = nodes.agg(F.max("depth")).first()[0] or 0
+    known = nodes.agg(F.max("depth").alias("deepest"), F.min("rep").alias("first_conv")).first()
+    deepest = known["deepest"] or 0
     sums = subtree_sums(own, rows.select("conv_id", "depth", "node"), deepest, band)
     children = nodes.groupBy(F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("n_children"))
     counted = nodes.join(sums, "node").join(children, "node", "left")
     parents = nodes.select(F.col("node").alias("parent"), F.col("rep").alias("parent_conv_id"))
     # Nodes right below the root are many, and all have its smallest member.
-    first = nodes.where("depth = 0").select(F.col("rep").alias("first_conv_id"))
     deep = counted.where("depth > 1").join(parents, "parent", "left").select(*counted.columns, "parent_conv_id")
-    top = counted.where("depth <= 1").join(F.broadcast(first), F.lit(True), "left").select(
-        *counted.columns, F.when(F.col("depth") == 1, F.col("first_conv_id")).alias("parent_conv_id")
+    top = counted.where("depth <= 1").select(
+        "*", F.when(F.col("depth") == 1, F.lit(known["first_conv"]).cast("long")).alias("parent_conv_id")
     )
     columns = [
         "node",

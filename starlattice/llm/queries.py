@@ -12,6 +12,7 @@ from starlattice.llm import (
     chat,
     decontaminate,
     language_id,
+    license_scan,
     mixing,
     prefix_trie,
     quality_rules,
@@ -451,3 +452,22 @@ def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
         F.col("saved").alias("saved_tokens"),
         F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"),
     )
+
+
+@query("op13_license_scan")
+def op13_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = license_scan.find_licenses(table(spark, folder, "documents").select("doc_id", "text"))
+    base = F.filter("detections", lambda d: d.base)
+    written = lambda found: F.array_join(F.array_sort(F.array_distinct(F.transform(found, lambda d: d.label))), ",")
+    starts = F.transform(base, lambda d: d.start)
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        written(base).alias("base_labels"),
+        written(F.col("detections")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("detections", lambda d: d.weight)), F.lit(0.0)).alias("score"),
+        F.size("detections").cast("long").alias("n_detections"),
+    )
