@@ -39,7 +39,7 @@ def _keywords(pattern: str) -> tuple[tuple[str, ...], ...]:
         plain = shorter
     found = set(re.findall(r"(?:(?<=\s)|^)([a-z0-9]{2,})(?=\s|$)", plain))
     longest = sorted(found, key=lambda w: (-len(w), w))[:KEYWORDS]
-    return tuple(("licence", "license") if w == "license" else (w,) for w in longest)
+    return tuple(tuple(sorted({w, w.replace("license", "licence")})) for w in longest)
 
 
 # The base phrases and their labels.
