@@ -145,27 +145,61 @@ def new_rows(old: DataFrame, batch: DataFrame, key: Iterable[str], order_by: Ite
     return first.join(old.select(*key), key, "left_anti").select(*old.columns)
 
 
-def touched_values(batch: DataFrame, partition: str) -> list:
-    """The partition values of a batch; months of a calendar, so few."""
-    return [row[0] for row in batch.select(partition).distinct().collect()]
-
-
-def upsert_touched(
-    old: DataFrame, batch: DataFrame, table: str, key: Iterable[str], partition: str, order_by: Iterable[str] = ()
+def merge_counted(
+    old: DataFrame, batch: DataFrame, table: str, key: Iterable[str], order_by: Iterable[str] = (), stamp: Iterable[str] = ()
 ) -> DataFrame:
-    """The new content of the partitions that a batch touches; the others are not read.
+    """The table after a batch, by the rule of the table, with what each row counts for a load report.
 
-    `partition` is one of the key columns, so equal keys are in one partition.
+    One join of old rows and batch gives the rows and both counts: `rows_inserted` and
+    `rows_updated` of a row sum up to the counts of the load. Columns of `stamp`,
+    such as a load number, are taken from the batch wherever a row changes.
     """
-    same = old.where(F.col(partition).isin(touched_values(batch, partition)))
-    return upsert(same, batch, table, key, order_by)
+    key, stamp, rule = list(key), list(stamp), UPSERT_RULES[table]
+    keyed = _keyed(batch, key).select(*old.columns)
+    if rule == "add":
+        measures = [c for c in old.columns if c not in {*key, *stamp}]
+        kinds = {f.name: f.dataType for f in old.schema.fields}
+        both = old.withColumn("rows", F.lit(0)).unionByName(keyed.withColumn("rows", F.lit(1)))
+        summed = both.groupBy(*key).agg(
+            *[F.sum(m).cast(kinds[m]).alias(m) for m in measures],
+            *[F.max(c).alias(c) for c in stamp],
+            F.sum("rows").alias("rows"),
+            F.max(F.col("rows") == 0).alias("present"),
+        )
+        present, rows = F.col("present"), F.col("rows")
+        values = [F.col(c) for c in old.columns]
+        updates = True
+    else:
+        named = [] if rule == "absent" else list(rule)
+        sequence = _sequence(keyed, order_by)
+        last = [F.max(sequence).alias("last")] if named else []
+        changes = keyed.groupBy(*key).agg(F.min(sequence).alias("first"), *last, F.count(F.lit(1)).alias("rows"))
+        summed = old.withColumn("present", F.lit(True)).join(changes, key, "full")
+        present, rows = F.col("present").isNotNull(), F.coalesce("rows", F.lit(0))
+        changed = F.col("rows").isNotNull()
+        values = []
+        for c in old.columns:
+            if c in key:
+                values.append(F.col(c))
+            elif named and c in {*named, *stamp}:
+                values.append(F.when(changed, F.col(f"last.{c}")).otherwise(F.col(c)).alias(c))
+            else:
+                values.append(F.when(present, F.col(c)).otherwise(F.col(f"first.{c}")).alias(c))
+        updates = bool(named)
+    inserted = F.when(present, 0).otherwise(1).cast("bigint")
+    updated = (rows - inserted if updates else F.lit(0)).cast("bigint")
+    return summed.select(*values, inserted.alias("rows_inserted"), updated.alias("rows_updated"))
+
+
+def touched_values(batch: DataFrame, partition: str) -> list:
+    """The partition values of a batch: months of a calendar or ranges of keys, so few."""
+    return [row[0] for row in batch.select(partition).distinct().collect()]
 
 
 def replace_partitions(rows: DataFrame, target: str, partition: str) -> None:
     """Overwrite only the stored partitions that `rows` has values of."""
     (
-        rows.hint("rebalance", partition)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(target)

@@ -29,14 +29,18 @@ FIRST_BATCH: Mapping[str, Callable[[], Column]] = {
 }
 
 
+def new_store(spark: SparkSession, keys_a_range: int = loads.KEYS_A_RANGE) -> loads.LoadStore:
+    shared = shared_folder(spark)
+    if shared is None:
+        raise ValueError("loads need the shared folder that spark.checkpoint.dir names")
+    return loads.LoadStore(spark, f"{shared}/starlattice/loads/{uuid.uuid4().hex[:12]}", keys_a_range)
+
+
 def loaded_twice(
     spark: SparkSession, folder: str, sources: tuple[str, ...], table: str, *, rebuild: bool = False
 ) -> DataFrame:
     """The star table after both loads, in a new store of the shared folder."""
-    shared = shared_folder(spark)
-    if shared is None:
-        raise ValueError("loads need the shared folder that spark.checkpoint.dir names")
-    store = loads.LoadStore(spark, f"{shared}/starlattice/loads/{uuid.uuid4().hex[:12]}")
+    store = new_store(spark)
     whole = {t: given_tables.SOURCES[t](spark, folder) for t in sources}
     first = {t: rows.where(FIRST_BATCH[t]()) if t in FIRST_BATCH else rows for t, rows in whole.items()}
     loads.load_sources(store, first, AT, sources)
@@ -93,6 +97,92 @@ on_star(
     "WHERE first_order_date IS NOT NULL",
 )
 
+# --- loads by key range -------------------------------------------------------
+
+# Numbers of orders and products that share a partition in these loads.
+KEYS_A_RANGE = 1 << 13
+
+
+def third_batch_order_product(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines in three loads: by date, the rest again with all, and a third that meets only the last ranges."""
+    store = new_store(spark, KEYS_A_RANGE)
+    lines = given_tables.SOURCES["order_product"](spark, folder)
+    top = lines.agg(F.max("order_id")).first()[0] or 0
+    third = F.col("order_id") > top - KEYS_A_RANGE
+    batches = [lines.where(~third & (F.col("order_id") % 3 != 0)), lines.where(~third), lines.where(third | (F.col("order_id") % 97 == 0))]
+    for batch in batches:
+        loads.load_sources(store, {"order_product": batch}, AT, ["order_product"], everything=True)
+    return store.table("conformed", "order_product")
+
+
+on_tables(
+    "load_third_batch_order_product",
+    third_batch_order_product,
+    f"SELECT * FROM ({LINES_SQL}) QUALIFY ROW_NUMBER() OVER (PARTITION BY order_id, product_id "
+    "ORDER BY last_updated_time, ordered_quantity, line_amount) = 1",
+)
+
+
+def three_batches_pending_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines reach the star before their orders; the orders come in three loads, the last of them never whole."""
+    store = new_store(spark, KEYS_A_RANGE)
+    lines, orders = (given_tables.SOURCES[t](spark, folder) for t in ("order_product", "order"))
+    for known in (F.col("order_id") % 4 == 0, F.col("order_id") % 4 < 2, F.col("order_id") % 4 < 3):
+        loads.load_sources(
+            store, {"order": orders.where(known), "order_product": lines}, AT, ("order", "order_product"), everything=True
+        )
+        loads.load_star(store, AS_OF, AT, ["fact_sales"])
+    waiting = store.stored("star", "fact_sales", "star/fact_sales-pending")
+    sold = store.table("star", "fact_sales").groupBy("time_key").agg(
+        F.sum("quantity_ordered").cast("bigint").alias("quantity"), F.sum("total_amount").alias("amount"), F.lit(0).cast("bigint").alias("waiting")
+    )
+    left = waiting.groupBy((F.year("last_updated_time") * 100 + F.month("last_updated_time")).alias("time_key")).agg(
+        F.sum("ordered_quantity").cast("bigint").alias("quantity"), F.sum("line_amount").alias("amount"), F.count(F.lit(1)).alias("waiting")
+    )
+    return sold.unionByName(left)
+
+
+_FIRST_LINES = (
+    f"SELECT * FROM ({LINES_SQL}) QUALIFY ROW_NUMBER() OVER (PARTITION BY order_id, product_id "
+    "ORDER BY last_updated_time, ordered_quantity, line_amount) = 1"
+)
+_MONTHLY = (
+    "SELECT CAST(YEAR({day}) * 100 + MONTH({day}) AS INTEGER) AS time_key, CAST(SUM(ordered_quantity) AS BIGINT) AS quantity, "
+    "CAST(SUM(CAST(line_amount AS DECIMAL(15,2))) AS DOUBLE) AS amount, {waiting} AS waiting FROM lines "
+)
+on_tables(
+    "load_three_batches_pending_lines",
+    three_batches_pending_lines,
+    f"WITH lines AS ({_FIRST_LINES}) "
+    + _MONTHLY.format(day="o_orderdate", waiting="CAST(0 AS BIGINT)")
+    + "JOIN orders ON o_orderkey = order_id WHERE order_id % 4 < 3 GROUP BY 1 UNION ALL "
+    + _MONTHLY.format(day="last_updated_time", waiting="COUNT(*)")
+    + "WHERE order_id % 4 = 3 GROUP BY 1",
+)
+
+
+def two_batches_dim_product(spark: SparkSession, folder: str) -> DataFrame:
+    """Products in two loads and new prices in a third that meets a tenth of the key ranges, with their star rows."""
+    store = new_store(spark, 100)
+    products = given_tables.SOURCES["product"](spark, folder)
+    repriced = products.where(F.expr("product_id div 100") % 10 == 0).withColumns(
+        {"price": F.col("price") + 1, "description": F.lit("not taken"), "time": F.lit(date(2002, 1, 1))}
+    )
+    for batch in (products.where(F.col("product_id") % 7 != 0), products.where(F.col("product_id") % 7 == 0), repriced):
+        loads.load_sources(store, {"product": batch}, AT, ["product"], everything=True)
+        loads.load_star(store, AS_OF, AT, ["dim_product"])
+    prices = store.table("conformed", "product").select(F.col("product_id").alias("product_key"), "price", "last_updated_time")
+    return store.table("star", "dim_product").join(prices, "product_key", "full")
+
+
+on_tables(
+    "load_two_batches_dim_product",
+    two_batches_dim_product,
+    "SELECT p_partkey AS product_key, TRIM(p_name) AS description, UPPER(p_type) AS size, CAST(p_size AS DOUBLE) AS weight, "
+    "CAST(CAST(p_retailprice AS DECIMAL(10,2)) + CASE WHEN p_partkey // 100 % 10 = 0 THEN 1 ELSE 0 END AS DOUBLE) AS price, "
+    "CASE WHEN p_partkey // 100 % 10 = 0 THEN DATE '2002-01-01' ELSE DATE '1995-01-01' END AS last_updated_time FROM part",
+)
+
 # --- facts from unit prices and from a mark ----------------------------------
 
 

@@ -1,17 +1,15 @@
 """Incremental loads: sources to conformed tables, conformed tables to the star.
 
-Loads of a store are numbered. A load writes new files only, under its number,
-and a row of the state table publishes them; what an unfinished load left is
-never read, and running that load again gives the same table and counts:
-
-- insert-if-absent targets gain a folder with the rows they lacked,
-- targets with named-column updates get a new version,
-- facts get new versions of the months that the batch touches.
-
-Sources are read by business date, rows dated on the mark again. Between the
-layers rows are carried by load number instead: the star takes every conformed
-row that is newer than its last load, whatever its date, and a line (store)
-whose order (office) comes later is taken when that arrives.
+Targets are partitioned, facts by month and the others by range of their first key. A load
+reads and rewrites only the partitions its batch falls in: it writes them aside, records that
+it did, and replaces them by dynamic partition overwrite. A load that stops before the
+record has changed nothing; one that stops after it is finished by whoever comes next. Either
+way it gives the same rows and counts. A load that changes nothing leaves nothing.
+
+Sources are read by business date, rows dated on the mark again. Between the layers rows
+are carried by load number instead: the star takes every conformed row that is newer than its
+last load, whatever its date. A line without its order (a store without its office) goes
+to a pending table, which later loads join with new orders alone.
 """
 
 from __future__ import annotations
@@ -19,17 +17,17 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Iterator, Mapping
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, replace
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starlattice.operators import star, upsert
 from starlattice.operators.conform import EXTRACTS, NEVER_LOADED, conform
 from starlattice.schemas import PRIMARY_KEYS
-from starlattice.sources.storage import drop_folder, read_if_there
+from starlattice.sources.storage import drop_folder, exists, partition_values, read_texts, write_text
 from starlattice.sources.warehouse import Warehouse
 
 # Load order, parents before children.
@@ -51,13 +49,40 @@ STAR_CHANGES = {
     "fact_inventory": ("stocked_product", "last_updated_time"),
 }
 FACTS = ("fact_sales", "fact_inventory")
-NUMBER = "load_number"
-STATE = (
-    "number int, mark date, parts string, inserted bigint, updated bigint, schema string, at timestamp, "
-    "layer string, table_name string"
-)
-# Versions of a table that stay for readers of an earlier one.
-KEPT_VERSIONS = 2
+# Star tables whose rows wait for a parent: child and parent table, and the key they share.
+WAITING = {
+    "fact_sales": ("order_product", "order", "order_id"),
+    "dim_store": ("store", "representative_office", "city_id"),
+}
+NUMBER, RANGE, MONTH = "load_number", "key_range", "time_key"
+# Consecutive numbers of the first key that share a partition.
+KEYS_A_RANGE = 1 << 20
+@dataclass(frozen=True)
+class State:
+    """What the newest load of a table did; `finished` when its partitions are in place.
+
+    `parts` has, for each folder of the table, its schema, its partition column, the
+    partitions that the load touched and those of them that have rows.
+    """
+
+    layer: str
+    table: str
+    number: int
+    finished: bool
+    mark: date
+    inserted: int
+    updated: int
+    at: datetime
+    parts: dict[str, dict]
+
+    def text(self) -> str:
+        return json.dumps(asdict(self), default=lambda value: value.isoformat())
+
+    @staticmethod
+    def of(text: str) -> State:
+        found = json.loads(text)
+        dates = {"mark": date.fromisoformat(found["mark"]), "at": datetime.fromisoformat(found["at"])}
+        return State(**{**found, **dates})
 
 
 @dataclass(frozen=True)
@@ -68,23 +93,43 @@ class LoadReport:
     mark: date
 
 
+def _schema(df: DataFrame) -> str:
+    return ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
+
+
+def _in_ranges(df: DataFrame, key: str, width: int) -> DataFrame:
+    return df.withColumn(RANGE, F.expr(f"`{key}` div {width}L").cast("bigint"))
+
+
 class LoadStore:
-    """The loaded tables under one shared folder, and the state table that says what of them is published."""
+    """The loaded tables under one shared folder, and the state that says what is loaded.
+
+    A table has one current content. Loads of a store come one at a time; a
+    query that reads a table while a load replaces its partitions has to be run again.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, keys_a_range: int = KEYS_A_RANGE):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._held: dict[tuple[str, str], Row] | None = None
+        self.keys_a_range = keys_a_range
+        self._held: dict[tuple[str, str], State] | None = None
 
-    def current(self) -> dict[tuple[str, str], Row]:
-        """The newest state row of every table, read once while `held`."""
+    # --- state ---
+
+    def _state_path(self, state: State) -> str:
+        return f"{self.root}/state/{state.layer}-{state.table}/{state.number}-{'done' if state.finished else 'written'}.json"
+
+    def current(self) -> dict[tuple[str, str], State]:
+        """The newest state of every table, read once while `held`; unfinished loads are finished."""
         if self._held is not None:
             return self._held
-        rows = read_if_there(self.spark, f"{self.root}/state", STATE)
-        if rows is None:
-            return {}
-        newest = rows.groupBy("layer", "table_name").agg(F.max_by(F.struct("*"), "number").alias("row"))
-        return {(r["layer"], r["table_name"]): r for r in newest.select("row.*").collect()}
+        newest: dict[tuple[str, str], State] = {}
+        for text in read_texts(self.spark, f"{self.root}/state"):
+            state = State.of(text)
+            known = newest.get((state.layer, state.table))
+            if known is None or (state.number, state.finished) > (known.number, known.finished):
+                newest[state.layer, state.table] = state
+        return {key: state if state.finished else self._finish(state) for key, state in newest.items()}
 
     @contextmanager
     def held(self) -> Iterator[None]:
@@ -95,117 +140,177 @@ class LoadStore:
         finally:
             self._held = None
 
-    def state(self, layer: str, table: str) -> Row | None:
+    def state(self, layer: str, table: str) -> State | None:
         return self.current().get((layer, table))
 
     def next_number(self) -> int:
-        return max((row["number"] for row in self.current().values()), default=0) + 1
-
-    def record(
-        self, layer: str, table: str, number: int, mark: date, parts: dict, counts: tuple[int, int], schema: str, at: datetime
-    ) -> None:
-        row = [(number, mark, json.dumps(parts), *counts, schema, at, layer, table)]
-        state = self.spark.createDataFrame(row, STATE).coalesce(1)
-        state.write.mode("append").partitionBy("layer", "table_name").parquet(f"{self.root}/state")
+        return max((state.number for state in self.current().values()), default=0) + 1
+
+    def record(self, state: State) -> None:
+        write_text(self.spark, self._state_path(state), state.text())
+
+    def publish(self, state: State) -> None:
+        """Takes what a load wrote aside into its table."""
+        before = self.state(state.layer, state.table)
+        self.record(state)
+        done = self._finish(state)
+        if before is not None:
+            drop_folder(self.spark, self._state_path(before))
         if self._held is not None:
-            self._held[layer, table] = Row(*(f.split(" ")[0] for f in STATE.split(", ")))(*row[0])
+            self._held[state.layer, state.table] = done
+
+    def _finish(self, state: State) -> State:
+        """Replaces the partitions that a load touched; doing it again changes nothing."""
+        for folder, part in state.parts.items():
+            aside, target = f"{self.root}/aside/{folder}/{state.number}", f"{self.root}/{folder}"
+            if part["kept"]:
+                rows = self.spark.read.schema(part["schema"]).parquet(aside)
+                upsert.replace_partitions(rows, target, part["by"])
+            for value in set(part["touched"]) - set(part["kept"]):
+                drop_folder(self.spark, f"{target}/{part['by']}={value}")
+        done = replace(state, finished=True)
+        self.record(done)
+        drop_folder(self.spark, self._state_path(state))
+        for folder in state.parts:
+            drop_folder(self.spark, f"{self.root}/aside/{folder}/{state.number}")
+        return done
 
     def version(self) -> str:
         """Names the published content of the star."""
         states = self.current()
         found = [states.get(("star", t)) for t in STAR_TABLES]
-        return "-".join(str(s["number"] if s else 0) for s in found)
+        return "-".join(str(s.number if s else 0) for s in found)
 
-    def read(self, layer: str, table: str, *, numbered: bool = False) -> DataFrame | None:
-        """The published rows, with the number of the load that last changed each if `numbered`."""
+    # --- tables ---
+
+    def stored(self, layer: str, table: str, folder: str | None = None) -> DataFrame | None:
+        """The rows with load number and partition column, None if never loaded."""
         known = self.state(layer, table)
-        if known is None:
+        folder = folder or f"{layer}/{table}"
+        part = known.parts.get(folder) if known else None
+        if part is None:
             return None
-        parts = json.loads(known["parts"])
-        folder = f"{self.root}/{layer}/{table}"
-        rows = self.spark.read.schema(known["schema"])
-        if "version" in parts:
-            found = rows.parquet(f"{folder}/versions/{parts['version']}")
-        elif "loads" in parts:
-            found = rows.parquet(f"{folder}/rows").where(F.col(NUMBER).isin(parts["loads"]))
-        else:
-            # A month and its version are partitions, so months of other versions are not read.
-            of_version: dict[int, list[int]] = {}
-            for month, number in parts["months"].items():
-                of_version.setdefault(number, []).append(int(month))
-            current: list[Column] = [
-                (F.col(NUMBER) == number) & F.col("time_key").isin(months) for number, months in of_version.items()
-            ]
-            found = rows.parquet(f"{folder}/months").where(reduce(lambda a, b: a | b, current, F.lit(False)))
-        return found if numbered else found.drop(NUMBER)
+        path = f"{self.root}/{folder}"
+        if not exists(self.spark, path):
+            return self.spark.createDataFrame([], part["schema"])
+        return self.spark.read.schema(part["schema"]).parquet(path)
 
     def table(self, layer: str, table: str, *, numbered: bool = False) -> DataFrame:
-        found = self.read(layer, table, numbered=numbered)
+        """The published rows, with the number of the load that last changed each if `numbered`."""
+        found = self.stored(layer, table)
         if found is None:
             raise ValueError(f"{layer} table {table} was never loaded")
-        return found
+        return found.drop(RANGE) if numbered else found.drop(RANGE, NUMBER)
 
-
-def _schema(df: DataFrame) -> str:
-    return ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
+    def near(self, layer: str, table: str, keys: DataFrame) -> DataFrame:
+        """The rows in the key ranges of `keys`, one column named like the table's first key; other ranges are not read."""
+        found = self.stored(layer, table)
+        if found is None:
+            raise ValueError(f"{layer} table {table} was never loaded")
+        ranges = upsert.touched_values(_in_ranges(keys, keys.columns[0], self.keys_a_range), RANGE)
+        return found.where(F.col(RANGE).isin(ranges)).drop(RANGE, NUMBER)
+
+    def write_aside(
+        self, rows: DataFrame, folder: str, number: int, by: str, touched: Iterable[int]
+    ) -> tuple[dict, tuple[int, int]]:
+        """Writes the new content of touched partitions; what to publish and the counts that came with the write."""
+        counts = Observation()
+        spread = rows.hint("rebalance", by)
+        watched = spread.observe(
+            counts, F.sum("rows_inserted").alias("inserted"), F.sum("rows_updated").alias("updated")
+        ).drop("rows_inserted", "rows_updated")
+        path = f"{self.root}/aside/{folder}/{number}"
+        watched.write.mode("overwrite").partitionBy(by).parquet(path)
+        kept = partition_values(self.spark, path, by)
+        part = {"schema": _schema(watched), "by": by, "touched": list(touched), "kept": kept}
+        return part, (counts.get["inserted"] or 0, counts.get["updated"] or 0)
 
 
 def _load(
-    store: LoadStore, layer: str, table: str, batch: DataFrame, newest: date | None, at: datetime, *, rebuild: bool = False
+    store: LoadStore,
+    layer: str,
+    table: str,
+    batch: DataFrame,
+    newest: date | str,
+    at: datetime,
+    *,
+    waiting: tuple[DataFrame, DataFrame] | None = None,
+    rebuild: bool = False,
 ) -> LoadReport:
-    """Apply one batch and publish the result; `newest` is the latest business date seen.
+    """Apply one batch and publish the result; `newest` is the latest business date seen, or its column in the batch.
 
-    With `rebuild` the batch is the whole table, which replaces the old one.
+    With `rebuild` the batch is the whole table, which replaces the old one. `waiting` has
+    the rows that arrive in the pending table and the keys that leave it.
     """
     spark, key = store.spark, list(PRIMARY_KEYS[table])
     known = store.state(layer, table)
     number = store.next_number()
-    mark = max(known["mark"] if known else NEVER_LOADED, newest or NEVER_LOADED)
-    folder = f"{store.root}/{layer}/{table}"
+    folder = f"{layer}/{table}"
     order_by = [c for c in batch.columns if c == "last_updated_time"]
-
-    stored_batch = f"{folder}/batches/{number}"
-    batch.write.mode("overwrite").parquet(stored_batch)
-    batch = spark.read.schema(batch.schema).parquet(stored_batch)
-    old = None if rebuild else store.read(layer, table)
-    if old is None:
-        old = batch.limit(0)
-    rule = upsert.UPSERT_RULES[table]
-    counts = tuple(upsert.load_counts(old, batch, key, updates=rule != "absent").first())
-    before = json.loads(known["parts"]) if known else {}
-    schema = f"{_schema(batch)}, {NUMBER} int"
-    if table in FACTS:
-        merged = upsert.upsert_touched(old, batch, table, key, "time_key", order_by)
-        spread = merged.hint("rebalance", "time_key")
-        spread.write.mode("overwrite").partitionBy("time_key").parquet(f"{folder}/months/{NUMBER}={number}")
-        touched = {str(m): number for m in upsert.touched_values(batch, "time_key")}
-        parts = {"months": ({} if rebuild else before.get("months", {})) | touched}
-    elif rule == "absent":
-        upsert.new_rows(old, batch, key, order_by).write.mode("overwrite").parquet(f"{folder}/rows/{NUMBER}={number}")
-        parts = {"loads": [*before.get("loads", []), number]}
+    by = MONTH if table in FACTS else RANGE
+    batch = batch.withColumn(NUMBER, F.lit(number))
+    if by == RANGE:
+        batch = _in_ranges(batch, key[0], store.keys_a_range)
+
+    batch, touched, seen = _written(store, batch, f"{folder}/{number}-batch", by, newest if isinstance(newest, str) else None)
+    mark = max(d for d in (NEVER_LOADED, known and known.mark, seen if isinstance(newest, str) else newest) if d)
+    old = store.stored(layer, table)
+    if old is None or rebuild:
+        touched = sorted({*touched, *partition_values(spark, f"{store.root}/{folder}", by)})
+        held = batch.limit(0)
     else:
-        numbered = batch.withColumn(NUMBER, F.lit(number))
-        held = numbered.limit(0) if known is None or rebuild else store.table(layer, table, numbered=True)
-        merged = upsert.update_named(held, numbered, key, [*rule, NUMBER], order_by)
-        merged.write.mode("overwrite").parquet(f"{folder}/versions/{number}")
-        parts = {"version": number}
-    older = [{k: v for k, v in before.items() if k != "older"}, *before.get("older", [])] if "loads" not in parts and before else []
-    parts["older"] = older[: KEPT_VERSIONS - 1]
-    store.record(layer, table, number, mark, parts, counts, schema, at)
-    drop_folder(spark, stored_batch)
-    kept = [parts, *parts["older"]]
-    for gone in older[KEPT_VERSIONS - 1 :]:
-        _expire(store, folder, gone, kept)
+        held = old.select(*batch.columns).where(F.col(by).isin(touched))
+    stamp = [NUMBER] if by == MONTH else [NUMBER, RANGE]
+    merged = upsert.merge_counted(held, batch, table, key, order_by, stamp)
+    part, counts = store.write_aside(merged, folder, number, by, touched)
+    parts = {folder: part}
+    if waiting is not None:
+        pending = _pending(store, layer, table, number, *waiting, rebuild=rebuild)
+        if pending is not None:
+            parts[f"{folder}-pending"] = pending
+    changed = any(counts) or len(parts) > 1 or (rebuild and old is not None)
+    if known is None or changed or mark > known.mark:
+        before = known.parts if known else {}
+        parts = {name: {**p, "touched": [], "kept": []} for name, p in before.items() if name not in parts} | parts
+        store.publish(State(layer, table, number, False, mark, *counts, at, parts))
+    drop_folder(spark, f"{store.root}/aside/{folder}")
+    drop_folder(spark, f"{store.root}/aside/{folder}-pending")
     return LoadReport(table, counts[0], counts[1], mark)
 
 
-def _expire(store: LoadStore, folder: str, gone: dict, kept: list[dict]) -> None:
-    """Drops the files of a version that neither the current one nor a kept older one has."""
-    if "version" in gone:
-        drop_folder(store.spark, f"{folder}/versions/{gone['version']}")
-    for month, version in gone.get("months", {}).items():
-        if all(p["months"].get(month) != version for p in kept):
-            drop_folder(store.spark, f"{folder}/months/{NUMBER}={version}/time_key={month}")
+def _written(
+    store: LoadStore, rows: DataFrame, name: str, by: str, change: str | None = None
+) -> tuple[DataFrame, list[int], date | None]:
+    """Rows written aside by partition, read again, with the partitions they fall in and their newest `change`."""
+    path, seen = f"{store.root}/aside/{name}", Observation()
+    newest = F.max(change).cast("date") if change else F.max(F.lit(None).cast("date"))
+    spread = rows.hint("rebalance", by).observe(seen, newest.alias("newest"))
+    spread.write.mode("overwrite").partitionBy(by).parquet(path)
+    touched = partition_values(store.spark, path, by)
+    return store.spark.read.schema(_schema(rows)).parquet(path).select(*rows.columns), touched, seen.get["newest"]
+
+
+def _pending(
+    store: LoadStore, layer: str, table: str, number: int, arriving: DataFrame, leaving: DataFrame, *, rebuild: bool
+) -> dict | None:
+    """The pending rows of the touched key ranges, written aside; None where nothing comes or goes."""
+    folder, key = f"{layer}/{table}-pending", WAITING[table][2]
+    arriving, ranges, _ = _written(store, _in_ranges(arriving, key, store.keys_a_range), f"{folder}/{number}-batch", RANGE)
+    old = store.stored(layer, table, folder)
+    touched = set(ranges)
+    rows = arriving
+    if old is not None and rebuild:
+        touched |= set(partition_values(store.spark, f"{store.root}/{folder}", RANGE))
+    elif old is not None:
+        gone = old.join(leaving.select(key).distinct(), key, "left_semi")
+        touched |= set(upsert.touched_values(gone, RANGE))
+        stay = old.where(F.col(RANGE).isin(sorted(touched))).join(leaving.select(key).distinct(), key, "left_anti")
+        rows = stay.select(*arriving.columns).unionByName(arriving)
+    if not touched:
+        return None
+    none = F.lit(0).cast("bigint")
+    counted = rows.withColumns({"rows_inserted": none, "rows_updated": none})
+    return store.write_aside(counted, folder, number, RANGE, touched)[0]
 
 
 def load_sources(
@@ -227,48 +332,51 @@ def load_sources(
 
 def _load_source(store: LoadStore, source: DataFrame, table: str, at: datetime, everything: bool) -> LoadReport:
     known = store.state("conformed", table)
-    since = known["mark"] if known and not everything else NEVER_LOADED
+    since = known.mark if known and not everything else NEVER_LOADED
     batch = conform(source, table, since)
     change = next(target for name, target, _ in EXTRACTS[table].columns if name == EXTRACTS[table].change_column)
-    newest = upsert.high_water_mark(batch, change).first()[0]
-    return _load(store, "conformed", table, batch, newest, at)
+    return _load(store, "conformed", table, batch, change, at)
 
 
-def star_batch(store: LoadStore, table: str, since: int, as_of: date) -> DataFrame:
-    """Rows of a star table to which a conformed row newer than load `since` contributes."""
+Batch = tuple[DataFrame, tuple[DataFrame, DataFrame] | None]
 
-    def rows(name: str) -> DataFrame:
-        return store.table("conformed", name, numbered=True)
 
-    def new(name: str) -> DataFrame:
-        return rows(name).where(F.col(NUMBER) > since).drop(NUMBER)
+def star_batch(store: LoadStore, table: str, since: int, as_of: date) -> Batch:
+    """Rows of a star table to which a conformed row newer than load `since` contributes.
 
-    def all_of(name: str) -> DataFrame:
-        return rows(name).drop(NUMBER)
+    For tables whose rows may wait, also the child rows that have no parent yet and the
+    new parents, for which waiting rows leave.
+    """
 
-    def late(child: str, parent: str, key: str) -> DataFrame:
-        """Old rows whose parent is new: they were waiting for it."""
-        old = rows(child).where(F.col(NUMBER) <= since).drop(NUMBER)
-        return old.join(new(parent).select(key), key, "left_semi").select(*old.columns)
+    def new(name: str) -> DataFrame:
+        # Files without a newer load are skipped by the statistics of the load number.
+        return store.table("conformed", name, numbered=True).where(F.col(NUMBER) > since).drop(NUMBER)
 
     if table == "dim_time":
-        return star.dim_time(new("order"), as_of)
+        return star.dim_time(new("order"), as_of), None
     if table == "dim_location":
-        return star.dim_location(new("representative_office"))
+        return star.dim_location(new("representative_office")), None
     if table == "dim_product":
-        return star.dim_product(new("product"))
-    if table == "dim_store":
-        stores = new("store").unionByName(late("store", "representative_office", "city_id"))
-        return star.dim_store(stores, all_of("representative_office"))
+        return star.dim_product(new("product")), None
     if table == "dim_customer":
         names = ("customer", "tourist_customer", "mail_order_customer")
         changed = reduce(DataFrame.union, [new(n).select("customer_id") for n in names]).distinct()
-        customers = all_of("customer").join(changed, "customer_id", "left_semi")
-        return star.dim_customer(customers, all_of("tourist_customer"), all_of("mail_order_customer"))
-    if table == "fact_sales":
-        lines = new("order_product").unionByName(late("order_product", "order", "order_id"))
-        return star.fact_sales(lines, all_of("order"))
-    return star.fact_inventory(all_of("stocked_product"))
+        customers, tourists, mails = (store.near("conformed", n, changed) for n in names)
+        return star.dim_customer(customers.join(changed, "customer_id", "left_semi"), tourists, mails), None
+    if table == "fact_inventory":
+        return star.fact_inventory(store.table("conformed", "stocked_product")), None
+    child, parent, key = WAITING[table]
+    children, parents = new(child), new(parent)
+    pending = store.stored("star", table, f"star/{table}-pending") if since else None
+    if pending is not None:
+        met = pending.drop(RANGE).join(parents.select(key), key, "left_semi")
+        ready = children.unionByName(met.select(*children.columns))
+    else:
+        ready = children
+    known = store.near("conformed", parent, ready.select(key))
+    build = star.fact_sales if table == "fact_sales" else star.dim_store
+    arriving = children.join(known.select(key), key, "left_anti").select(*children.columns)
+    return build(ready, known), (arriving, parents.select(key))
 
 
 def load_star(
@@ -284,14 +392,16 @@ def load_star(
 
 def _load_star(store: LoadStore, table: str, as_of: date, at: datetime, rebuild: bool) -> LoadReport:
     known = store.state("star", table)
-    since = known["number"] if known and not rebuild else 0
-    source, change = STAR_CHANGES[table]
-    newest = upsert.high_water_mark(store.table("conformed", source), change).first()[0]
+    since = known.number if known and not rebuild else 0
+    sources = [STAR_CHANGES[table][0]]
     if table == "dim_customer":
-        for members in ("tourist_customer", "mail_order_customer"):
-            late = upsert.high_water_mark(store.table("conformed", members), "last_updated_time").first()[0]
-            newest = max(d for d in (newest, late, NEVER_LOADED) if d is not None)
-    return _load(store, "star", table, star_batch(store, table, since, as_of), newest, at, rebuild=rebuild)
+        sources += ["tourist_customer", "mail_order_customer"]
+    states = [store.state("conformed", name) for name in sources]
+    if None in states:
+        raise ValueError(f"star table {table} needs {', '.join(sources)} to be loaded before")
+    newest = max(state.mark for state in states)
+    batch, waiting = star_batch(store, table, since, as_of)
+    return _load(store, "star", table, batch, newest, at, waiting=waiting, rebuild=rebuild)
 
 
 def open_loaded(store: LoadStore, folder: str) -> Warehouse:

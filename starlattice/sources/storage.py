@@ -24,6 +24,47 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     files.delete(name, True)
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[int]:
+    """The values of a number column by which the folder is partitioned, from the names of its folders."""
+    files, name = _file_system(spark, path)
+    if not files.exists(name):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(name)]
+    found = [n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")]
+    return sorted(int(v) for v in found if v.lstrip("-").isdigit())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there with all of its text or not at all."""
+    files, name = _file_system(spark, path)
+    _, aside = _file_system(spark, f"{path}.aside")
+    stream = files.create(aside, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    files.delete(name, False)
+    files.rename(aside, name)
+
+
+def read_texts(spark: SparkSession, folder: str) -> list[str]:
+    """The texts of the small `.json` files below a folder."""
+    files, name = _file_system(spark, folder)
+    if not files.exists(name):
+        return []
+    found = files.listFiles(name, True)
+    texts = []
+    while found.hasNext():
+        path = found.next().getPath()
+        if path.getName().endswith(".json"):
+            stream = files.open(path)
+            try:
+                texts.append(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+            finally:
+                stream.close()
+    return texts
+
+
 def fingerprint(spark: SparkSession, paths: Iterable[str]) -> str:
     """A digest of the names, sizes and times of all files below the paths."""
     seen = hashlib.sha256()

@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from starlattice.operators import upsert
 from starlattice.plans import loads
@@ -192,17 +193,6 @@ def test_load_refresh_load_refresh_in_one_session(spark, store, tmp_path):
     assert loads.open_loaded(store, str(tmp_path / "cuboids")).cuboid("olap_sales_all").first()["total_quantity"] == 8
 
 
-def test_old_versions_go(spark, store, tmp_path):
-    for price in range(5):
-        row = [(1, "Chair", "s", Decimal("1.5"), Decimal(price), day("2023-01-01"))]
-        source = {"product": spark.createDataFrame(row, SOURCE_SCHEMAS["product"])}
-        loads.load_sources(store, source, AT, ["product"])
-    assert store.table("conformed", "product").first()["price"] == 4
-    folder = tmp_path / "conformed" / "product"
-    assert len(list((folder / "versions").iterdir())) == loads.KEPT_VERSIONS
-    assert not [p for p in (folder / "batches").rglob("*.parquet")]
-
-
 def test_only_touched_months_are_read_and_replaced(spark, tmp_path):
     path = str(tmp_path / "months")
     schema = "time_key int, product_key int, customer_key int, quantity_ordered bigint, total_amount decimal(15,2)"
@@ -211,17 +201,127 @@ def test_only_touched_months_are_read_and_replaced(spark, tmp_path):
     untouched = sorted((tmp_path / "months" / "time_key=202401").glob("*.parquet"))
     batch = spark.createDataFrame([(202402, 1, 1, 1, Decimal(10)), (202403, 2, 1, 1, Decimal(1))], schema)
     stored = spark.read.schema(schema).parquet(path)
-    merged = upsert.upsert_touched(stored, batch, "fact_sales", ["time_key", "product_key", "customer_key"], "time_key")
+    held = stored.where(F.col("time_key").isin(upsert.touched_values(batch, "time_key")))
+    merged = upsert.merge_counted(held, batch, "fact_sales", ["time_key", "product_key", "customer_key"])
     plan = merged._jdf.queryExecution().executedPlan().toString()
-    assert "time_key" in plan and "202401" not in plan
+    assert "PartitionFilters: [time_key" in plan and "202401" not in plan
+    assert merged.groupBy().sum("rows_inserted", "rows_updated").first()[:] == (1, 1)
     aside = str(tmp_path / "aside")
-    merged.write.parquet(aside)
+    merged.drop("rows_inserted", "rows_updated").write.parquet(aside)
     upsert.replace_partitions(spark.read.parquet(aside), path, "time_key")
     assert sorted((tmp_path / "months" / "time_key=202401").glob("*.parquet")) == untouched
     after = spark.read.schema(schema).parquet(path).select("time_key", "product_key", "quantity_ordered")
     assert rows_of(after) == [(202401, 1, 5), (202402, 1, 7), (202403, 2, 1)]
 
 
+def orders(spark, *ids, day_=day("2024-01-10")):
+    return {"order": spark.createDataFrame([(i, 1, day_) for i in ids], SOURCE_SCHEMAS["order"])}
+
+
+def files_of(folder):
+    return {str(p.relative_to(folder)): p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+
+@pytest.mark.parametrize("table", ["order", "product"])
+def test_untouched_ranges_keep_their_files_and_are_not_read(spark, tmp_path, table):
+    store = loads.LoadStore(spark, str(tmp_path), keys_a_range=10)
+    made = {
+        "order": lambda *ids: orders(spark, *ids),
+        "product": lambda *ids: {"product": spark.createDataFrame([(i, "Chair", "s", Decimal(1), Decimal(i), day("2024-01-10")) for i in ids], SOURCE_SCHEMAS["product"])},
+    }[table]
+    loads.load_sources(store, made(*range(100)), AT, [table])
+    folder = tmp_path / "conformed" / table
+    before = files_of(folder)
+    reads = []
+    real = upsert.merge_counted
+
+    def watched(old, *rest, **named):
+        reads.append((old._jdf.queryExecution().executedPlan().toString(), old.count()))
+        return real(old, *rest, **named)
+
+    loads.upsert.merge_counted = watched
+    try:
+        counts = reports(loads.load_sources(store, made(41, 42, 205), AT, [table]))
+    finally:
+        loads.upsert.merge_counted = real
+    assert counts[table] == ((1, 0) if table == "order" else (1, 2))
+    plan, rows = reads[0]
+    assert "PartitionFilters: [key_range" in plan and rows == 10  # of 100: the range of 41 and 42
+    after = files_of(folder)
+    kept = {f for f in before if after.get(f) == before[f]}
+    assert {f for f in before if "key_range=4/" not in f} == kept
+    assert {f.split("/")[0] for f in after} == {f"key_range={i}" for i in (*range(10), 20)}
+
+
+def test_loads_that_bring_nothing_leave_nothing(spark, store, tmp_path):
+    for _ in range(4):
+        loads.load_sources(store, orders(spark, 1, 2), AT, ["order"])
+    assert store.state("conformed", "order").number == 1
+    for i in range(5):
+        loads.load_sources(store, orders(spark, 10 + i), AT, ["order"])
+    assert [p.name for p in (tmp_path / "state").rglob("[!.]*.json")] == ["6-done.json"]
+    assert not list((tmp_path / "aside").rglob("*.parquet"))
+    assert store.table("conformed", "order").count() == 7
+    assert len(list((tmp_path / "conformed" / "order").rglob("*.parquet"))) == 1
+
+
+@pytest.mark.parametrize("table", ["order", "product", "dim_customer", "fact_sales"])
+def test_a_load_that_stops_while_it_replaces_is_finished(spark, tmp_path, monkeypatch, table):
+    layer, needed = KINDS[table]
+    store = loads.LoadStore(spark, str(tmp_path), keys_a_range=1)
+    load_one = lambda rows: loads.load_star(store, AS_OF, AT, [table]) if layer == "star" else loads.load_sources(store, rows, AT, [table])
+    for second in (False, True):
+        rows = sources(spark, second)
+        loads.load_sources(store, rows, AT, needed)
+        if second:
+            real = upsert.replace_partitions
+
+            def stop(found, target, by):
+                values = upsert.touched_values(found, by)
+                real(found.where(F.col(by) == values[0]), target, by)
+                raise RuntimeError("stopped")
+
+            monkeypatch.setattr(upsert, "replace_partitions", stop)
+            with pytest.raises(RuntimeError):
+                load_one(rows)
+            monkeypatch.setattr(upsert, "replace_partitions", real)
+        load_one(rows)
+    plain = loads.LoadStore(spark, str(tmp_path / "plain"))
+    for second in (False, True):
+        rows = sources(spark, second)
+        loads.load_sources(plain, rows, AT, needed)
+        if layer == "star":
+            loads.load_star(plain, AS_OF, AT, [table])
+        else:
+            loads.load_sources(plain, rows, AT, [table])
+    names = sorted(plain.table(layer, table).columns)
+    assert rows_of(store.table(layer, table).select(names)) == rows_of(plain.table(layer, table).select(names))
+
+
+def test_pending_lines_are_met_by_new_orders_alone(spark, tmp_path):
+    store = loads.LoadStore(spark, str(tmp_path), keys_a_range=10)
+    one = day("2024-01-10")
+    first = {**orders(spark, *range(0, 50)), "order_product": lines(spark, *[(i, 1, 1, Decimal(10), one) for i in range(60)])}
+    loads.load_sources(store, first, AT, first)
+    loads.load_star(store, AS_OF, AT, ["fact_sales"])
+    waiting = lambda: sorted(r[0] for r in store.stored("star", "fact_sales", "star/fact_sales-pending").select("order_id").collect())
+    assert waiting() == list(range(50, 60))
+    loads.load_sources(store, orders(spark, 53, 54), AT, ["order"])
+    (batch, _) = loads.star_batch(store, "fact_sales", store.state("star", "fact_sales").number, AS_OF)
+    plan = batch._jdf.queryExecution().executedPlan().toString()
+    # Old lines: none is newer than the last load. Orders: only the range of the waiting lines.
+    scans = [line for line in plan.split("\n") if "FileScan" in line or "Location" in line]
+    assert any("fact_sales-pending" in s for s in scans)
+    assert any("GreaterThan(load_number," in s and "conformed/order_product" in s for s in scans)
+    assert reports(loads.load_star(store, AS_OF, AT, ["fact_sales"]))["fact_sales"] == (0, 1)
+    assert waiting() == [50, 51, 52, 55, 56, 57, 58, 59]
+    loads.load_sources(store, orders(spark, *range(40, 70)), AT, ["order"])
+    loads.load_star(store, AS_OF, AT, ["fact_sales"])
+    assert waiting() == []
+    assert store.table("star", "fact_sales").groupBy().sum("quantity_ordered").first()[0] == 60
+    assert rows_of(store.table("star", "fact_sales")) == rows_of_rebuilt(store)
+
+
 def test_an_unknown_table_is_reported(store):
     with pytest.raises(ValueError, match="never loaded"):
         store.table("star", "fact_sales")
