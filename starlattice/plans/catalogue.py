@@ -3,6 +3,7 @@
 from starlattice.plans import (  # noqa: F401
     cuboid_queries,
     dashboard_queries,
+    distinct_queries,
     load_flow_queries,
     load_queries,
     navigation_queries,

@@ -22,7 +22,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from starlattice.operators import cuboids, star
+from starlattice.operators import cuboids, distinct, star
 from starlattice.operators.conform import conform
 from starlattice.sources import given_tables
 from starlattice.sources.files import write_full_refresh
@@ -88,8 +88,8 @@ class Warehouse:
         self.spark = spark
         self.root = root
         self.folder = folder
-        self._builders = dict(builders)
-        self._partition_by = dict(partition_by or {})
+        self._builders = {**distinct.BUILDERS, **builders}
+        self._partition_by = {**dict.fromkeys(distinct.BUILDERS, "year"), **(partition_by or {})}
         self._sort_by = dict(sort_by or {})
         self._views = views
         self._broadcast_rows = broadcast_rows
@@ -248,6 +248,10 @@ class Warehouse:
         with self._lock:
             self._stored.update({w.name: w for w in written})
             self._tables.update({w.name: self._read(w) for w in written})
+        for name in distinct.OF_CUBE[cube]:
+            with self._lock:
+                self._tables.pop(name, None)
+            self.table(name)
         self._expire(cube)
         return written
 
