@@ -11,32 +11,30 @@ from starlattice.llm.common import SPACED_WORD, stored
 
 SYMBOLS = r"[#*$%&|<>]"
 # Items that a sketch keeps at its lowest level; groups of fewer documents are exact.
-SKETCH_ITEMS = 1024
+SKETCH_ITEMS = 4096
 # Groups with fewer documents take the thresholds of their language, or of all documents.
 LEAST_DOCUMENTS = 100
-# A value is out of line beyond the upper (lower) quartile by this many quartile distances.
+# A value is out of line beyond the upper (lower) quartile by this many quartile distances, and
+# where the quartiles are equal, as for faults that most documents lack, beyond this quantile.
 REACH = 3.0
+RARE = 0.99
+RANKS = (0.25, 0.75, RARE)
 
 
 @dataclass(frozen=True)
 class Limit:
-    """A measure with an upper bound, and a lower one if `both`.
-
-    The adaptive bound is never stricter than `slack` for a share, or than the median
-    times (divided by) `factor`.
-    """
+    """A measure with an upper bound, and a lower one if `both`; the upper one is never below `least`."""
 
     name: str
-    slack: float = 0.0
-    factor: float = 0.0
+    least: float = 0.0
     both: bool = False
 
 
 LIMITS = (
-    Limit("symbols_per_word", slack=0.5),
-    Limit("dup_line_share", slack=0.4),
-    Limit("repeat_share", slack=0.4),
-    Limit("word_length", factor=1.5, both=True),
+    Limit("symbols_per_word", least=0.01),
+    Limit("dup_line_share", least=0.05),
+    Limit("repeat_share", least=0.05),
+    Limit("word_length", both=True),
 )
 
 
@@ -138,14 +136,14 @@ def thresholds(measured: DataFrame) -> DataFrame:
             F.sum("n").alias("n"), *[F.kll_merge_agg_double(m, SKETCH_ITEMS).alias(m) for m in names]
         )
         found = [
-            F.array(*[F.kll_sketch_get_quantile_double(m, F.lit(rank)) for rank in (0.25, 0.5, 0.75)]).alias(m)
+            F.array(*[F.kll_sketch_get_quantile_double(m, F.lit(rank)) for rank in RANKS]).alias(m)
             for m in names
         ]
         enough = rows if level == "corpus" else rows.where(F.col("n") >= LEAST_DOCUMENTS)
         return enough.select(*[F.col(k).alias(f"{level}_{k}") for k in keys], F.struct(*found).alias(level))
 
     own, language = quartiles("own", "lang", "source"), quartiles("language", "lang")
-    # One row of twelve numbers, empty if no row passes.
+    # One row of a few numbers, empty if no row passes.
     corpus = quartiles("corpus").select("corpus.*").first() if groups.take(1) else None
     everything = F.struct(
         *[F.array(*[F.lit(x) for x in corpus[m]]).alias(m) if corpus else F.lit(None).cast("array<double>").alias(m) for m in names]
@@ -159,12 +157,11 @@ def thresholds(measured: DataFrame) -> DataFrame:
     )
     bounds = []
     for limit in LIMITS:
-        q1, q2, q3 = (F.get(f"quartiles.{limit.name}", i) for i in range(3))
-        bounds.append(
-            F.greatest(q3 + REACH * (q3 - q1), F.lit(limit.slack), q2 * limit.factor).alias(f"high_{limit.name}")
-        )
+        q1, q3, rare = (F.get(f"quartiles.{limit.name}", i) for i in range(len(RANKS)))
+        beyond = F.when(q3 > q1, q3 + REACH * (q3 - q1)).otherwise(rare)
+        bounds.append(F.greatest(beyond, F.when(beyond.isNotNull(), F.lit(limit.least))).alias(f"high_{limit.name}"))
         if limit.both:
-            bounds.append(F.least(q1 - REACH * (q3 - q1), q2 / limit.factor).alias(f"low_{limit.name}"))
+            bounds.append((q1 - REACH * (q3 - q1)).alias(f"low_{limit.name}"))
     return stored(
         found.select(F.col("lang").alias("bound_lang"), F.col("source").alias("bound_source"), *bounds), "quality-bounds"
     )

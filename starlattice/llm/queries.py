@@ -226,20 +226,21 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
             n_repeat_words::DOUBLE / greatest(n_words, 1) AS c, word_chars::DOUBLE / greatest(n_words, 1) AS d FROM measured),
     good AS (SELECT * FROM shares WHERE NOT base_failed),
     levels AS (
-        SELECT 1 AS level, lang, source, count(*) AS n, quantile_disc(a, [0.25, 0.5, 0.75]) AS qa, quantile_disc(b, [0.25, 0.5, 0.75]) AS qb,
-            quantile_disc(c, [0.25, 0.5, 0.75]) AS qc, quantile_disc(d, [0.25, 0.5, 0.75]) AS qd FROM good GROUP BY lang, source
-        UNION ALL SELECT 2, lang, NULL, count(*), quantile_disc(a, [0.25, 0.5, 0.75]), quantile_disc(b, [0.25, 0.5, 0.75]),
-            quantile_disc(c, [0.25, 0.5, 0.75]), quantile_disc(d, [0.25, 0.5, 0.75]) FROM good GROUP BY lang
-        UNION ALL SELECT 3, NULL, NULL, count(*), quantile_disc(a, [0.25, 0.5, 0.75]), quantile_disc(b, [0.25, 0.5, 0.75]),
-            quantile_disc(c, [0.25, 0.5, 0.75]), quantile_disc(d, [0.25, 0.5, 0.75]) FROM good),
+        SELECT 1 AS level, lang, source, count(*) AS n, quantile_disc(a, [0.25, 0.75, 0.99]) AS qa, quantile_disc(b, [0.25, 0.75, 0.99]) AS qb,
+            quantile_disc(c, [0.25, 0.75, 0.99]) AS qc, quantile_disc(d, [0.25, 0.75, 0.99]) AS qd FROM good GROUP BY lang, source
+        UNION ALL SELECT 2, lang, NULL, count(*), quantile_disc(a, [0.25, 0.75, 0.99]), quantile_disc(b, [0.25, 0.75, 0.99]),
+            quantile_disc(c, [0.25, 0.75, 0.99]), quantile_disc(d, [0.25, 0.75, 0.99]) FROM good GROUP BY lang
+        UNION ALL SELECT 3, NULL, NULL, count(*), quantile_disc(a, [0.25, 0.75, 0.99]), quantile_disc(b, [0.25, 0.75, 0.99]),
+            quantile_disc(c, [0.25, 0.75, 0.99]), quantile_disc(d, [0.25, 0.75, 0.99]) FROM good),
     chosen AS (SELECT s.*, l.* EXCLUDE (lang, source), row_number() OVER (PARTITION BY s.id ORDER BY level) AS place
         FROM shares s LEFT JOIN levels l ON (level = 3) OR (n >= 100 AND s.lang IS NOT DISTINCT FROM l.lang
             AND (level = 2 OR s.source IS NOT DISTINCT FROM l.source)))
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-        NOT base_failed AND coalesce(a <= greatest(qa[3] + 3 * (qa[3] - qa[1]), 0.5)
-            AND b <= greatest(qb[3] + 3 * (qb[3] - qb[1]), 0.4) AND c <= greatest(qc[3] + 3 * (qc[3] - qc[1]), 0.4)
-            AND d <= greatest(qd[3] + 3 * (qd[3] - qd[1]), qd[2] * 1.5)
-            AND d >= least(qd[1] - 3 * (qd[3] - qd[1]), qd[2] / 1.5), true) AS kept
+        NOT base_failed AND coalesce(a <= greatest(CASE WHEN qa[2] > qa[1] THEN qa[2] + 3 * (qa[2] - qa[1]) ELSE qa[3] END, 0.01)
+            AND b <= greatest(CASE WHEN qb[2] > qb[1] THEN qb[2] + 3 * (qb[2] - qb[1]) ELSE qb[3] END, 0.05)
+            AND c <= greatest(CASE WHEN qc[2] > qc[1] THEN qc[2] + 3 * (qc[2] - qc[1]) ELSE qc[3] END, 0.05)
+            AND d <= CASE WHEN qd[2] > qd[1] THEN qd[2] + 3 * (qd[2] - qd[1]) ELSE qd[3] END
+            AND d >= qd[1] - 3 * (qd[2] - qd[1]), true) AS kept
     FROM chosen WHERE place = 1
     """,
 )
