@@ -288,3 +288,17 @@ def refresh_order(cube: str) -> list[Cuboid]:
         done |= {c.name for c in ready}
         waiting = [c for c in waiting if c.name not in done]
     return order
+
+
+def refresh_levels(cube: str) -> list[list[Cuboid]]:
+    """The cuboids of a cube in levels; every parent of a cuboid, and the yearly snapshot, is in an earlier one."""
+    needed = {c.name: {p.name for p in parents(c)} for c in LATTICES[cube].values()}
+    if cube == "inventory":
+        needed["olap_inv_product_store"].add("olap_inv_year_product_store")
+    done: set[str] = set()
+    levels = []
+    while len(done) < len(needed):
+        level = [c for c in LATTICES[cube].values() if c.name not in done and needed[c.name] <= done]
+        levels.append(level)
+        done |= {c.name for c in level}
+    return levels

@@ -11,6 +11,7 @@ from __future__ import annotations
 import time
 from collections.abc import Iterable, Mapping
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -152,7 +153,7 @@ def merge_counted(
 
     One join of old rows and batch gives the rows and both counts: `rows_inserted` and
     `rows_updated` of a row sum up to the counts of the load. Columns of `stamp`,
-    such as a load number, are taken from the batch wherever a row changes.
+    such as a load number, are taken from the batch where a row is new or another value comes.
     """
     key, stamp, rule = list(key), list(stamp), UPSERT_RULES[table]
     keyed = _keyed(batch, key).select(*old.columns)
@@ -176,13 +177,15 @@ def merge_counted(
         changes = keyed.groupBy(*key).agg(F.min(sequence).alias("first"), *last, F.count(F.lit(1)).alias("rows"))
         summed = old.withColumn("present", F.lit(True)).join(changes, key, "full")
         present, rows = F.col("present").isNotNull(), F.coalesce("rows", F.lit(0))
-        changed = F.col("rows").isNotNull()
+        met = F.col("rows").isNotNull()
+        differs = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"last.{c}")) for c in named], ~present)
         values = []
         for c in old.columns:
             if c in key:
                 values.append(F.col(c))
             elif named and c in {*named, *stamp}:
-                values.append(F.when(changed, F.col(f"last.{c}")).otherwise(F.col(c)).alias(c))
+                taken = met & differs if c in stamp else met
+                values.append(F.when(taken, F.col(f"last.{c}")).otherwise(F.col(c)).alias(c))
             else:
                 values.append(F.when(present, F.col(c)).otherwise(F.col(f"first.{c}")).alias(c))
         updates = bool(named)

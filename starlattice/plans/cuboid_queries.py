@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from starlattice.operators.cuboids import CUBOIDS, LATTICES, Cuboid, build, sales_rollup
 from starlattice.plans.registry import on_star
@@ -59,3 +62,45 @@ def refresh_sql(cube: str) -> str:
 
 on_star("refresh_sales_cuboids", lambda wh: refreshed(wh, "sales"), refresh_sql("sales"))
 on_star("refresh_inventory_cuboids", lambda wh: refreshed(wh, "inventory"), refresh_sql("inventory"))
+
+
+# --- a refresh after a second load, of the years it changed -------------------
+
+FACT_OF = {"sales": "fact_sales", "inventory": "fact_inventory"}
+SECOND_LOAD_FROM, CORRECTED_YEAR = 2000, 1997
+
+
+def refreshed_after_second_load(wh: Warehouse, cube: str) -> DataFrame:
+    """Refresh, then a load that brings the years from 2000 on and a fifth of 1997's products, then those years again."""
+    if wh.root is None:
+        raise ValueError("a refresh needs a shared folder")
+    late = (F.col("time_key") >= SECOND_LOAD_FROM * 100) | (
+        F.col("time_key").between(CORRECTED_YEAR * 100, CORRECTED_YEAR * 100 + 99) & (F.col("product_key") % 5 == 0)
+    )
+    names = ("dim_time", "dim_location", "dim_product", "dim_store", "dim_customer", "fact_sales", "fact_inventory")
+    loaded = {"version": "first"}
+
+    def table(name: str) -> DataFrame:
+        whole = wh.table(name)
+        return whole.where(~late) if name == FACT_OF[cube] and loaded["version"] == "first" else whole
+
+    def changed(_cube: str, _before: str) -> list[int]:
+        years = wh.table(FACT_OF[cube]).where(late).select(F.expr("time_key div 100").cast("int").alias("year")).distinct()
+        return [r["year"] for r in years.collect()]
+
+    growing = Warehouse(
+        wh.spark,
+        {n: (lambda _, n=n: table(n)) for n in names},
+        f"{wh.root}/second-load/{uuid.uuid4().hex[:12]}",
+        views=frozenset(names),
+        version=lambda: loaded["version"],
+        changed_years=changed,
+    )
+    growing.refresh_cuboids(cube)
+    loaded["version"] = "second"
+    written = [(w.name, w.row_count, w.measure_sum) for w in growing.refresh_changed(cube)]
+    return wh.spark.createDataFrame(written, "cuboid string, row_count bigint, measure_sum bigint")
+
+
+on_star("refresh_after_second_load_sales", lambda wh: refreshed_after_second_load(wh, "sales"), refresh_sql("sales"))
+on_star("refresh_after_second_load_stock", lambda wh: refreshed_after_second_load(wh, "inventory"), refresh_sql("inventory"))

@@ -404,8 +404,47 @@ def _load_star(store: LoadStore, table: str, as_of: date, at: datetime, rebuild:
     return _load(store, "star", table, batch, newest, at, waiting=waiting, rebuild=rebuild)
 
 
+def changed_years(store: LoadStore, cube: str, before: str) -> list[int]:
+    """Years whose cuboids a cube's facts and dimensions changed since the star had the version `before`.
+
+    These are the years of changed fact rows, of new months, and of facts whose
+    customer or store, or its place, changed.
+    """
+    since = dict(zip(STAR_TABLES, map(int, before.split("-"))))
+
+    def new(name: str) -> DataFrame | None:
+        """The rows that changed, None where no load did."""
+        state = store.state("star", name)
+        if state is None or state.number == since[name]:
+            return None
+        return store.table("star", name, numbered=True).where(F.col(NUMBER) > since[name])
+
+    fact, people, key = {
+        "sales": ("fact_sales", "dim_customer", "customer_key"),
+        "inventory": ("fact_inventory", "dim_store", "store_key"),
+    }[cube]
+    months = [rows.select(MONTH) for rows in (new(fact), new("dim_time")) if rows is not None]
+    changed, places = new(people), new("dim_location")
+    keys = [] if changed is None else [changed.select(key)]
+    if places is not None:
+        keys.append(store.table("star", people).join(places, "location_key", "left_semi").select(key))
+    if keys:
+        months.append(store.table("star", fact).join(reduce(DataFrame.union, keys), key, "left_semi").select(MONTH))
+    if not months:
+        return []
+    years = reduce(DataFrame.union, months).select(F.expr(f"{MONTH} div 100").cast("int").alias("year")).distinct()
+    return [r["year"] for r in years.collect()]
+
+
 def open_loaded(store: LoadStore, folder: str) -> Warehouse:
     """A warehouse over the loaded star; the star tables are read where they are, cuboids go to `folder`."""
     names = frozenset(STAR_TABLES)
     builders = {name: (lambda _, n=name: store.table("star", n)) for name in names}
-    return Warehouse(store.spark, builders, folder, views=names, version=store.version)
+    return Warehouse(
+        store.spark,
+        builders,
+        folder,
+        views=names,
+        version=store.version,
+        changed_years=lambda cube, before: changed_years(store, cube, before),
+    )

@@ -60,6 +60,7 @@ def write_full_refresh(
     *,
     partition_by: str | None = None,
     sort_by: str | None = None,
+    spread: bool = True,
     watch: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> None:
     """Replace a stored table; an empty input leaves an empty table.
@@ -68,13 +69,13 @@ def write_full_refresh(
 
     With `partition_by`, rows are first rebalanced by that column: adaptive
     execution splits a partition value that holds far more rows than others
-    over several files and packs small ones together. `sort_by` orders the
+    over several files and packs small ones together; a small table needs no `spread`. `sort_by` orders the
     rows inside each file, so that a filter on that column skips most pages.
     """
     if partition_by is None:
         watch(df).write.mode("overwrite").parquet(path)
         return
-    spread = df.hint("rebalance", partition_by)
+    rows = df.hint("rebalance", partition_by) if spread else df
     if sort_by is not None:
-        spread = spread.sortWithinPartitions(partition_by, sort_by)
-    watch(spread).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+        rows = rows.sortWithinPartitions(partition_by, sort_by)
+    watch(rows).write.mode("overwrite").partitionBy(partition_by).parquet(path)

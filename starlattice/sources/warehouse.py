@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -24,9 +25,10 @@ from pyspark.sql import functions as F
 
 from starlattice.operators import cuboids, distinct, star
 from starlattice.operators.conform import conform
+from starlattice.operators.upsert import replace_partitions
 from starlattice.sources import given_tables
 from starlattice.sources.files import write_full_refresh
-from starlattice.sources.storage import drop_folder, exists, fingerprint, read_if_there
+from starlattice.sources.storage import drop_folder, exists, fingerprint, partition_values, read_if_there
 
 # A dimension up to this many rows is broadcast: keys and a few short strings, about 10 MB.
 BROADCAST_ROWS = 100_000
@@ -84,6 +86,7 @@ class Warehouse:
         views: frozenset[str] = frozenset(),
         broadcast_rows: int = BROADCAST_ROWS,
         version: Callable[[], str] | None = None,
+        changed_years: Callable[[str, str], list[int]] | None = None,
     ):
         self.spark = spark
         self.root = root
@@ -94,6 +97,7 @@ class Warehouse:
         self._views = views
         self._broadcast_rows = broadcast_rows
         self._version = version
+        self._changed_years = changed_years
         self._tables: dict[str, DataFrame] = {}
         self._stored: dict[str, Stored] = {}
         self._small: dict[str, bool] = {}
@@ -143,6 +147,7 @@ class Warehouse:
             path,
             partition_by=partition_by,
             sort_by=self._sort_by.get(name),
+            spread=name not in cuboids.CUBOIDS or cuboids.CUBOIDS[name].is_detail,
             watch=lambda rows: rows.observe(counts, F.count(F.lit(1)).alias("row_count"), first.alias("measure_sum")),
         )
         schema = ", ".join(f"`{column}` {kind}" for column, kind in df.dtypes)
@@ -212,7 +217,7 @@ class Warehouse:
 
     @staticmethod
     def _by_year(cuboid: cuboids.Cuboid) -> str | None:
-        return "year" if cuboid.is_detail and cuboid.time != "none" else None
+        return "year" if cuboid.time != "none" else None
 
     def refresh_cuboids(self, cube: str) -> list[Stored]:
         """Rebuild every cuboid of a cube from its smallest parent; what was written, by name.
@@ -255,6 +260,105 @@ class Warehouse:
         self._expire(cube)
         return written
 
+    # --- refresh of what changed ---
+
+    def _last_refresh(self, cube: str) -> tuple[str, str, dict[str, Stored]] | None:
+        """Name and version of the newest refresh of a cube, and what it holds."""
+        manifest = read_if_there(self.spark, f"{self.root}/manifest", MANIFEST, nested=True)
+        if manifest is None:
+            return None
+        rows = manifest.where(F.col("refresh").startswith(f"{cube}-")).orderBy("at").collect()
+        if not rows:
+            return None
+        newest = [r for r in rows if r["at"] == rows[-1]["at"]]
+        held = {r["name"]: Stored(r["name"], r["path"], r["schema"], r["row_count"], r["measure_sum"]) for r in newest}
+        return newest[0]["refresh"], newest[0]["version"], held
+
+    def refresh_changed(self, cube: str) -> list[Stored]:
+        """Bring the last refresh of a cube up to date; only years with changed facts are summed again.
+
+        Cuboids with a time grain replace these years by dynamic partition overwrite.
+        The others are summed from their parents; those without a parent from sums that
+        are kept by year of the fact, or for stock from the yearly snapshots. The result is that of a
+        whole refresh. One that stops half-way is begun again from the same years. Facts
+        are added to and changed, never taken out, so no year loses all its rows.
+        Readers of the cuboids meanwhile have to begin again.
+        """
+        last = self._last_refresh(cube) if self.root is not None and self._version is not None else None
+        if last is None or self._changed_years is None:
+            return self.refresh_cuboids(cube)
+        refresh, before, held = last
+        if before == self._version():
+            return list(held.values())
+        with self._lock:
+            for name in self._views:
+                self._tables.pop(name, None)
+            self._small.clear()
+        years = sorted(self._changed_years(cube, before))
+        replaced: list[str] = []
+
+        def bring_up(cuboid: cuboids.Cuboid) -> Stored:
+            old, known = held[cuboid.name], [held[p.name] for p in cuboids.parents(cuboid)]
+            if cuboid.time != "none":
+                if years:
+                    parent = min(known, key=lambda p: p.row_count, default=None)
+                    if parent is None:
+                        rows = cuboids.build(_Years(self, years), cuboid)
+                    else:
+                        some = self._read(parent).where(F.col("year").isin(years))
+                        rows = cuboids.build_from(cuboids.CUBOIDS[parent.name], some, cuboid)
+                    spread = rows.hint("rebalance", "year") if cuboid.is_detail else rows
+                    replace_partitions(spread, old.path, "year")
+                return self._counted(old)
+            if cuboid.cube == "inventory" and all(cuboids.CUBOIDS[p.name].time != "none" for p in known):
+                rows = self._folded_snapshots(held, cuboid)
+            elif known:
+                rows = self._rows(cuboid, known)
+            else:
+                rows = self._from_years(cuboid, f"{self.root}/refresh/{refresh}/{cuboid.name}-by-year", years)
+            replaced.append(old.path)
+            return self._write(cuboid.name, rows, f"refresh/{refresh}", None)
+
+        with ThreadPoolExecutor(CONCURRENT_JOBS) as jobs:
+            on_session = inheritable_thread_target(self.spark)(bring_up)
+            for level in cuboids.refresh_levels(cube):
+                held |= {w.name: w for w in jobs.map(on_session, level)}
+        written = [held[c.name] for level in cuboids.refresh_levels(cube) for c in level]
+        self._publish(written, refresh)
+        with self._lock:
+            self._stored.update({w.name: w for w in written})
+            self._tables.update({w.name: self._read(w) for w in written})
+        for name in distinct.OF_CUBE[cube]:
+            with self._lock:
+                self._tables.pop(name, None)
+        for path in replaced:
+            drop_folder(self.spark, path)
+        return written
+
+    def _counted(self, old: Stored) -> Stored:
+        """The entry of a table whose files changed."""
+        rows = self._read(old)
+        first = next(iter(cuboids.CUBOIDS[old.name].measures))
+        found = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(first).cast("bigint").alias("total")).first()
+        return Stored(old.name, old.path, old.schema, found["n"], found["total"])
+
+    def _folded_snapshots(self, held: Mapping[str, Stored], cuboid: cuboids.Cuboid) -> DataFrame:
+        """The latest stock of all time, from the latest of each year."""
+        yearly = self._read(held["olap_inv_year_product_store"])
+        latest = cuboids.latest_stock(yearly, (), "total_quantity_on_hand", "year", ("city", "state"))
+        return latest.select(*cuboid.dimensions, *cuboid.measures)
+
+    def _from_years(self, cuboid: cuboids.Cuboid, path: str, years: list[int]) -> DataFrame:
+        """A cuboid without a time grain or a parent: summed from sums by year of the fact, changed years anew."""
+        known = self.table("fact_sales").select(F.expr("time_key div 100").cast("int").alias("year")).distinct()
+        missing = {r["year"] for r in known.collect()} - set(partition_values(self.spark, path, "fact_year"))
+        for year in sorted({*years, *missing}):
+            rows = cuboids.build(_Years(self, [year]), cuboid).withColumn("fact_year", F.lit(year))
+            replace_partitions(rows, path, "fact_year")
+        kinds = ", ".join(f"`{c}` {k}" for c, k in cuboids.build(self, cuboid).dtypes)
+        parts = self.spark.read.schema(f"{kinds}, fact_year int").parquet(path)
+        return cuboids.sums(parts, cuboid.dimensions, cuboid.measures)
+
     def _expire(self, cube: str) -> None:
         """Drops the folders of refreshes that are older than those kept."""
         manifest = read_if_there(self.spark, f"{self.root}/manifest", MANIFEST, nested=True)
@@ -265,6 +369,23 @@ class Warehouse:
             drop_folder(self.spark, f"{self.root}/refresh/{row['refresh']}")
 
 
+class _Years:
+    """A star whose facts are cut to some years; their months are partitions, so others are not read."""
+
+    def __init__(self, whole: Warehouse, years: Iterable[int]):
+        self._whole, self._years = whole, list(years)
+
+    def table(self, name: str) -> DataFrame:
+        found = self._whole.table(name)
+        if not name.startswith("fact_"):
+            return found
+        inside = [F.col("time_key").between(y * 100 + 1, y * 100 + 12) for y in self._years]
+        return found.where(reduce(lambda a, b: a | b, inside))
+
+    def is_small(self, name: str) -> bool:
+        return self._whole.is_small(name)
+
+
 # --- the warehouse of the given tables --------------------------------------
 
 

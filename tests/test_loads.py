@@ -322,6 +322,32 @@ def test_pending_lines_are_met_by_new_orders_alone(spark, tmp_path):
     assert rows_of(store.table("star", "fact_sales")) == rows_of_rebuilt(store)
 
 
+def test_changed_years_are_refreshed_to_a_whole_refresh(spark, store, tmp_path):
+    rows = sources(spark, False)
+    older = lines(spark, *[(o, p, o, Decimal(3), day("2023-05-01")) for o in (11, 12) for p in (1, 2)])
+    rows["order_product"] = rows["order_product"].union(older)
+    rows["order"] = rows["order"].union(spark.createDataFrame([(11, 1, day("2022-05-01")), (12, 2, day("2023-05-01"))], SOURCE_SCHEMAS["order"]))
+    loads.load_sources(store, rows, AT)
+    loads.load_star(store, AS_OF, AT)
+    wh = loads.open_loaded(store, str(tmp_path / "cuboids"))
+    for cube in ("sales", "inventory"):
+        wh.refresh_cuboids(cube)
+    before = store.version()
+    assert wh.refresh_changed("sales") and loads.changed_years(store, "sales", before) == []
+    # Order 3 of 2024, another type for customer 2 of 2023 and 2024, stock of March 2024.
+    loads.load_sources(store, sources(spark, True), AT)
+    loads.load_star(store, AS_OF, AT)
+    assert sorted(loads.changed_years(store, "sales", before)) == [2023, 2024]
+    assert loads.changed_years(store, "inventory", before) == [2024]
+    for cube in ("sales", "inventory"):
+        changed = {w.name: (w.row_count, w.measure_sum) for w in wh.refresh_changed(cube)}
+        content = {name: rows_of(wh.cuboid(name).select(sorted(wh.cuboid(name).columns))) for name in changed}
+        again = loads.open_loaded(store, str(tmp_path / f"again-{cube}"))
+        whole = {w.name: (w.row_count, w.measure_sum) for w in again.refresh_cuboids(cube)}
+        assert changed == whole
+        assert content == {name: rows_of(again.cuboid(name).select(sorted(again.cuboid(name).columns))) for name in whole}
+
+
 def test_an_unknown_table_is_reported(store):
     with pytest.raises(ValueError, match="never loaded"):
         store.table("star", "fact_sales")
