@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starlattice.functions.paging import page_counts, page_of, sort_columns
+from starlattice.functions.paging import page_counts, page_of, sort_keys
 from starlattice.functions.predicates import all_of, equals_all, is_active, key_contains, key_contains_nocase
 from starlattice.operators.sales import product_name
 from starlattice.sources.warehouse import Warehouse
@@ -95,7 +95,7 @@ def search_stores(
 def products(wh: Warehouse, page: int = 1, page_size: int = 100) -> DataFrame:
     """A page of products with sales."""
     rows = _named_products(wh.cuboid("olap_sales_by_product"))
-    return page_of(rows, sort_columns(["product_key"]), page, page_size)
+    return page_of(rows, sort_keys(["product_key"]), page, page_size)
 
 
 def product_page_counts(wh: Warehouse, page_size: int = 100) -> DataFrame:

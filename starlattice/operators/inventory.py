@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from starlattice.functions.paging import page_of, sort_columns
+from starlattice.functions.paging import page_of, sort_columns, sort_keys
 from starlattice.functions.periods import TIME_COLUMNS, next_period, quarter_of
 from starlattice.functions.predicates import active_filters
 from starlattice.operators.navigate import answer, latest_in_filter
@@ -279,7 +279,7 @@ def stocked_products(wh: Warehouse, page: int = 1, page_size: int = 50) -> DataF
         product_name().alias("product_name"),
         F.col("total_quantity_on_hand").alias("total_inventory"),
     )
-    return page_of(products, sort_columns(["product_key"]), page, page_size)
+    return page_of(products, sort_keys(["product_key"]), page, page_size)
 
 
 def stocked_stores(wh: Warehouse) -> DataFrame:

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starlattice.functions.paging import page_counts, page_of, sort_columns
+from starlattice.functions.paging import SortKey, page_counts, page_of, sort_columns, sort_keys
 from starlattice.functions.periods import ALL_TIME_COLUMNS, TIME_COLUMNS
 from starlattice.functions.predicates import active_filters, equals_all, key_contains
 from starlattice.operators.cuboids import (
@@ -185,13 +185,13 @@ def row_totals(wh: Warehouse, spec: Pivot) -> DataFrame:
     return cells(wh, spec).groupBy(*spec.rows).agg(total(main, ROW_TOTAL, of=MEASURES[spec.cube][main]))
 
 
-def row_order(spec: Pivot) -> list[Column]:
+def row_order(spec: Pivot) -> list[SortKey]:
     """Order of the row groups, made unique by the row columns."""
     if spec.sort_column == ROW_TOTAL:
-        return sort_columns([ROW_TOTAL], spec.descending) + sort_columns(spec.rows)
+        return sort_keys([ROW_TOTAL], spec.descending) + sort_keys(spec.rows)
     if spec.sort_column in spec.rows:
-        return sort_columns([spec.sort_column], spec.descending) + sort_columns(spec.rows)
-    return sort_columns(spec.rows)
+        return sort_keys([spec.sort_column], spec.descending) + sort_keys(spec.rows)
+    return sort_keys(spec.rows)
 
 
 def result_order(spec: Pivot) -> list[Column]:
@@ -301,7 +301,7 @@ def raw_rows(
     base = CUBOIDS[BASE_TABLE[cube]]
     main = {"sales": "sum_amount", "inventory": "total_quantity_on_hand"}[cube]
     rows = wh.cuboid(base.name).where(equals_all(filters))
-    order = sort_columns([main], descending=True) + sort_columns(base.dimensions)
+    order = sort_keys([main], descending=True) + sort_keys(base.dimensions)
     found = page_of(rows, order, page, page_size)
     return found.select(*columns) if columns else found
 
@@ -348,7 +348,7 @@ def drill_through(
         raise ValueError("drill-through needs filters")
     fact = {"sales": "fact_sales", "inventory": "fact_inventory"}[cube]
     rows = wh.table(fact).where(equals_all(filters))
-    found = page_of(rows, sort_columns(FACT_KEYS[fact]), page, page_size)
+    found = page_of(rows, sort_keys(FACT_KEYS[fact]), page, page_size)
     return found.select(*columns) if columns else found
 
 
@@ -395,7 +395,7 @@ def dimension_values(
 ) -> DataFrame:
     """A page of the distinct non-null values of a dimension."""
     return page_of(
-        _dimension_values(wh, cube, dimension, search), sort_columns([dimension]), page, page_size
+        _dimension_values(wh, cube, dimension, search), sort_keys([dimension]), page, page_size
     )
 
 

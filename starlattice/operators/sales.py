@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from starlattice.functions.paging import page_counts, page_of, sort_columns
+from starlattice.functions.paging import page_counts, page_of, sort_columns, sort_keys
 from starlattice.functions.periods import ALL_TIME_COLUMNS, period_label
 from starlattice.functions.predicates import active_filters, equals_all
 from starlattice.operators.cuboids import with_time
@@ -228,7 +228,7 @@ def customer_transactions(
     if wh.is_small("dim_product"):
         products = F.broadcast(products)
     lines = customer_lines(wh, filters).join(products, "product_key")
-    order = [F.col("time_key").desc(), *sort_columns(["product_name", "product_key", "customer_key"])]
+    order = [("time_key", True), *sort_keys(["product_name", "product_key", "customer_key"])]
     return page_of(lines, order, page, page_size).select(
         period_label().alias("period"),
         "product_key",

@@ -6,10 +6,12 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 
+from starlattice.functions.paging import page_after, page_of, sort_keys
 from starlattice.operators import adhoc
 from starlattice.operators import navigate as nav
 from starlattice.plans.registry import on_star
 from starlattice.plans.star_sql import SALES_SUMS, sales_by, stock_by
+from starlattice.sources.warehouse import Warehouse
 
 AMOUNT = "CAST(SUM(amount) AS DOUBLE) AS sum_amount"
 ROW_TOTAL = '"__row_total__"'
@@ -335,3 +337,34 @@ on_star(
     "CAST(amount AS DOUBLE) AS total_amount FROM sales "
     "ORDER BY time_key, product_key, customer_key LIMIT 1000 OFFSET 30000",
 )
+
+
+# --- pages far from the start, and the page after a row ------------------------
+
+LINE_ORDER = (*sort_keys(["product_key"]), *sort_keys(["total_amount"], descending=True), *sort_keys(["customer_key", "time_key"]))
+DEEP_PAGE, DEEP_SIZE = 150, 100
+AFTER = (50, 20_000, 0, 0)
+
+
+def sales_line_page(wh: Warehouse, rows: DataFrame) -> DataFrame:
+    return rows.select("product_key", "total_amount", "customer_key", "time_key", "quantity_ordered")
+
+
+_LINES_SORTED = (
+    "SELECT product_key, CAST(amount AS DOUBLE) AS total_amount, customer_key, time_key, CAST(quantity AS BIGINT) AS quantity_ordered "
+    "FROM sales {} ORDER BY product_key, amount DESC, customer_key, time_key LIMIT 100{}"
+)
+on_star(
+    "page_deep_of_sales_lines",
+    lambda wh: sales_line_page(wh, page_of(wh.table("fact_sales"), LINE_ORDER, DEEP_PAGE, DEEP_SIZE)),
+    _LINES_SORTED.format("", f" OFFSET {(DEEP_PAGE - 1) * DEEP_SIZE}"),
+)
+on_star(
+    "page_after_a_sales_line",
+    lambda wh: sales_line_page(wh, page_after(wh.table("fact_sales"), LINE_ORDER, AFTER, DEEP_SIZE)),
+    _LINES_SORTED.format(
+        "WHERE product_key > 50 OR (product_key = 50 AND (amount < 20000 OR (amount = 20000 AND (customer_key > 0 "
+        "OR (customer_key = 0 AND time_key > 0)))))",
+        "",
+    ),
+)
