@@ -35,7 +35,7 @@ def _placed(star: Star, people: str, key: str, columns: Iterable[str]) -> DataFr
 
 
 def members(star: Star, counted: str) -> DataFrame:
-    """Bitmaps of the counted keys in each month and place (and customer type); unknown ones are null there.
+    """Bitmaps of the counted keys in each month and place (and customer type); what is unknown of a customer is null.
 
     Keys are first made distinct by month, which folds a hot customer or store before anything is joined.
     """
@@ -49,7 +49,11 @@ def members(star: Star, counted: str) -> DataFrame:
     known = _placed(star, people, carrier, attributes)
     if star.is_small(people):
         known = F.broadcast(known)
-    placed = keys.join(F.broadcast(months), "time_key", "left").join(known, carrier, "left")
+    # Stock of unknown months, stores or places is in no count, as in the stock cuboids.
+    how = "left" if counted == "customer" else "inner"
+    placed = keys.join(F.broadcast(months), "time_key", how).join(known, carrier, how)
+    if how == "inner":
+        placed = placed.where("state is not null")
     number = F.col(key).cast("bigint")
     return placed.groupBy(*COLUMNS[counted], F.bitmap_bucket_number(number).alias(BUCKET)).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias(MEMBERS)
@@ -62,7 +66,7 @@ def count_distinct(
     """How many customers, stores or products the fact has in each group, exactly, from the stored bitmaps.
 
     Only rows whose group and filter columns are known count, as in a join of the
-    fact with those dimensions. Without `by` there is one row, zero where nothing fits.
+    fact with those dimensions; stock counts only with month, store and place known. Without `by` there is one row, zero where nothing fits.
     """
     by, filters = list(by), active_filters(filters)
     unknown = {*by, *filters} - set(COLUMNS[counted])

@@ -382,3 +382,22 @@ on_star(
         }.items()
     ),
 )
+
+STORED_TABLES = ("dim_customer", "dim_location", "dim_store", "dim_time", "fact_inventory", "fact_sales")
+
+
+def profile_of_stored(wh: Warehouse) -> DataFrame:
+    paths = wh.stored_paths(STORED_TABLES)
+    if len(paths) < len(STORED_TABLES):
+        return upsert.table_profile({t: wh.table(t) for t in STORED_TABLES})
+    return upsert.footer_profile(wh.spark, paths)
+
+
+on_star(
+    "table_profile_from_footers",
+    profile_of_stored,
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS object_name, COUNT(*) AS row_count FROM {source}"
+        for name, source in zip(STORED_TABLES, ("buyer", "location", "store", "months", "stock", "sales"))
+    ),
+)

@@ -179,6 +179,12 @@ class Warehouse:
 
         return self._once(name, build)
 
+    def stored_paths(self, names: Iterable[str]) -> dict[str, str]:
+        """Where the named tables are written; tables that are views or not stored are left out."""
+        for name in names:
+            self.table(name)
+        return {name: self._stored[name].path for name in names if name in self._stored}
+
     def prepare(self, names: Iterable[str]) -> None:
         """Build several tables at the same time; one that needs another waits for it."""
         with ThreadPoolExecutor(CONCURRENT_JOBS) as jobs:

@@ -110,3 +110,12 @@ def test_freshness_and_profile(spark):
     timed = upsert.timed_counts({n: t for n, (t, _) in tables.items()})
     assert [(n, c) for n, c, _ in timed] == [("never", 0), ("old", 1), ("new", 2)]
     assert all(ms >= 0 for _, _, ms in timed)
+
+
+def test_footers_give_the_counts_without_reading_rows(spark, tmp_path):
+    spark.range(1000).selectExpr("id", "id % 7 as part").write.partitionBy("part").parquet(str(tmp_path / "a"))
+    spark.range(0).write.parquet(str(tmp_path / "b"))
+    found = upsert.footer_profile(spark, {"a": str(tmp_path / "a"), "b": str(tmp_path / "b")})
+    assert {r.object_name: r.row_count for r in found.collect()} == {"a": 1000, "b": 0}
+    assert "PushedAggregation: [COUNT(*)]" in found._jdf.queryExecution().executedPlan().toString()
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
