@@ -253,13 +253,11 @@ def footer_profile(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     counting.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
     counting.conf.set("spark.sql.parquet.aggregatePushdown", "true")
     parts = [
-        counting.read.parquet(path)
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        # Without any row the reader has no count to add up.
-        .select(F.lit(name).alias("object_name"), F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"))
+        counting.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("object_name"), "row_count")
         for name, path in paths.items()
     ]
-    return _stack(parts)
+    # A table without any row has no footer count to add up: null there.
+    return _stack(parts).groupBy("object_name").agg(F.coalesce(F.sum("row_count"), F.lit(0)).cast("bigint").alias("row_count"))
 
 
 def timed_counts(tables: Mapping[str, DataFrame]) -> list[tuple[str, int, float]]:
