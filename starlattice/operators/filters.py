@@ -1,7 +1,8 @@
 """Value lists and searches for filter panels.
 
 A cuboid holds each value of its own columns once, so most lists need no
-`distinct`.
+`distinct`. A search with `by_grams` reads the stored grams of the keys; a text of fewer
+than three characters between wildcards has none and scans the cuboid.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from starlattice.functions.paging import page_counts, page_of, sort_keys
 from starlattice.functions.predicates import all_of, equals_all, is_active, key_contains, key_contains_nocase
+from starlattice.operators import grams
 from starlattice.operators.sales import product_name
 from starlattice.sources.warehouse import Warehouse
 
@@ -46,9 +48,15 @@ def cascading_periods(wh: Warehouse, year: int | None = None, quarter: int | Non
     )
 
 
-def search_products(wh: Warehouse, query: str, limit: int = 10) -> DataFrame:
+def _searched(wh: Warehouse, searched: str, text: str, by_grams: bool) -> DataFrame:
+    """The rows that a search looks at: those of a gram of the text, or where it has none all keys of the cuboid."""
+    near = grams.keys_near(wh, searched, text) if by_grams else None
+    return wh.cuboid(grams.CUBOIDS[searched]) if near is None else near
+
+
+def search_products(wh: Warehouse, query: str, limit: int = 10, *, by_grams: bool = False) -> DataFrame:
     """Products whose key contains the text."""
-    found = wh.cuboid("olap_sales_by_product").where(key_contains("product_key", query))
+    found = _searched(wh, "product", query, by_grams).where(key_contains("product_key", query))
     return _named_products(found).orderBy("product_key").limit(limit)
 
 
@@ -69,26 +77,36 @@ def search_customers(
     city: str | None = None,
     customer_type: str | None = None,
     limit: int = 20,
+    *,
+    by_grams: bool = False,
 ) -> DataFrame:
     """Customers with sales by key text, place and type."""
     conditions = [F.col("customer_key").isNotNull(), equals_all({"state": state, "city": city})]
     if q.strip():
         conditions.append(key_contains_nocase("customer_key", q.strip()))
-    found = wh.cuboid("olap_sales_by_customer_loc").where(all_of(conditions))
-    if is_active(customer_type):
+    found = _searched(wh, "customer", q, by_grams).where(all_of(conditions))
+    if is_active(customer_type) and "customer_type" in found.columns:
+        found = found.where(F.col("customer_type") == customer_type)
+    elif is_active(customer_type):
         typed = wh.table("dim_customer").where(F.col("customer_type") == customer_type)
         found = found.join(typed.select("customer_key"), "customer_key", "left_semi")
     return found.select("customer_key").orderBy("customer_key").limit(_search_limit(limit))
 
 
 def search_stores(
-    wh: Warehouse, q: str = "", state: str | None = None, city: str | None = None, limit: int = 20
+    wh: Warehouse,
+    q: str = "",
+    state: str | None = None,
+    city: str | None = None,
+    limit: int = 20,
+    *,
+    by_grams: bool = False,
 ) -> DataFrame:
     """Stores with stock by key text and place."""
     conditions = [F.col("store_key").isNotNull(), equals_all({"state": state, "city": city})]
     if q.strip():
         conditions.append(key_contains_nocase("store_key", q.strip()))
-    found = wh.cuboid("olap_inv_by_store").where(all_of(conditions))
+    found = _searched(wh, "store", q, by_grams).where(all_of(conditions))
     return found.select("store_key").orderBy("store_key").limit(_search_limit(limit))
 
 

@@ -462,6 +462,27 @@ on_star(
     lambda wh: lists.search_stores(wh, "", "AFRICA", "All"),
     "SELECT DISTINCT store_key FROM kept WHERE state = 'AFRICA' ORDER BY store_key LIMIT 20",
 )
+on_star(
+    "search_products_by_grams",
+    lambda wh: lists.search_products(wh, "101", limit=1_000_000, by_grams=True),
+    "SELECT DISTINCT product_key, 'Product ' || product_key AS product_name FROM sales "
+    "WHERE CAST(product_key AS VARCHAR) LIKE '%101%'",
+)
+on_star(
+    "search_customers_by_grams",
+    lambda wh: lists.search_customers(wh, " 1_3%11 ", "ASIA", customer_type="Tourist", limit=1_000_000, by_grams=True)
+    .unionByName(lists.search_customers(wh, "112", customer_type="Tourist", limit=1_000_000, by_grams=True)),
+    "SELECT DISTINCT customer_key FROM sold WHERE CAST(customer_key AS VARCHAR) ILIKE '%1_3%11%' "
+    "AND state = 'ASIA' AND customer_type = 'Tourist' UNION ALL "
+    "SELECT DISTINCT customer_key FROM sold WHERE CAST(customer_key AS VARCHAR) LIKE '%112%' AND customer_type = 'Tourist'",
+)
+on_star(
+    "search_stores_by_grams",
+    lambda wh: lists.search_stores(wh, "10%", "AFRICA", limit=1_000_000, by_grams=True)
+    .unionByName(lists.search_stores(wh, "100", limit=1_000_000, by_grams=True)),
+    "SELECT DISTINCT store_key FROM kept WHERE CAST(store_key AS VARCHAR) LIKE '%10%' AND state = 'AFRICA' UNION ALL "
+    "SELECT DISTINCT store_key FROM kept WHERE CAST(store_key AS VARCHAR) LIKE '%100%'",
+)
 on_star(
     "filter_products_page",
     lambda wh: lists.products(wh, page=2),

@@ -23,7 +23,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from starlattice.operators import cuboids, distinct, star
+from starlattice.operators import cuboids, distinct, grams, star
 from starlattice.operators.conform import conform
 from starlattice.operators.upsert import replace_partitions
 from starlattice.sources import given_tables
@@ -91,9 +91,10 @@ class Warehouse:
         self.spark = spark
         self.root = root
         self.folder = folder
-        self._builders = {**distinct.BUILDERS, **builders}
-        self._partition_by = {**dict.fromkeys(distinct.BUILDERS, "year"), **(partition_by or {})}
-        self._sort_by = dict(sort_by or {})
+        self._builders = {**distinct.BUILDERS, **grams.BUILDERS, **builders}
+        derived = dict.fromkeys(distinct.BUILDERS, "year") | dict.fromkeys(grams.BUILDERS, grams.LEAD)
+        self._partition_by = derived | dict(partition_by or {})
+        self._sort_by = dict.fromkeys(grams.BUILDERS, grams.GRAM) | dict(sort_by or {})
         self._views = views
         self._broadcast_rows = broadcast_rows
         self._version = version
@@ -259,7 +260,7 @@ class Warehouse:
         with self._lock:
             self._stored.update({w.name: w for w in written})
             self._tables.update({w.name: self._read(w) for w in written})
-        for name in distinct.OF_CUBE[cube]:
+        for name in (*distinct.OF_CUBE[cube], *grams.OF_CUBE[cube]):
             with self._lock:
                 self._tables.pop(name, None)
             self.table(name)
@@ -334,7 +335,7 @@ class Warehouse:
         with self._lock:
             self._stored.update({w.name: w for w in written})
             self._tables.update({w.name: self._read(w) for w in written})
-        for name in distinct.OF_CUBE[cube]:
+        for name in (*distinct.OF_CUBE[cube], *grams.OF_CUBE[cube]):
             with self._lock:
                 self._tables.pop(name, None)
         for path in replaced:
