@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlattice.operators import star
-from starlattice.plans import loads
-from starlattice.plans.load_queries import LINES_SQL
+from starlattice.plans import arrivals, loads
+from starlattice.plans.load_queries import EXTRACT_SQL, LINES_SQL
 from starlattice.plans.registry import on_star, on_tables
 from starlattice.sources import given_tables
 from starlattice.sources.warehouse import AS_OF, conformed, shared_folder
@@ -183,6 +183,23 @@ on_tables(
     "CASE WHEN p_partkey // 100 % 10 = 0 THEN DATE '2002-01-01' ELSE DATE '1995-01-01' END AS last_updated_time FROM part",
 )
 
+# --- files that arrive --------------------------------------------------------
+
+
+def arriving_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders whose files come in two drops, the second with old dates and rows that came before."""
+    store = new_store(spark, KEYS_A_RANGE)
+    orders = given_tables.SOURCES["order"](spark, folder)
+    landing, schema = f"{store.root}/landing/order", ", ".join(f"`{c}` {kind}" for c, kind in orders.dtypes)
+    late = F.col("order_id") % 3 == 0
+    for drop in (orders.where(~late), orders.where(late | (F.col("order_id") % 97 == 0))):
+        drop.write.mode("append").parquet(landing)
+        arrivals.load_arriving(store, "order", landing, AT, kind="parquet", schema=schema)
+    return store.table("conformed", "order")
+
+
+on_tables("load_arriving_files_order", arriving_orders, EXTRACT_SQL["order"])
+
 # --- facts from unit prices and from a mark ----------------------------------
 
 

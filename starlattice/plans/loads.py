@@ -62,7 +62,8 @@ class State:
     """What the newest load of a table did; `finished` when its partitions are in place.
 
     `parts` has, for each folder of the table, its schema, its partition column, the
-    partitions that the load touched and those of them that have rows.
+    partitions that the load touched and those of them that have rows. `batch` is the
+    newest batch of arriving files that the table holds.
     """
 
     layer: str
@@ -74,6 +75,7 @@ class State:
     updated: int
     at: datetime
     parts: dict[str, dict]
+    batch: int = -1
 
     def text(self) -> str:
         return json.dumps(asdict(self), default=lambda value: value.isoformat())
@@ -236,9 +238,12 @@ def _load(
     *,
     waiting: tuple[DataFrame, DataFrame] | None = None,
     rebuild: bool = False,
+    arrived: int | None = None,
 ) -> LoadReport:
     """Apply one batch and publish the result; `newest` is the latest business date seen, or its column in the batch.
 
+    A batch of `arrived` files is recorded with its number, even if it changes nothing.
+
     With `rebuild` the batch is the whole table, which replaces the old one. `waiting` has
     the rows that arrive in the pending table and the keys that leave it.
     """
@@ -269,10 +274,13 @@ def _load(
         if pending is not None:
             parts[f"{folder}-pending"] = pending
     changed = any(counts) or len(parts) > 1 or (rebuild and old is not None)
-    if known is None or changed or mark > known.mark:
+    if not changed:
+        parts = {name: {**p, "touched": [], "kept": []} for name, p in parts.items()}
+    if known is None or changed or mark > known.mark or arrived is not None:
         before = known.parts if known else {}
         parts = {name: {**p, "touched": [], "kept": []} for name, p in before.items() if name not in parts} | parts
-        store.publish(State(layer, table, number, False, mark, *counts, at, parts))
+        done = arrived if arrived is not None else known.batch if known else -1
+        store.publish(State(layer, table, number, False, mark, *counts, at, parts, done))
     drop_folder(spark, f"{store.root}/aside/{folder}")
     drop_folder(spark, f"{store.root}/aside/{folder}-pending")
     return LoadReport(table, counts[0], counts[1], mark)
@@ -330,12 +338,23 @@ def load_sources(
         return [_load_source(store, sources[table], table, at, everything) for table in tables]
 
 
-def _load_source(store: LoadStore, source: DataFrame, table: str, at: datetime, everything: bool) -> LoadReport:
+def _load_source(
+    store: LoadStore, source: DataFrame, table: str, at: datetime, everything: bool, arrived: int | None = None
+) -> LoadReport:
     known = store.state("conformed", table)
     since = known.mark if known and not everything else NEVER_LOADED
     batch = conform(source, table, since)
     change = next(target for name, target, _ in EXTRACTS[table].columns if name == EXTRACTS[table].change_column)
-    return _load(store, "conformed", table, batch, change, at)
+    return _load(store, "conformed", table, batch, change, at, arrived=arrived)
+
+
+def load_batch(store: LoadStore, table: str, source: DataFrame, arrived: int, at: datetime) -> LoadReport | None:
+    """One numbered batch of source rows into its conformed table; None if the table holds it already."""
+    with store.held():
+        known = store.state("conformed", table)
+        if known is not None and known.batch >= arrived:
+            return None
+        return _load_source(store, source, table, at, True, arrived)
 
 
 Batch = tuple[DataFrame, tuple[DataFrame, DataFrame] | None]

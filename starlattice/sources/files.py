@@ -1,4 +1,4 @@
-"""Readers of source tables and the full-refresh writer."""
+"""Readers of source tables, whole or as a stream of files, and the full-refresh writer."""
 
 from __future__ import annotations
 
@@ -9,22 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from starlattice.schemas import SOURCE_SCHEMAS
 
 
+CSV = {"header": True, "sep": ",", "quote": '"', "escape": '"', "enforceSchema": False, "mode": "FAILFAST"}
+
+
 def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     """A comma-separated source table with a header line and `"` quoting.
 
     A quote inside a quoted field is written twice. Lines end at a line feed,
     so large files stay splittable.
     """
-    return (
-        spark.read.schema(SOURCE_SCHEMAS[table])
-        .option("header", True)
-        .option("sep", ",")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
+    return spark.read.schema(SOURCE_SCHEMAS[table]).options(**CSV).csv(path)
+
+
+def stream_files(spark: SparkSession, folder: str, schema: str, kind: str, files_a_batch: int) -> DataFrame:
+    """The CSV (as `read_csv` has them) or Parquet files of a folder as a stream."""
+    options = {"maxFilesPerTrigger": files_a_batch, **(CSV if kind == "csv" else {})}
+    return spark.readStream.format(kind).schema(schema).options(**options).load(folder)
 
 
 def read_database(
