@@ -57,11 +57,12 @@ BROADCAST_KEYS = 500_000
 
 
 def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows of docs (doc_id, text, ...) whose id and text hash are not among the keys (doc_id, text_hash)."""
-    gone = stored(
-        keys.select(F.col("doc_id").cast("long").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct(), "dropped-keys"
-    )
+    """The rows of docs (doc_id, text, ...) whose id and text hash are not among the keys (doc_id, text_hash).
+
+    Ids may be of any type that compares with that of the keys; null ids are equal.
+    """
+    gone = stored(keys.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct(), "dropped-keys")
     small = gone.count() <= BROADCAST_KEYS
     rows = docs.select(F.struct("*").alias("row"))
-    same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("gone_id")) & (F.xxhash64("row.text") == F.col("gone_hash"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("gone_id")) & (F.xxhash64("row.text") == F.col("gone_hash"))
     return rows.join(F.broadcast(gone) if small else gone, same, "left_anti").select("row.*")

@@ -4,9 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 
-# Candidates from which on answers are derived from a similar set's overlaps.
-_MANY = 24
-
 
 class Group:
     """Sets of sorted hashes, renumbered so that rare tokens come first, sets sorted by size.
@@ -40,6 +37,10 @@ class Group:
     def of(self, x: int) -> np.ndarray:
         return self.tokens[self.bounds[x] : self.bounds[x + 1]]
 
+    def entries(self, tokens: np.ndarray) -> int:
+        """Entries in the lists of the tokens."""
+        return int((self.list_bounds[tokens + 1] - self.list_bounds[tokens]).sum())
+
     def overlaps(self, tokens: np.ndarray) -> np.ndarray:
         """How many of the tokens each set of the group has."""
         return np.bincount(_ranges(self.list_owner, self.list_bounds[tokens], self.list_bounds[tokens + 1]), minlength=len(self.sizes))
@@ -75,12 +76,46 @@ def _ranges(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray
     return values[at]
 
 
-def link(sets: list[np.ndarray], side: np.ndarray, weights: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, int]:
+class Answers:
+    """The overlaps of sets with the whole group, each from its own lists or from a similar set's answers."""
+
+    def __init__(self, group: Group):
+        self.group = group
+        self.asked: list[int] = []
+        self.known = np.zeros((16, len(group.sizes)), np.int32)
+
+    def of(self, x: int) -> tuple[np.ndarray, bool]:
+        """The overlaps of x, and whether they were derived; whichever reads less is taken."""
+        group, count = self.group, len(self.asked)
+        own = group.of(x)
+        entries = group.entries(own)
+        found, derived = None, False
+        if count:
+            # What the sets asked before share with x is among their answers.
+            listed = np.diff(group.bounds)
+            changed = listed[self.asked] + len(own) - 2 * self.known[:count, x]
+            best = int(np.argmin(changed))
+            similar = self.asked[best]
+            # Telling the changed tokens apart reads both sets, then come the lists of the changed ones.
+            if len(own) + listed[similar] + int(changed[best]) * entries // max(len(own), 1) < entries:
+                gone = np.setdiff1d(group.of(similar), own, assume_unique=True)
+                new = np.setdiff1d(own, group.of(similar), assume_unique=True)
+                found, derived = self.known[best] - group.overlaps(gone) + group.overlaps(new), True
+        if found is None:
+            found = group.overlaps(own)
+        if count == len(self.known):
+            self.known = np.concatenate([self.known, np.zeros_like(self.known)])
+        self.known[count] = found
+        self.asked.append(x)
+        return found, derived
+
+
+def link(sets: list[np.ndarray], side: np.ndarray, weights: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Links sets whose Jaccard similarity is at least `percent` hundredths.
 
     If sides differ, only pairs across them count. Returns for each set the first
-    set of its component inside the group and the summed weights of the sets it links
-    to, and how many sets got their answers from a similar set.
+    set of its component inside the group, the summed weights of the sets it links
+    to, and whether its answers were derived from a similar set's.
     """
     order = np.argsort([len(s) for s in sets], kind="stable")
     group = Group([sets[i] for i in order])
@@ -88,27 +123,16 @@ def link(sets: list[np.ndarray], side: np.ndarray, weights: np.ndarray, percent:
     two = len(np.unique(side)) > 1
     root = np.arange(len(sets))
     degree = np.zeros(len(sets), np.int64)
-    pivot, pivot_overlaps, derived = -1, None, 0
+    derived = np.zeros(len(sets), bool)
+    answers = Answers(group)
     for x in range(len(sets)):
         found = group.candidates(x, percent)
         if two:
             found = found[side[found] != side[x]]
         if not len(found):
             continue
-        own = group.of(x)
-        if len(found) <= _MANY:
-            common = np.array([len(np.intersect1d(own, group.of(y), assume_unique=True)) for y in found])
-        else:
-            known = group.of(pivot) if pivot >= 0 else own[:0]
-            gone = np.setdiff1d(known, own, assume_unique=True)
-            new = np.setdiff1d(own, known, assume_unique=True)
-            if pivot >= 0 and len(gone) + len(new) < len(own) // 2:
-                # x has what the pivot has, without what only the pivot has, with what only x has.
-                common = (pivot_overlaps - group.overlaps(gone) + group.overlaps(new))[found]
-                derived += 1
-            else:
-                pivot, pivot_overlaps = x, group.overlaps(own)
-                common = pivot_overlaps[found]
+        overlaps, derived[x] = answers.of(x)
+        common = overlaps[found]
         linked = found[100 * common >= percent * (group.sizes[x] + group.sizes[found] - common)]
         if len(linked):
             degree[x] += weights[linked].sum()
@@ -116,6 +140,6 @@ def link(sets: list[np.ndarray], side: np.ndarray, weights: np.ndarray, percent:
             roots = np.unique(root[np.append(linked, x)])
             if len(roots) > 1:
                 root[np.isin(root, roots)] = roots[0]
-    first, degrees = np.empty(len(sets), np.int64), np.empty(len(sets), np.int64)
-    first[order], degrees[order] = order[root], degree
-    return first, degrees, derived
+    first, degrees, by_change = np.empty(len(sets), np.int64), np.empty(len(sets), np.int64), np.empty(len(sets), bool)
+    first[order], degrees[order], by_change[order] = order[root], degree, derived
+    return first, degrees, by_change

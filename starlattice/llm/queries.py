@@ -293,7 +293,7 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_set_join")
 def op7_set_join(spark: SparkSession, folder: str) -> DataFrame:
     found = set_join.near_copies(table(spark, folder, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
+    return found.select("doc_id", "n_shingles", "component_id", "class_id", "n_links", "n_derived")
 
 
 def damaged(turns: DataFrame) -> DataFrame:

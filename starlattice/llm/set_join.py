@@ -18,6 +18,8 @@ from starlattice.llm.shingles import digest, shingle_sets
 PERCENT = 75
 # Shingles of one block of documents, and of one part of the hash range, while they are counted.
 BLOCK_SHINGLES = 1 << 20
+# Sets of one block: a set's place in it, and one number that means several sets, take 16 bits.
+BLOCK_SETS = (1 << 16) - 1
 # Sets, and shingles of them, in one block of a group that is compared; a group has one or two blocks.
 GROUP_SETS = 256
 GROUP_SHINGLES = 1 << 19
@@ -55,9 +57,9 @@ def describe(docs: DataFrame) -> DataFrame:
 def _blocks(docs: DataFrame, parts: int) -> DataFrame:
     """Each block's distinct shingles, cut by hash range: 40 bits below the range tell them apart.
 
-    A row (block, part) holds the shingles in that part with one owner inside the block,
-    set by set, then those with several owners. Part 0 also names the sets and
-    says how many shingles of each are known to be shared inside the block.
+    A row (block, part) holds the shingles in that part and the owner of each inside the
+    block, seven bytes a shingle however many parts there are. Part 0 also names the sets
+    and says how many shingles of each are known to be shared inside the block.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,14 +70,14 @@ def _blocks(docs: DataFrame, parts: int) -> DataFrame:
                 if len(tokens) and (key := digest(tokens)) not in held:
                     held[key] = tokens
                     size += len(tokens)
-                if size >= BLOCK_SHINGLES:
+                if size >= BLOCK_SHINGLES or len(held) == BLOCK_SETS:
                     yield from _cut_block(held, parts)
                     held, size = {}, 0
         if held:
             yield from _cut_block(held, parts)
 
     return docs.select("text").mapInArrow(
-        cut, "block binary, part int, low binary, high binary, lengths binary, digests binary, sizes binary, known binary"
+        cut, "block binary, part int, low binary, high binary, owners binary, digests binary, sizes binary, known binary"
     )
 
 
@@ -105,7 +107,7 @@ def _cut_block(held: dict[bytes, np.ndarray], parts: int) -> Iterator[pa.RecordB
                 block, p,
                 (chosen & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(),
                 ((chosen >> np.uint64(32)) & np.uint64(0xFF)).astype(np.uint8).tobytes(),
-                np.bincount(holder[a:b], minlength=len(sets) + 1).astype(np.uint32).tobytes(),
+                holder[a:b].astype(np.uint16).tobytes(),
                 b"".join(names) if p == 0 else None, sizes.tobytes() if p == 0 else None, known.tobytes() if p == 0 else None,
             )
         )
@@ -116,16 +118,16 @@ def _cut_block(held: dict[bytes, np.ndarray], parts: int) -> Iterator[pa.RecordB
                 zip(*rows), (pa.binary(), pa.int32(), *[pa.binary()] * 6), strict=True
             )
         ],
-        ["block", "part", "low", "high", "lengths", "digests", "sizes", "known"],
+        ["block", "part", "low", "high", "owners", "digests", "sizes", "known"],
     )
 
 
 def _count_part(rows: pd.DataFrame) -> pd.DataFrame:
-    """How many shingles of each set, in this part, another block has as well."""
+    """How many shingles of each set, in this part, another block has as well; only sets that have some."""
     def numbers(column: str, kind) -> list[np.ndarray]:
         return [np.frombuffer(x, kind) for x in rows[column]]
 
-    low, high, lengths = numbers("low", np.uint32), numbers("high", np.uint8), numbers("lengths", np.uint32)
+    low, high, owners = numbers("low", np.uint32), numbers("high", np.uint8), numbers("owners", np.uint16)
     tokens = np.concatenate([a.astype(np.uint64) | (b.astype(np.uint64) << np.uint64(32)) for a, b in zip(low, high)])
     order = np.argsort(tokens, kind="stable")
     ordered = tokens[order]
@@ -133,27 +135,29 @@ def _count_part(rows: pd.DataFrame) -> pd.DataFrame:
     shared = np.zeros(len(tokens), bool)
     shared[order[1:][same]] = True
     shared[order[:-1][same]] = True
-    out, start = [], 0
-    for sent in lengths:
-        end = start + int(sent.sum())
-        running = np.concatenate([[0], np.cumsum(shared[start:end])])
-        ends = np.cumsum(sent)
-        out.append((running[ends] - running[ends - sent])[:-1].astype(np.uint32).tobytes())
+    held, counts, start = [], [], 0
+    for owner in owners:
+        end = start + len(owner)
+        found, times = np.unique(owner[shared[start:end]], return_counts=True)
+        held.append(found.tobytes())
+        counts.append(times.astype(np.uint32).tobytes())
         start = end
-    return pd.DataFrame(
-        {"block": rows["block"], "counts": out, "digests": rows["digests"], "sizes": rows["sizes"], "known": rows["known"]}
+    out = pd.DataFrame(
+        {"block": rows["block"], "held": held, "counts": counts, "digests": rows["digests"], "sizes": rows["sizes"], "known": rows["known"]}
     )
+    return out[(out["held"] != b"") | out["sizes"].notna()]
 
 
 def _sum_block(rows: pd.DataFrame) -> pd.DataFrame:
     """The sets of a block of which enough shingles are shared."""
     named = rows[rows["sizes"].notna()].iloc[0]
     sizes = np.frombuffer(named["sizes"], np.int32).astype(np.int64)
+    # The last place counts shingles of several sets, which are known already.
+    total = np.append(np.frombuffer(named["known"], np.int32).astype(np.int64), 0)
     # Blocks of the same sets fall together; their counts only add, so that no set is missed.
-    total = np.frombuffer(named["known"], np.int32).astype(np.int64)
-    for counts in rows["counts"]:
-        total = total + np.frombuffer(counts, np.uint32)
-    enough = np.flatnonzero(100 * total >= PERCENT * sizes)
+    for held, counts in zip(rows["held"], rows["counts"]):
+        total[np.frombuffer(held, np.uint16)] += np.frombuffer(counts, np.uint32)
+    enough = np.flatnonzero(100 * total[:-1] >= PERCENT * sizes)
     data = named["digests"]
     return pd.DataFrame({"digest": [data[16 * i : 16 * i + 16] for i in enough.tolist()]})
 
@@ -171,7 +175,7 @@ def shared_sets(docs: DataFrame) -> DataFrame:
     counted = (
         _blocks(docs, parts)
         .groupBy("part")
-        .applyInPandas(_count_part, "block binary, counts binary, digests binary, sizes binary, known binary")
+        .applyInPandas(_count_part, "block binary, held binary, counts binary, digests binary, sizes binary, known binary")
     )
     return counted.groupBy("block").applyInPandas(_sum_block, "digest binary").distinct()
 
@@ -229,15 +233,15 @@ def _compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     _, low, high = key
     if low != high and rows["side"].nunique() < 2:
         # One of the two blocks is empty; pairs inside the other one are compared in a group of its own.
-        return pd.DataFrame({"class_no": [], "root": [], "links": []}, dtype=np.int64)
+        return pd.DataFrame({"class_no": [], "root": [], "links": [], "derived": []}, dtype=np.int64)
     sets = [np.asarray(t, np.int64).view(np.uint64) for t in rows["tokens"]]
     numbers = rows["class_no"].to_numpy()
-    first, links, _ = overlap.link(sets, rows["side"].to_numpy(), rows["weight"].to_numpy(), PERCENT)
-    return pd.DataFrame({"class_no": numbers, "root": numbers[first], "links": links})
+    first, links, derived = overlap.link(sets, rows["side"].to_numpy(), rows["weight"].to_numpy(), PERCENT)
+    return pd.DataFrame({"class_no": numbers, "root": numbers[first], "links": links, "derived": derived.astype(np.int64)})
 
 
 def _links(sets: DataFrame, clusters: DataFrame) -> DataFrame:
-    """class_no, root, links of each group of sets; the rows of a set in several groups tell of different pairs.
+    """class_no, root, links, derived of each group of sets; the rows of a set in several groups tell of different pairs.
 
     A cluster is cut into bands of sizes, of which only neighbours can be similar, and
     bands into blocks; each pair of blocks is a group of its own.
@@ -260,7 +264,7 @@ def _links(sets: DataFrame, clusters: DataFrame) -> DataFrame:
         "class_no", "cluster", F.least(own, other).alias("low"), F.greatest(own, other).alias("high"), (own > other).cast("int").alias("side")
     )
     return grouped.join(sets, "class_no").groupBy("cluster", "low", "high").applyInPandas(
-        _compare, "class_no long, root long, links long"
+        _compare, "class_no long, root long, links long, derived long"
     )
 
 
@@ -268,8 +272,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
     """Links documents (doc_id, text) whose shingle sets have a Jaccard similarity of `PERCENT` hundredths or more.
 
     Returns doc_id, n_shingles, component_id (the smallest doc_id reachable by
-    links, itself included), class_id (the smallest doc_id of equal sets) and n_links
-    (other rows it is linked to), one row for each row of docs.
+    links, itself included), class_id (the smallest doc_id of equal sets), n_links
+    (other rows it is linked to) and n_derived (groups in which its set's overlaps came
+    from those of a similar set), one row for each row of docs.
 
     Null and empty texts have no shingles and link with nothing; repeated rows are
     copies of each other; an id with several texts stands for each of them alone. Rows
@@ -291,7 +296,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
     found = components(linked.select(F.col("class_no").alias("a"), F.col("root").alias("b")))
     roots = classes.join(found, F.col("class_no") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class_no"))
     least = roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    degrees = linked.groupBy("class_no").agg(F.sum("links").alias("links"))
+    degrees = linked.groupBy("class_no").agg(F.sum("links").alias("links"), F.sum("derived").alias("derived"))
     named = stored(
         roots.join(least, "root")
         .join(degrees, "class_no", "left")
@@ -301,6 +306,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
             F.col("first_id").alias("class_id"),
             "component_id",
             (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+            F.coalesce("derived", F.lit(0)).alias("n_derived"),
         ),
         "class-components",
     )
@@ -311,9 +317,10 @@ def near_copies(docs: DataFrame) -> DataFrame:
         F.col("doc_id").alias("component_id"),
         F.col("doc_id").alias("class_id"),
         F.lit(0).cast("long").alias("n_links"),
+        F.lit(0).cast("long").alias("n_derived"),
     )
     return filled.unionByName(empty).select(
-        "doc_id", "text_hash", "n_shingles", "component_id", "class_id", "n_links", "group_no"
+        "doc_id", "text_hash", "n_shingles", "component_id", "class_id", "n_links", "n_derived", "group_no"
     )
 
 

@@ -61,6 +61,14 @@ def test_dropping_keeps_columns_and_clean_rows(spark):
     assert {1, 100, 119} <= gone and None not in gone
 
 
+def test_ids_of_any_type(spark):
+    docs = [("a-7", "one two three four"), ("007", "one two three four"), (None, "one two three four"), ("b", "clean text"), ("", None)]
+    rows = spark.createDataFrame(docs, "doc_id string, text string")
+    items = spark.createDataFrame([(1, "two three four")], "item_id long, text string")
+    kept = decontaminate.drop_contaminated(rows, items).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted(docs[3:])
+
+
 def test_empty_tables(spark):
     docs, none = messy.documents(spark, rows=5), spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contamination(messy.empty(spark), none).count() == 0
