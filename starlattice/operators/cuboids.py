@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 from typing import Protocol
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starlattice.functions.periods import ALL_TIME_COLUMNS, TIME_COLUMNS
@@ -238,6 +239,67 @@ def build(star: Star, cuboid: Cuboid) -> DataFrame:
     return rollup(star, cuboid.dimensions)
 
 
+# --- the sales cuboids without a parent, from one scan ------------------------
+
+FACT_KEYS = ("time_key", "product_key", "customer_key")
+
+
+def sales_roots() -> list[Cuboid]:
+    """The sales cuboids that no other can be summed into; together they use four groupings of the fact's keys."""
+    return [c for c in LATTICES["sales"].values() if not parents(c)]
+
+
+def _fact_keys(cuboid: Cuboid) -> tuple[str, ...]:
+    kept = (cuboid.time != "none", cuboid.product, cuboid.place != "none")
+    return tuple(key for key, wanted in zip(FACT_KEYS, kept) if wanted)
+
+
+def sales_roots_from_one_scan(star: Star) -> DataFrame:
+    """The rows of all `sales_roots`, the name of each in the column `cuboid`; the fact is read once.
+
+    Grouping sets sum the fact by its own keys, so the shuffle carries no attributes.
+    These are looked up once the rows are summed, and a row goes to the cuboids of its
+    grouping whose dimensions know it. Columns that a cuboid lacks are null.
+    """
+    measures = tuple(MEASURES["sales"])
+    roots = sales_roots()
+    sales = star.table("fact_sales").withColumnsRenamed(
+        {"quantity_ordered": "total_quantity", "total_amount": "sum_amount"}
+    )
+    groupings = [[F.col(key) for key in keys] for keys in sorted({_fact_keys(c) for c in roots})]
+    summed = sales.groupingSets(groupings, *FACT_KEYS).agg(
+        *[total(m) for m in measures], F.grouping_id().alias("left_out")
+    )
+    there = F.lit(True)
+    months = star.table("dim_time").select("time_key", *ALL_TIME_COLUMNS, there.alias("in_dim_time"))
+    people = (
+        star.table("dim_customer")
+        .select(F.col("customer_key").alias("known_customer"), "customer_type", "location_key", there.alias("in_dim_customer"))
+        .join(located(star).withColumn("in_dim_location", there), "location_key", "left")
+    )
+    # Rows summed over customers, and those without one, look for none; by a number of their own they are not one hot key.
+    spread = F.coalesce("customer_key", F.xxhash64("time_key", "product_key"))
+    same = (spread == F.col("known_customer")) & F.col("customer_key").isNotNull()
+    people = F.broadcast(people) if star.is_small("dim_customer") else people
+    known = summed.join(F.broadcast(months), "time_key", "left").join(people, same, "left")
+
+    def belongs(cuboid: Cuboid) -> Column:
+        keys = _fact_keys(cuboid)
+        left_out = sum(1 << place for place, key in enumerate(reversed(FACT_KEYS)) if key not in keys)
+        tests = [F.col("left_out") == left_out]
+        tests += [F.col(f"in_{table}").isNotNull() for table in sorted(cuboid.dimension_tables)]
+        return reduce(Column.__and__, tests)
+
+    names = F.array_compact(F.array(*[F.when(belongs(c), F.lit(c.name)) for c in roots]))
+    sent = known.select(*ALL_TIME_COLUMNS, "product_key", "customer_key", "customer_type", "state", "city", *measures, F.explode(names).alias("cuboid"))
+    # Looking up brings more attributes than a cuboid has.
+    extra = {
+        column: F.when(F.col("cuboid").isin([c.name for c in roots if column in c.dimensions]), F.col(column))
+        for column in ("customer_type", "state", "city")
+    }
+    return sent.withColumns(extra)
+
+
 # --- building one cuboid from another ---------------------------------------
 
 

@@ -20,6 +20,9 @@ from starlattice.sources.warehouse import Warehouse
 
 Filters = Mapping[str, Any] | None
 
+# A ranking of up to this many customers is broadcast to their names: a key and two sums each.
+BROADCAST_CUSTOMERS = 100_000
+
 
 def ratio(top: Column, bottom: Column, decimals: int | None = None) -> Column:
     """A quotient, 0 where there is nothing to divide by; unrounded unless asked."""
@@ -133,7 +136,8 @@ def top_customers(wh: Warehouse, filters: Filters = None, n: int = 5) -> DataFra
     order = [F.col("sum_amount").desc(), F.col("customer_key")]
     if wanted_type is None:
         # The cuboid holds known customers only, so the ranking can go first and n rows are joined.
-        ranked = F.broadcast(per_customer.orderBy(*order).limit(n)).join(people, "customer_key")
+        first = per_customer.orderBy(*order).limit(n)
+        ranked = (F.broadcast(first) if n <= BROADCAST_CUSTOMERS else first).join(people, "customer_key")
     else:
         ranked = per_customer.join(people.where(F.col("customer_type") == wanted_type), "customer_key")
     return (

@@ -44,9 +44,9 @@ for _name, _columns in TYPE_AND_PLACE.items():
     _register_grouping(_name, _columns)
 
 
-def refreshed(wh: Warehouse, cube: str) -> DataFrame:
+def refreshed(wh: Warehouse, cube: str, *, one_scan: bool = False) -> DataFrame:
     """Rebuild all cuboids of a cube; the rows and the first measure's sum of each, counted as they were written."""
-    written = [(w.name, w.row_count, w.measure_sum) for w in wh.refresh_cuboids(cube)]
+    written = [(w.name, w.row_count, w.measure_sum) for w in wh.refresh_cuboids(cube, one_scan=one_scan)]
     return wh.spark.createDataFrame(written, "cuboid string, row_count bigint, measure_sum bigint")
 
 
@@ -61,6 +61,7 @@ def refresh_sql(cube: str) -> str:
 
 
 on_star("refresh_sales_cuboids", lambda wh: refreshed(wh, "sales"), refresh_sql("sales"))
+on_star("refresh_sales_from_one_scan", lambda wh: refreshed(wh, "sales", one_scan=True), refresh_sql("sales"))
 on_star("refresh_inventory_cuboids", lambda wh: refreshed(wh, "inventory"), refresh_sql("inventory"))
 
 

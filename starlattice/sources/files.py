@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,7 +58,7 @@ def write_full_refresh(
     df: DataFrame,
     path: str,
     *,
-    partition_by: str | None = None,
+    partition_by: str | Sequence[str] | None = None,
     sort_by: str | None = None,
     spread: bool = True,
     watch: Callable[[DataFrame], DataFrame] = lambda rows: rows,
@@ -75,7 +75,8 @@ def write_full_refresh(
     if partition_by is None:
         watch(df).write.mode("overwrite").parquet(path)
         return
-    rows = df.hint("rebalance", partition_by) if spread else df
+    columns = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    rows = df.hint("rebalance", *columns) if spread else df
     if sort_by is not None:
-        rows = rows.sortWithinPartitions(partition_by, sort_by)
-    watch(rows).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+        rows = rows.sortWithinPartitions(*columns, sort_by)
+    watch(rows).write.mode("overwrite").partitionBy(*columns).parquet(path)

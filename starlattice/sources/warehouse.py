@@ -22,6 +22,7 @@ from functools import reduce
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starlattice.operators import cuboids, distinct, grams, star
 from starlattice.operators.conform import conform
@@ -135,7 +136,9 @@ class Warehouse:
         self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.parquet(path)
 
     def _read(self, found: Stored) -> DataFrame:
-        return self.spark.read.schema(found.schema).parquet(found.path)
+        rows = self.spark.read.schema(found.schema).parquet(found.path)
+        # A cuboid without years that was written beside others has a folder of no year.
+        return rows.select(*StructType.fromDDL(found.schema).names)
 
     def _write(self, name: str, df: DataFrame, folder: str, partition_by: str | None) -> Stored:
         """Writes a table below a path that nothing has used; its counts come with the write."""
@@ -226,9 +229,29 @@ class Warehouse:
     def _by_year(cuboid: cuboids.Cuboid) -> str | None:
         return "year" if cuboid.time != "none" else None
 
-    def refresh_cuboids(self, cube: str) -> list[Stored]:
+    def _write_sales_roots(self, folder: str) -> dict[str, Stored]:
+        """One scan of the fact and one write for the sales cuboids without a parent, a partition for each."""
+        path = f"{self.root}/{folder}/from-one-scan-{uuid.uuid4().hex[:12]}"
+        rows, roots, counts = cuboids.sales_roots_from_one_scan(self), cuboids.sales_roots(), Observation()
+        seen = []
+        for place, cuboid in enumerate(roots):
+            own = F.col("cuboid") == cuboid.name
+            first = F.when(own, F.col(cuboid.measures[0]))
+            seen += [F.count_if(own).alias(f"rows_{place}"), F.sum(first).cast("bigint").alias(f"sum_{place}")]
+        write_full_refresh(rows, path, partition_by=("cuboid", "year"), watch=lambda r: r.observe(counts, *seen))
+        kinds, found = dict(rows.dtypes), {}
+        for place, cuboid in enumerate(roots):
+            schema = ", ".join(f"`{c}` {kinds[c]}" for c in (*cuboid.dimensions, *cuboid.measures))
+            own = Stored(cuboid.name, f"{path}/cuboid={cuboid.name}", schema, counts.get[f"rows_{place}"], counts.get[f"sum_{place}"])
+            if not own.row_count:
+                write_full_refresh(self.spark.createDataFrame([], schema), own.path)
+            found[cuboid.name] = own
+        return found
+
+    def refresh_cuboids(self, cube: str, *, one_scan: bool = False) -> list[Stored]:
         """Rebuild every cuboid of a cube from its smallest parent; what was written, by name.
 
+        With `one_scan` the sales cuboids that read the fact come from one scan of it and one write.
         The star tables are looked up anew. A cuboid starts as soon as the parents it
         may be summed from are there. A refresh fills a new folder and is
         published when all of it is written: readers of the last one, in this
@@ -246,7 +269,11 @@ class Warehouse:
         refresh = f"{cube}-{uuid.uuid4().hex[:12]}"
         running: dict[str, Future[Stored]] = {}
 
+        scanned = self._write_sales_roots(f"refresh/{refresh}") if one_scan and cube == "sales" else {}
+
         def build(cuboid: cuboids.Cuboid, parents: list[str]) -> Stored:
+            if cuboid.name in scanned:
+                return scanned[cuboid.name]
             known = [running[p].result() for p in parents]
             return self._write(cuboid.name, self._rows(cuboid, known), f"refresh/{refresh}", self._by_year(cuboid))
 

@@ -68,6 +68,44 @@ def test_refresh_from_parents(spark, mini, tmp_path, cube):
     assert before.count() == 1  # a reader of the previous cuboids is not disturbed
 
 
+@pytest.mark.parametrize("star", ["wh", "wide_wh"])
+def test_roots_of_one_scan(request, mini, star):
+    rows = cuboids.sales_roots_from_one_scan(request.getfixturevalue(star)).cache()
+    assert len(cuboids.sales_roots()) == 6
+    for cuboid in cuboids.sales_roots():
+        own = rows.where(F.col("cuboid") == cuboid.name)
+        assert rows_of(own, cuboid) == expected(mini, cuboid)
+        others = {"year", "customer_key", "customer_type", "state", "city"} - set(cuboid.dimensions)
+        assert all(own.where(F.col(c).isNotNull()).isEmpty() for c in others)
+
+
+def test_one_scan_reads_the_fact_once(spark, mini, tmp_path):
+    wh = Warehouse(spark, mini.builders(spark), str(tmp_path))
+    plan = cuboids.sales_roots_from_one_scan(wh)._jdf.queryExecution().optimizedPlan().toString()
+    assert len([line for line in plan.splitlines() if "Relation" in line and "quantity_ordered" in line]) == 1
+
+
+def test_refresh_from_one_scan(spark, mini, tmp_path):
+    wh = Warehouse(spark, mini.builders(spark), str(tmp_path))
+    written = wh.refresh_cuboids("sales", one_scan=True)
+    assert sorted(w.name for w in written) == sorted(LATTICES["sales"])
+    totals = {w.name: (w.row_count, w.measure_sum) for w in written}
+    assert totals == {w.name: (w.row_count, w.measure_sum) for w in wh.refresh_cuboids("sales")}
+    again = wh.refresh_cuboids("sales", one_scan=True)
+    for cuboid in LATTICES["sales"].values():
+        assert wh.cuboid(cuboid.name).columns == [*cuboid.dimensions, *cuboid.measures]
+        assert rows_of(wh.cuboid(cuboid.name), cuboid) == expected(mini, cuboid)
+    folders = {w.path.rsplit("/", 1)[0] for w in again if w.name in {c.name for c in cuboids.sales_roots()}}
+    assert len(folders) == 1
+
+
+def test_one_scan_of_an_empty_fact(spark, mini, tmp_path):
+    builders = mini.builders(spark) | {"fact_sales": lambda _: spark.createDataFrame([], mini.SCHEMAS["fact_sales"])}
+    wh = Warehouse(spark, builders, str(tmp_path))
+    written = {w.name: w.row_count for w in wh.refresh_cuboids("sales", one_scan=True)}
+    assert all(written[c.name] == 0 and wh.cuboid(c.name).isEmpty() for c in cuboids.sales_roots())
+
+
 @pytest.mark.parametrize("name", ["olap_sales_year_state", "olap_inv_by_quarter", "olap_inv_quarter_product_store"])
 def test_every_parent_gives_the_same_rows(wh, mini, name):
     cuboid = CUBOIDS[name]
