@@ -148,3 +148,15 @@ def test_a_table_is_written_once(spark, mini, tmp_path):
     assert wh.is_small("dim_time") and not warehouse.Warehouse(
         spark, builders, str(tmp_path / "b"), broadcast_rows=22
     ).is_small("dim_time")
+
+
+def test_a_query_of_one_fact_makes_only_that_fact(spark):
+    """The calendar comes from the given tables, so that stock does without sales."""
+    given = warehouse.open_warehouse(spark, SF_DIR)
+    own = warehouse.Warehouse(spark, warehouse.star_builders(spark, SF_DIR), f"{given.root}/one-fact", dealt=frozenset({"fact_sales", "fact_inventory"}))
+    own.cuboid("olap_inv_by_year").count()
+    assert "fact_inventory" in own._stored and "fact_sales" not in own._stored
+    months = {r["time_key"] for name in ("fact_sales", "fact_inventory") for r in own.table(name).select("time_key").distinct().collect()}
+    assert {r["time_key"] for r in own.table("dim_time").collect()} == months | {200112}
+    for name in ("fact_sales", "fact_inventory"):
+        assert own.table(name).exceptAll(given.table(name)).count() == 0

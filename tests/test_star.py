@@ -120,3 +120,41 @@ def test_time_parts_of_a_key(spark):
     keys = spark.range(1, 13).select((F.lit(202400) + F.col("id")).cast("int").alias("time_key"))
     rows = star.calendar_months(keys.union(keys)).orderBy("time_key").collect()
     assert [r["quarter"] for r in rows] == [1, 1, 1, 2, 2, 2, 3, 3, 3, 4, 4, 4]
+
+
+def test_large_months_have_slots_of_their_own():
+    sizes = {202401: 10, 202402: 20, 202403: star.SLOT_ROWS * 5 // 2, 202404: 7, None: 1}
+    assert star.slots_of(sizes, 1) == {202401: (0, 1), 202402: (0, 1), 202403: (1, 3), 202404: (4, 1), None: (4, 1)}
+
+
+@pytest.mark.parametrize("sizes", [{}, {202401: 1}, {202401: 4 * star.SLOT_ROWS, 202402: 3, None: 2}])
+def test_facts_in_slots_are_the_same_facts(spark, sizes):
+    """A month of several slots, one that was not foreseen, and rows without a month."""
+    lines = spark.range(400).selectExpr(
+        "id % 90 order_id", "id % 7 product_id", "cast(id % 5 as int) ordered_quantity",
+        "cast(id as decimal(15,2)) line_amount", "date'2024-01-05' last_updated_time",
+    )
+    orders = spark.range(80).selectExpr("id order_id", "id % 6 customer_id", "add_months(date'2024-01-02', cast(id % 3 as int)) order_date")
+    rows = star.fact_sales(lines, orders, sizes=sizes)
+    assert sorted(map(str, rows.collect())) == sorted(map(str, star.fact_sales(lines, orders).collect()))
+    stock = spark.range(500).selectExpr(
+        "id % 4 store_id", "id % 9 product_id", "cast(id % 5 as int) stock_quantity",
+        "if(id % 50 = 0, null, add_months(date'2024-01-02', cast(id % 3 as int))) last_updated_time",
+    )
+    rows = star.fact_inventory_by_month(stock, sizes)
+    assert sorted(map(str, rows.collect())) == sorted(map(str, star.fact_inventory_by_month(stock).collect()))
+
+
+def test_facts_in_slots_shuffle_once_behind_the_join(spark):
+    stock = spark.range(10).selectExpr("id store_id", "id product_id", "1 stock_quantity", "date'2024-01-02' last_updated_time")
+    rows = star.fact_inventory_by_month(stock, {202401: 3 * star.SLOT_ROWS})
+    assert rows._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_months_of_sales_without_the_fact(spark):
+    """The first and last order of February have no lines, another one has; no order of March has any."""
+    days = ["2024-01-01", "2024-02-01", "2024-02-02", "2024-02-03", "2024-03-01"]
+    orders = spark.createDataFrame([(i, i, dt.date.fromisoformat(d)) for i, d in enumerate(days)], "order_id long, customer_id long, order_date date")
+    lines = spark.createDataFrame([(0, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 1))], "order_id long, last_updated_time date")
+    assert sorted(r["time_key"] for r in star.sold_months(lines, orders).collect()) == [202401, 202402]
+    assert star.sold_months(lines.limit(0), orders).count() == 0
