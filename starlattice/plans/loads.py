@@ -15,6 +15,7 @@ to a pending table, which later loads join with new orders alone.
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterable, Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass, replace
@@ -55,14 +56,18 @@ WAITING = {
     "dim_store": ("store", "representative_office", "city_id"),
 }
 NUMBER, RANGE, MONTH = "load_number", "key_range", "time_key"
-# Consecutive numbers of the first key that share a partition.
+# Consecutive numbers of the first key that share a partition, where these make at most `MOST_RANGES`; with more
+# keys a range is two, four, ... times as wide. A table that has grown to four times as many is cut anew.
 KEYS_A_RANGE = 1 << 20
+MOST_RANGES = 256
+
+
 @dataclass(frozen=True)
 class State:
     """What the newest load of a table did; `finished` when its partitions are in place.
 
-    `parts` has, for each folder of the table, its schema, its partition column, the
-    partitions that the load touched and those of them that have rows. `batch` is the
+    `parts` has, for each folder of the table, its schema, its partition column, the keys a
+    range has, the partitions that the load touched and those of them that have rows. `batch` is the
     newest batch of arriving files that the table holds.
     """
 
@@ -209,9 +214,29 @@ class LoadStore:
         found = self.stored(layer, table)
         if found is None:
             raise ValueError(f"{layer} table {table} was never loaded")
-        ranges = upsert.touched_values(_in_ranges(keys, keys.columns[0], self.keys_a_range), RANGE)
+        width = self.held_width(layer, table, f"{layer}/{table}")
+        ranges = upsert.touched_values(_in_ranges(keys, keys.columns[0], width), RANGE)
         return found.where(F.col(RANGE).isin(ranges)).drop(RANGE, NUMBER)
 
+    def held_width(self, layer: str, table: str, folder: str) -> int:
+        """How many keys a range of the folder has."""
+        known = self.state(layer, table)
+        return (known.parts.get(folder, {}) if known else {}).get("width") or self.keys_a_range
+
+    def width_for(self, layer: str, table: str, folder: str, rows: DataFrame, key: str) -> int:
+        """How many keys a range of the folder has once `rows` are in it, so that its partitions stay few."""
+        width = self.held_width(layer, table, folder)
+        held = partition_values(self.spark, f"{self.root}/{folder}", RANGE)
+        keys = rows.select(F.col(key).cast("bigint").alias(key))
+        if held:
+            keys = keys.union(self.spark.createDataFrame([(value * width,) for value in held], f"`{key}` bigint"))
+        most = MOST_RANGES * 4 if held else MOST_RANGES
+        # Twice the width makes at least half the ranges, so this never widens too far.
+        while (count := _in_ranges(keys, key, width).select(RANGE).distinct().count()) > most:
+            most = MOST_RANGES
+            width <<= (math.ceil(count / most) - 1).bit_length()
+        return width
+
     def write_aside(
         self, rows: DataFrame, folder: str, number: int, by: str, touched: Iterable[int]
     ) -> tuple[dict, tuple[int, int]]:
@@ -254,28 +279,33 @@ def _load(
     order_by = [c for c in batch.columns if c == "last_updated_time"]
     by = MONTH if table in FACTS else RANGE
     batch = batch.withColumn(NUMBER, F.lit(number))
+    batch, seen = _written(store, batch, f"{folder}/{number}-batch", newest if isinstance(newest, str) else None)
+    before_width = width = store.held_width(layer, table, folder)
     if by == RANGE:
-        batch = _in_ranges(batch, key[0], store.keys_a_range)
-
-    batch, touched, seen = _written(store, batch, f"{folder}/{number}-batch", by, newest if isinstance(newest, str) else None)
+        width = store.width_for(layer, table, folder, batch, key[0])
+        batch = _in_ranges(batch, key[0], width)
+    touched = sorted(upsert.touched_values(batch.where(F.col(by).isNotNull()), by))
     mark = max(d for d in (NEVER_LOADED, known and known.mark, seen if isinstance(newest, str) else newest) if d)
     old = store.stored(layer, table)
     if old is None or rebuild:
         touched = sorted({*touched, *partition_values(spark, f"{store.root}/{folder}", by)})
         held = batch.limit(0)
+    elif width != before_width:
+        touched = sorted({*touched, *partition_values(spark, f"{store.root}/{folder}", by)})
+        held = _in_ranges(old, key[0], width).select(*batch.columns)
     else:
         held = old.select(*batch.columns).where(F.col(by).isin(touched))
     stamp = [NUMBER] if by == MONTH else [NUMBER, RANGE]
     merged = upsert.merge_counted(held, batch, table, key, order_by, stamp)
     part, counts = store.write_aside(merged, folder, number, by, touched)
-    parts = {folder: part}
+    parts = {folder: part | {"width": width}}
     if waiting is not None:
         pending = _pending(store, layer, table, number, *waiting, rebuild=rebuild)
         if pending is not None:
             parts[f"{folder}-pending"] = pending
     changed = any(counts) or len(parts) > 1 or (rebuild and old is not None)
     if not changed:
-        parts = {name: {**p, "touched": [], "kept": []} for name, p in parts.items()}
+        parts = {name: {**p, "touched": [], "kept": [], "width": before_width} for name, p in parts.items()}
     if known is None or changed or mark > known.mark or arrived is not None:
         before = known.parts if known else {}
         parts = {name: {**p, "touched": [], "kept": []} for name, p in before.items() if name not in parts} | parts
@@ -286,16 +316,12 @@ def _load(
     return LoadReport(table, counts[0], counts[1], mark)
 
 
-def _written(
-    store: LoadStore, rows: DataFrame, name: str, by: str, change: str | None = None
-) -> tuple[DataFrame, list[int], date | None]:
-    """Rows written aside by partition, read again, with the partitions they fall in and their newest `change`."""
+def _written(store: LoadStore, rows: DataFrame, name: str, change: str | None = None) -> tuple[DataFrame, date | None]:
+    """Rows written aside as they come and read again, and their newest `change`."""
     path, seen = f"{store.root}/aside/{name}", Observation()
     newest = F.max(change).cast("date") if change else F.max(F.lit(None).cast("date"))
-    spread = rows.hint("rebalance", by).observe(seen, newest.alias("newest"))
-    spread.write.mode("overwrite").partitionBy(by).parquet(path)
-    touched = partition_values(store.spark, path, by)
-    return store.spark.read.schema(_schema(rows)).parquet(path).select(*rows.columns), touched, seen.get["newest"]
+    rows.observe(seen, newest.alias("newest")).write.mode("overwrite").parquet(path)
+    return store.spark.read.schema(_schema(rows)).parquet(path), seen.get["newest"]
 
 
 def _pending(
@@ -303,22 +329,29 @@ def _pending(
 ) -> dict | None:
     """The pending rows of the touched key ranges, written aside; None where nothing comes or goes."""
     folder, key = f"{layer}/{table}-pending", WAITING[table][2]
-    arriving, ranges, _ = _written(store, _in_ranges(arriving, key, store.keys_a_range), f"{folder}/{number}-batch", RANGE)
-    old = store.stored(layer, table, folder)
-    touched = set(ranges)
+    arriving, _ = _written(store, arriving, f"{folder}/{number}-batch")
+    old, before_width = store.stored(layer, table, folder), store.held_width(layer, table, folder)
+    width = store.width_for(layer, table, folder, arriving, key)
+    arriving = _in_ranges(arriving, key, width)
+    touched = set(upsert.touched_values(arriving, RANGE))
     rows = arriving
     if old is not None and rebuild:
         touched |= set(partition_values(store.spark, f"{store.root}/{folder}", RANGE))
     elif old is not None:
-        gone = old.join(leaving.select(key).distinct(), key, "left_semi")
-        touched |= set(upsert.touched_values(gone, RANGE))
-        stay = old.where(F.col(RANGE).isin(sorted(touched))).join(leaving.select(key).distinct(), key, "left_anti")
+        if width != before_width:
+            touched |= set(partition_values(store.spark, f"{store.root}/{folder}", RANGE))
+            held = _in_ranges(old, key, width)
+        else:
+            gone = old.join(leaving.select(key).distinct(), key, "left_semi")
+            touched |= set(upsert.touched_values(gone, RANGE))
+            held = old.where(F.col(RANGE).isin(sorted(touched)))
+        stay = held.join(leaving.select(key).distinct(), key, "left_anti")
         rows = stay.select(*arriving.columns).unionByName(arriving)
     if not touched:
         return None
     none = F.lit(0).cast("bigint")
     counted = rows.withColumns({"rows_inserted": none, "rows_updated": none})
-    return store.write_aside(counted, folder, number, RANGE, touched)[0]
+    return store.write_aside(counted, folder, number, RANGE, touched)[0] | {"width": width}
 
 
 def load_sources(

@@ -355,3 +355,26 @@ def test_changed_years_are_refreshed_to_a_whole_refresh(spark, store, tmp_path):
 def test_an_unknown_table_is_reported(store):
     with pytest.raises(ValueError, match="never loaded"):
         store.table("star", "fact_sales")
+
+
+def test_ranges_stay_few_however_many_keys(spark, tmp_path, monkeypatch):
+    """Ranges widen with the keys; a table that has grown to four times as many is cut anew and keeps its rows."""
+    monkeypatch.setattr(loads, "MOST_RANGES", 8)
+    store = loads.LoadStore(spark, str(tmp_path), keys_a_range=10)
+    folder = tmp_path / "conformed" / "order"
+
+    def ranges():
+        return sum(f.name.startswith("key_range=") for f in folder.iterdir())
+
+    loads.load_sources(store, orders(spark, *range(200)), AT, ["order"], everything=True)
+    assert ranges() == 5  # of 40 keys: 20 ranges of 10 would be too many
+    assert store.held_width("conformed", "order", "conformed/order") == 40
+    found = reports(loads.load_sources(store, orders(spark, 3, 500), AT, ["order"], everything=True))
+    assert found["order"] == (1, 0) and ranges() == 6
+    loads.load_sources(store, orders(spark, *range(1000, 2200)), AT, ["order"], everything=True)
+    assert ranges() <= 8 and store.held_width("conformed", "order", "conformed/order") == 320
+    held = [r["order_id"] for r in store.table("conformed", "order").collect()]
+    assert sorted(held) == [*range(200), 500, *range(1000, 2200)]
+    near = store.near("conformed", "order", spark.createDataFrame([(7,)], "order_id bigint"))
+    assert {3, 7} <= {r["order_id"] for r in near.collect()}
+    assert reports(loads.load_sources(store, orders(spark, 4, 2100), AT, ["order"], everything=True))["order"] == (0, 0)
