@@ -8,6 +8,7 @@ keys beyond them are in further rows of the same group.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping
 from typing import Any
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from starlattice.functions.periods import ALL_TIME_COLUMNS
 from starlattice.functions.predicates import active_filters, all_of, equals_all
-from starlattice.operators.cuboids import Star, located
+from starlattice.operators.cuboids import Star, located, spread
 
 # The table of each counted key, its fact, and the columns a count may be grouped and filtered by.
 TABLES = {"customer": "distinct_customers", "store": "distinct_stores", "product": "distinct_products"}
@@ -27,6 +28,8 @@ COLUMNS = {
     "product": (*ALL_TIME_COLUMNS, "state", "city"),
 }
 BUCKET, MEMBERS = "key_bucket", "members"
+# Bitmaps, of 4 KB each, that one task sorts and unites.
+BITMAPS_A_TASK = 16_384
 
 
 def _placed(star: Star, people: str, key: str, columns: Iterable[str]) -> DataFrame:
@@ -38,11 +41,14 @@ def members(star: Star, counted: str) -> DataFrame:
     """Bitmaps of the counted keys in each month and place (and customer type); what is unknown of a customer is null.
 
     Keys are first made distinct by month, which folds a hot customer or store before anything is joined.
+    They, not bitmaps, are shuffled: made in the tasks before, each task would have a bitmap of nearly every group.
     """
     fact = star.table(FACTS[counted])
     carrier = "customer_key" if counted == "customer" else "store_key"
     key = f"{counted}_key"
-    keys = fact.select("time_key", *dict.fromkeys([carrier, key])).distinct()
+    keys = fact.select("time_key", *dict.fromkeys([carrier, key]))
+    if carrier == key:
+        keys = keys.distinct()
     months = star.table("dim_time").select("time_key", *ALL_TIME_COLUMNS)
     people = "dim_customer" if carrier == "customer_key" else "dim_store"
     attributes = [c for c in COLUMNS[counted] if c not in ALL_TIME_COLUMNS]
@@ -55,7 +61,10 @@ def members(star: Star, counted: str) -> DataFrame:
     if how == "inner":
         placed = placed.where("state is not null")
     number = F.col(key).cast("bigint")
-    return placed.groupBy(*COLUMNS[counted], F.bitmap_bucket_number(number).alias(BUCKET)).agg(
+    bucketed = placed.withColumn(BUCKET, F.bitmap_bucket_number(number))
+    # Also the parts of the write by year.
+    parts = spread(bucketed, ("year", BUCKET), star.row_count(FACTS[counted]))
+    return parts.groupBy(*COLUMNS[counted], BUCKET).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias(MEMBERS)
     )
 
@@ -75,6 +84,9 @@ def count_distinct(
     alias = name or f"distinct_{counted}s"
     inside: list[Column] = [F.col(c).isNotNull() for c in dict.fromkeys([*by, *filters])]
     rows = wh.table(TABLES[counted]).where(equals_all(filters) & all_of(inside))
+    stored = wh.row_count(TABLES[counted])
+    if stored is not None and stored > BITMAPS_A_TASK:
+        rows = rows.repartition(math.ceil(stored / BITMAPS_A_TASK), *by, BUCKET)
     united = rows.groupBy(*by, BUCKET).agg(F.bitmap_count(F.bitmap_or_agg(MEMBERS)).alias("held"))
     return united.groupBy(*by).agg(F.coalesce(F.sum("held"), F.lit(0)).cast("bigint").alias(alias))
 

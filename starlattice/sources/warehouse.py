@@ -155,7 +155,8 @@ class Warehouse:
             path,
             partition_by=partition_by,
             sort_by=self._sort_by.get(name),
-            spread=name not in self._dealt and (name not in cuboids.CUBOIDS or cuboids.CUBOIDS[name].is_detail),
+            # Cuboids come out of a shuffle in parts of like size, and a part has few years.
+            spread=name not in self._dealt and name not in cuboids.CUBOIDS and name not in distinct.BUILDERS,
             watch=lambda rows: rows.observe(counts, F.count(F.lit(1)).alias("row_count"), first.alias("measure_sum")),
         )
         schema = ", ".join(f"`{column}` {kind}" for column, kind in df.dtypes)

@@ -6,7 +6,7 @@ import itertools
 
 import pytest
 
-from starlattice.operators.distinct import count_distinct
+from starlattice.operators.distinct import count_distinct, members
 from starlattice.sources.warehouse import Warehouse
 
 
@@ -42,3 +42,12 @@ def test_keys_of_many_bitmaps(spark, mini, tmp_path):
     star = Warehouse(spark, {**builders, "fact_sales": lambda _: spark.createDataFrame(rows, schema)}, str(tmp_path))
     assert count_distinct(star, "customer").first()[0] == 6
     assert count_distinct(star, "customer", ["year"]).collect()[0]["distinct_customers"] == 6
+
+
+def test_keys_are_shuffled_and_not_bitmaps(wide_wh):
+    """All sums of a bitmap lie behind the last shuffle, and products, a row each in the fact, take no other one for themselves."""
+    for counted in ("customer", "store", "product"):
+        plan = members(wide_wh, counted)._jdf.queryExecution().sparkPlan().toString()
+        executed = members(wide_wh, counted)._jdf.queryExecution().executedPlan().toString()
+        assert "bitmap_construct_agg" in plan
+        assert executed.rindex("bitmap_construct_agg") < executed.index("Exchange")
