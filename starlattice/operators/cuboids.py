@@ -8,7 +8,7 @@ quantities are summed over the rest.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 from typing import Protocol
@@ -211,15 +211,24 @@ def sales_rollup(star: Star, columns: Iterable[str]) -> DataFrame:
 
 
 def latest_stock(
-    stock: DataFrame, time: Iterable[str], quantity: str, order: str, place: Iterable[str] = (), count: int | None = None
+    stock: DataFrame,
+    time: Iterable[str],
+    quantity: str,
+    order: str,
+    place: Iterable[str] = (),
+    count: int | None = None,
+    *,
+    in_place: bool = False,
 ) -> DataFrame:
     """The newest quantity of each product and store inside each time group.
 
     Rows are shuffled by product and store first: a pair has at most a row a month,
     and a task that folded its part of the files before would hold a row for nearly
     each of theirs. `place` columns depend on the store and only ride along; `count` is the most rows there are.
+    Rows `in_place` already lie together by product.
     """
-    return spread(stock, ("product_key", "store_key"), count).groupBy("product_key", "store_key", *place, *time).agg(
+    rows = stock if in_place else spread(stock, ("product_key", "store_key"), count)
+    return rows.groupBy("product_key", "store_key", *place, *time).agg(
         F.max_by(quantity, order).cast(QUANTITY_TOTAL).alias("total_quantity_on_hand")
     )
 
@@ -323,6 +332,68 @@ def sales_roots_from_one_scan(star: Star) -> DataFrame:
     return sent.withColumns(extra)
 
 
+# --- buckets of a refresh -----------------------------------------------------
+
+# Columns by which the rows of all sales are known to the dimensions.
+KNOWN = {"dim_time": "in_dim_time", "dim_customer": "in_dim_customer", "dim_location": "in_dim_location"}
+OF_CUSTOMER = ("customer_type", "state", "city", KNOWN["dim_customer"], KNOWN["dim_location"])
+
+
+# Stock by store without product is small.
+CUBE_BUCKETS = {"sales": ("customer_key", "product_key"), "inventory": ("product_key",)}
+
+
+def bucket_key(cuboid: Cuboid) -> str | None:
+    """The column by which a large cuboid lies in buckets, so that the next is summed from it without a shuffle."""
+    if "customer_key" in cuboid.dimensions:
+        return "customer_key"
+    return "product_key" if cuboid.product else None
+
+
+def bucket_count(count: int | None, parallelism: int) -> int:
+    """Buckets of at most about `PART_ROWS` rows; of fewer where there would be less buckets than cores."""
+    rows = min(PART_ROWS, max(PART_ROWS // 20, (count or 0) // max(parallelism, 1)))
+    return max(1, math.ceil((count or 0) / rows))
+
+
+def sales_with_attributes(star: Star, buckets: int) -> DataFrame:
+    """All sales with what the dimensions know of their customers, in one shuffle by customer.
+
+    Only for dimensions whose keys are unique: then any sales cuboid is a filter and a sum of these rows.
+    """
+    sales = star.table("fact_sales").withColumnsRenamed(
+        {"quantity_ordered": "total_quantity", "total_amount": "sum_amount"}
+    )
+    there = F.lit(True)
+    people = (
+        star.table("dim_customer")
+        .select("customer_key", "customer_type", "location_key", there.alias(KNOWN["dim_customer"]))
+        .join(located(star).withColumn(KNOWN["dim_location"], there), "location_key", "left")
+    )
+    people = F.broadcast(people) if star.is_small("dim_customer") else people
+    placed = sales.repartition(buckets, "customer_key").join(people, "customer_key", "left")
+    return placed.select(*FACT_KEYS, *OF_CUSTOMER, *MEASURES["sales"])
+
+
+def sales_by_product(star: Star, sales: DataFrame, buckets: int) -> DataFrame:
+    """Rows of `sales_with_attributes` with their months, summed over customers, in one shuffle by product."""
+    measures = tuple(MEASURES["sales"])
+    moved = sales.select("time_key", "product_key", *OF_CUSTOMER, *measures).repartition(buckets, "product_key")
+    months = star.table("dim_time").select("time_key", *ALL_TIME_COLUMNS, F.lit(True).alias(KNOWN["dim_time"]))
+    rows = moved.join(F.broadcast(months), "time_key", "left")
+    return sums(rows, (*ALL_TIME_COLUMNS, KNOWN["dim_time"], "product_key", *OF_CUSTOMER), measures)
+
+
+def known_sums(star: Star, rows: DataFrame, cuboid: Cuboid) -> DataFrame:
+    """A sales cuboid from all sales, by customer or by product: of those that its dimensions know."""
+    known = {table for table in cuboid.dimension_tables if KNOWN[table] in rows.columns}
+    for table in sorted(known):
+        rows = rows.where(KNOWN[table])
+    if "dim_time" in cuboid.dimension_tables - known:
+        rows = with_time(rows, star, TIME_COLUMNS[cuboid.time])
+    return sums(rows, cuboid.dimensions, cuboid.measures)
+
+
 # --- building one cuboid from another ---------------------------------------
 
 
@@ -346,12 +417,16 @@ def parents(cuboid: Cuboid) -> list[Cuboid]:
     return sorted(finer, key=lambda c: (len(c.dimensions), c.name))
 
 
-def build_from(parent: Cuboid, rows: DataFrame, cuboid: Cuboid, count: int | None = None) -> DataFrame:
-    """`cuboid` from the rows, at most `count`, of one of its parents."""
+def build_from(
+    parent: Cuboid, rows: DataFrame, cuboid: Cuboid, count: int | None = None, *, in_buckets: bool = False
+) -> DataFrame:
+    """`cuboid` from the rows, at most `count`, of one of its parents; rows that lie in buckets are not shuffled."""
     if cuboid.cube == "inventory" and cuboid.time != parent.time:
         period = rows.withColumn("period", F.col("year") * 100 + F.col("month"))
         time = TIME_COLUMNS[cuboid.time]
-        rows = latest_stock(period, time, "total_quantity_on_hand", "period", ("city", "state"), count)
+        rows = latest_stock(
+            period, time, "total_quantity_on_hand", "period", ("city", "state"), count, in_place=in_buckets
+        )
         return rows.select(*cuboid.dimensions, *cuboid.measures)
     return sums(rows, cuboid.dimensions, cuboid.measures)
 
@@ -362,13 +437,20 @@ def smallest_parents(cuboid: Cuboid) -> list[Cuboid]:
     return [p for p in found if len(p.dimensions) == len(found[0].dimensions)]
 
 
-def refresh_order(cube: str) -> list[Cuboid]:
+def bucket_parents(cuboid: Cuboid) -> list[Cuboid]:
+    """Its parents with the fewest columns among those that lie in the same buckets; of a small cuboid, among all."""
+    key = bucket_key(cuboid)
+    found = [p for p in parents(cuboid) if key is None or bucket_key(p) == key]
+    return [p for p in found if len(p.dimensions) == len(found[0].dimensions)]
+
+
+def refresh_order(cube: str, of: Callable[[Cuboid], list[Cuboid]] = smallest_parents) -> list[Cuboid]:
     """The cuboids of a cube, each after the parents it may be summed from."""
     waiting = list(LATTICES[cube].values())
     done: set[str] = set()
     order: list[Cuboid] = []
     while waiting:
-        ready = [c for c in waiting if all(p.name in done for p in smallest_parents(c))]
+        ready = [c for c in waiting if all(p.name in done for p in of(c))]
         order += sorted(ready, key=lambda c: (-len(c.dimensions), c.name))
         done |= {c.name for c in ready}
         waiting = [c for c in waiting if c.name not in done]

@@ -80,3 +80,23 @@ def write_full_refresh(
     if sort_by is not None:
         rows = rows.sortWithinPartitions(*columns, sort_by)
     watch(rows).write.mode("overwrite").partitionBy(*columns).parquet(path)
+
+
+def write_buckets(
+    df: DataFrame,
+    path: str,
+    table: str,
+    *,
+    buckets: int,
+    key: str,
+    sort_by: Sequence[str],
+    partition_by: str | None = None,
+    watch: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> None:
+    """A stored table whose rows lie in buckets of a key, sorted; the session knows it as `table` to read it so.
+
+    Rows have to come in as many partitions by that key, so that each task writes one bucket.
+    """
+    writer = watch(df).write.format("parquet").option("path", path).option("compression", "zstd")
+    writer = writer.partitionBy(partition_by) if partition_by else writer
+    writer.bucketBy(buckets, key).sortBy(*sort_by).saveAsTable(table)

@@ -24,12 +24,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from starlattice.functions.periods import time_key
+from starlattice.functions.periods import ALL_TIME_COLUMNS, time_key
 from starlattice.operators import cuboids, distinct, grams, star
 from starlattice.operators.conform import conform
 from starlattice.operators.upsert import replace_partitions
 from starlattice.sources import given_tables
-from starlattice.sources.files import write_full_refresh
+from starlattice.sources.files import write_buckets, write_full_refresh
 from starlattice.sources.storage import drop_folder, exists, fingerprint, partition_values, read_if_there
 
 # A dimension up to this many rows is broadcast: keys and a few short strings, about 10 MB.
@@ -41,9 +41,14 @@ CONCURRENT_JOBS = 8
 # The month that dim_time always contains when the given tables are loaded.
 AS_OF = date(2001, 12, 31)
 
+# Rows of one customer or product that one task of a refresh may take.
+HOT_ROWS = 4_000_000
+
 # Refreshes of a cube that stay for readers of an earlier one.
 KEPT_REFRESHES = 2
 
+FACT_OF = {"sales": "fact_sales", "inventory": "fact_inventory"}
+
 MANIFEST = "version string, name string, path string, schema string, row_count bigint, measure_sum bigint, refresh string, at bigint"
 
 
@@ -149,9 +154,7 @@ class Warehouse:
     def _write(self, name: str, df: DataFrame, folder: str, partition_by: str | None) -> Stored:
         """Writes a table below a path that nothing has used; its counts come with the write."""
         path = f"{self.root}/{folder}/{name}-{uuid.uuid4().hex[:12]}"
-        measures = cuboids.CUBOIDS[name].measures if name in cuboids.CUBOIDS else ()
-        counts = Observation()
-        first = F.sum(next(iter(measures))).cast("bigint") if measures else F.max(F.lit(None).cast("bigint"))
+        counts, watch = self._counts(name)
         write_full_refresh(
             df,
             path,
@@ -159,7 +162,7 @@ class Warehouse:
             sort_by=self._sort_by.get(name),
             # Cuboids come out of a shuffle in parts of like size, and a part has few years.
             spread=name not in self._dealt and name not in cuboids.CUBOIDS and name not in distinct.BUILDERS,
-            watch=lambda rows: rows.observe(counts, F.count(F.lit(1)).alias("row_count"), first.alias("measure_sum")),
+            watch=watch,
         )
         schema = ", ".join(f"`{column}` {kind}" for column, kind in df.dtypes)
         return Stored(name, path, schema, counts.get["row_count"], counts.get["measure_sum"])
@@ -260,10 +263,39 @@ class Warehouse:
             found[cuboid.name] = own
         return found
 
+    def _counts(self, name: str) -> tuple[Observation, Callable[[DataFrame], DataFrame]]:
+        """The rows and the first measure's sum of a table, counted as it is written."""
+        counts = Observation()
+        measures = cuboids.CUBOIDS[name].measures if name in cuboids.CUBOIDS else ()
+        first = F.sum(next(iter(measures))).cast("bigint") if measures else F.max(F.lit(None).cast("bigint"))
+        seen = (F.count(F.lit(1)).alias("row_count"), first.alias("measure_sum"))
+        return counts, lambda rows: rows.observe(counts, *seen)
+
+    def _keys_are_unique(self, name: str, key: str) -> bool:
+        known = self.table(name).where(F.col(key).isNotNull())
+        return known.groupBy(key).count().where("count > 1").isEmpty()
+
+    def _fits_buckets(self, cube: str) -> bool:
+        """True unless a key of sales is so frequent that its bucket would be one large task, or stands twice in its dimension.
+
+        Stock has at most a row a month and store of a product, so its buckets need no look.
+        """
+        if cube == "inventory":
+            return True
+        keys = {"dim_time": "time_key", "dim_customer": "customer_key", "dim_location": "location_key"}
+        if not all(self._keys_are_unique(name, key) for name, key in keys.items()):
+            return False
+        tops = [F.expr(f"get(approx_top_k({key}, 1, 10000), 0).count").alias(key) for key in ("customer_key", "product_key")]
+        nulls = [F.count_if(F.col(key).isNull()) for key in ("customer_key", "product_key")]
+        return max(n or 0 for n in self.table("fact_sales").agg(*tops, *nulls).first()) <= HOT_ROWS
+
     def refresh_cuboids(self, cube: str, *, one_scan: bool = False) -> list[Stored]:
         """Rebuild every cuboid of a cube from its smallest parent; what was written, by name.
 
-        With `one_scan` the sales cuboids that read the fact come from one scan of it and one write.
+        The fact is read once and shuffled by customer and by product; large cuboids lie in
+        buckets of these keys, so that the next are summed from them without a shuffle. Where
+        buckets do not fit, each cuboid is shuffled for itself, and with `one_scan` the sales
+        cuboids that read the fact come from one scan of it and one write.
         The star tables are looked up anew. A cuboid starts as soon as the parents it
         may be summed from are there. A refresh fills a new folder and is
         published when all of it is written: readers of the last one, in this
@@ -275,26 +307,23 @@ class Warehouse:
             for name in self._views:
                 self._tables.pop(name, None)
             self._small.clear()
-        self.prepare(["fact_sales", "fact_inventory", "dim_time"])
-        for name in ("dim_location", "dim_store", "dim_customer"):
+        people = {"sales": "dim_customer", "inventory": "dim_store"}[cube]
+        self.prepare([FACT_OF[cube], "dim_time"])
+        for name in ("dim_location", people):
             self.is_small(name)
         refresh = f"{cube}-{uuid.uuid4().hex[:12]}"
-        running: dict[str, Future[Stored]] = {}
-
-        scanned = self._write_sales_roots(f"refresh/{refresh}") if one_scan and cube == "sales" else {}
-
-        def build(cuboid: cuboids.Cuboid, parents: list[str]) -> Stored:
-            if cuboid.name in scanned:
-                return scanned[cuboid.name]
-            known = [running[p].result() for p in parents]
-            return self._write(cuboid.name, self._rows(cuboid, known), f"refresh/{refresh}", self._by_year(cuboid))
-
-        with ThreadPoolExecutor(CONCURRENT_JOBS) as jobs:
-            submitted = inheritable_thread_target(self.spark)(build)
-            # Parents are submitted first, so a waiting cuboid waits for one that runs.
-            for cuboid in cuboids.refresh_order(cube):
-                running[cuboid.name] = jobs.submit(submitted, cuboid, [p.name for p in cuboids.smallest_parents(cuboid)])
-        written = [f.result() for f in running.values()]
+        folder = f"refresh/{refresh}"
+        if self._fits_buckets(cube):
+            written = self._refresh_in_buckets(cube, folder)
+        else:
+            scanned = self._write_sales_roots(folder) if one_scan and cube == "sales" else {}
+
+            def build(cuboid: cuboids.Cuboid, known: list[Stored]) -> Stored:
+                if cuboid.name in scanned:
+                    return scanned[cuboid.name]
+                return self._write(cuboid.name, self._rows(cuboid, known), folder, self._by_year(cuboid))
+
+            written = self._each(cube, cuboids.smallest_parents, build)
         self._publish(written, refresh)
         with self._lock:
             self._stored.update({w.name: w for w in written})
@@ -306,6 +335,76 @@ class Warehouse:
         self._expire(cube)
         return written
 
+    def _each(
+        self,
+        cube: str,
+        parents: Callable[[cuboids.Cuboid], list[cuboids.Cuboid]],
+        build: Callable[[cuboids.Cuboid, list[Stored]], Stored],
+    ) -> list[Stored]:
+        """Every cuboid of a cube, several at the same time, each once its parents are there."""
+        running: dict[str, Future[Stored]] = {}
+
+        def after_parents(cuboid: cuboids.Cuboid) -> Stored:
+            return build(cuboid, [running[p.name].result() for p in parents(cuboid)])
+
+        with ThreadPoolExecutor(CONCURRENT_JOBS) as jobs:
+            submitted = inheritable_thread_target(self.spark)(after_parents)
+            # Parents are submitted first, so a waiting cuboid waits for one that runs.
+            for cuboid in cuboids.refresh_order(cube, parents):
+                running[cuboid.name] = jobs.submit(submitted, cuboid)
+        return [f.result() for f in running.values()]
+
+    def _refresh_in_buckets(self, cube: str, folder: str) -> list[Stored]:
+        """All cuboids of a cube, the large ones in buckets; the session forgets these when all are written."""
+        buckets = cuboids.bucket_count(self.row_count(FACT_OF[cube]), self.spark.sparkContext.defaultParallelism)
+        in_session: dict[str, str] = {}
+
+        def write(name: str, rows: DataFrame, key: str, by_year: bool) -> Stored:
+            path, table = f"{self.root}/{folder}/{name}-{uuid.uuid4().hex[:12]}", f"{name}_{uuid.uuid4().hex[:12]}"
+            counts, watch = self._counts(name)
+            keys = [k for k in (key, "product_key", "store_key", *ALL_TIME_COLUMNS[1:]) if k in rows.columns]
+            partition_by = "year" if by_year else None
+            write_buckets(
+                rows, path, table, buckets=buckets, key=key, sort_by=list(dict.fromkeys(keys)), partition_by=partition_by, watch=watch
+            )
+            in_session[name] = table
+            schema = ", ".join(f"`{column}` {kind}" for column, kind in rows.dtypes)
+            return Stored(name, path, schema, counts.get["row_count"], counts.get["measure_sum"])
+
+        def rows_of(name: str) -> DataFrame:
+            return self.spark.table(in_session[name])
+
+        def build(cuboid: cuboids.Cuboid, known: list[Stored]) -> Stored:
+            key = cuboids.bucket_key(cuboid)
+            parent = min(known, key=lambda p: p.row_count, default=None)
+            if parent is not None:
+                finer = cuboids.CUBOIDS[parent.name]
+                lies = parent.name in in_session
+                read = rows_of(parent.name) if lies else self._read(parent)
+                rows = cuboids.build_from(finer, read, cuboid, parent.row_count, in_buckets=lies)
+            elif cube == "inventory":
+                rows = cuboids.build(self, cuboid).repartition(buckets, key)
+            else:
+                whole = {"customer_key": "sales", "product_key": "sales_by_product"}[key]
+                rows = cuboids.known_sums(self, rows_of(whole), cuboid)
+            if key not in cuboids.CUBE_BUCKETS[cube]:
+                return self._write(cuboid.name, rows, folder, self._by_year(cuboid))
+            return write(cuboid.name, rows, key, cuboid.time != "none")
+
+        try:
+            passing = []
+            if cube == "sales":
+                passing.append(write("sales", cuboids.sales_with_attributes(self, buckets), "customer_key", False))
+                whole = cuboids.sales_by_product(self, rows_of("sales"), buckets)
+                passing.append(write("sales_by_product", whole, "product_key", False))
+            written = self._each(cube, cuboids.bucket_parents, build)
+        finally:
+            for table in in_session.values():
+                self.spark.sql(f"DROP TABLE IF EXISTS `{table}`")
+        for stored in passing:
+            drop_folder(self.spark, stored.path)
+        return written
+
     # --- refresh of what changed ---
 
     def _last_refresh(self, cube: str) -> tuple[str, str, dict[str, Stored]] | None:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from starlattice.operators import cuboids
 from starlattice.operators.cuboids import CUBOIDS, LATTICES, build, build_from, parents
 from starlattice.operators.navigate import choose
+from starlattice.sources import warehouse
+from starlattice.sources.storage import exists
 from starlattice.sources.warehouse import Warehouse
 
 TIME = ("year", "quarter", "month")
@@ -177,3 +179,82 @@ def test_choice(cube, needed, name):
     # A filter needs its column as a grouping does, unless it is inactive.
     as_filter = choose(cube, needed[1:], {"state": "All", needed[0]: 1}) if needed else chosen
     assert as_filter == chosen
+
+
+@pytest.mark.parametrize("cube", ["sales", "inventory"])
+def test_refresh_shuffles_rows_of_products_and_customers_once(spark, mini, tmp_path, monkeypatch, cube):
+    plans = {}
+
+    def seen(cuboid, rows):
+        plans[cuboid.name] = rows._jdf.queryExecution().executedPlan().toString()
+        return rows
+
+    def from_parent(parent, rows, cuboid, *args, **named):
+        return seen(cuboid, build_from(parent, rows, cuboid, *args, **named))
+
+    monkeypatch.setattr(cuboids, "build_from", from_parent)
+    whole = cuboids.known_sums if cube == "sales" else None
+    if whole:
+        monkeypatch.setattr(cuboids, "known_sums", lambda star, rows, cuboid: seen(cuboid, whole(star, rows, cuboid)))
+    Warehouse(spark, mini.builders(spark), str(tmp_path)).refresh_cuboids(cube)
+    large = [c.name for c in LATTICES[cube].values() if cuboids.bucket_key(c) and c.name != "olap_inv_base"]
+    assert len(large) == (32 if cube == "sales" else 15)
+    assert [name for name in large if "Exchange hashpartitioning" in plans[name]] == []
+
+
+@pytest.mark.parametrize("cube", ["sales", "inventory"])
+def test_refresh_with_large_dimensions(spark, mini, tmp_path, cube):
+    wh = Warehouse(spark, mini.builders(spark), str(tmp_path), broadcast_rows=0)
+    wh.refresh_cuboids(cube)
+    for cuboid in LATTICES[cube].values():
+        assert rows_of(wh.cuboid(cuboid.name), cuboid) == expected(mini, cuboid)
+
+
+@pytest.mark.parametrize("one_scan", [False, True])
+def test_refresh_of_hot_keys_has_no_buckets(spark, mini, tmp_path, monkeypatch, one_scan):
+    """Customer 3 has a third of all sales."""
+    monkeypatch.setattr(warehouse, "HOT_ROWS", 100)
+    wh = Warehouse(spark, mini.builders(spark), str(tmp_path))
+    monkeypatch.setattr(wh, "_refresh_in_buckets", None)
+    wh.refresh_cuboids("sales", one_scan=one_scan)
+    for cuboid in list(LATTICES["sales"].values())[::5]:
+        assert rows_of(wh.cuboid(cuboid.name), cuboid) == expected(mini, cuboid)
+
+
+def test_refresh_where_customers_stand_twice(spark, mini, tmp_path):
+    people = spark.createDataFrame(mini.dim_customer * 2, mini.SCHEMAS["dim_customer"])
+    wh = Warehouse(spark, mini.builders(spark) | {"dim_customer": lambda _: people}, str(tmp_path))
+    written = {w.name: (w.row_count, w.measure_sum) for w in wh.refresh_cuboids("sales")}
+    for name in ("olap_sales_base_info", "olap_sales_product_city", "olap_sales_time_product", "olap_sales_by_state"):
+        rows = build(wh, CUBOIDS[name])
+        assert written[name] == (rows.count(), rows.agg(F.sum("total_quantity")).first()[0])
+
+
+def test_refresh_with_facts_of_no_customer_product_or_month(spark, mini, tmp_path):
+    extra = [(None, 1, 2, 5, 7), (202301, None, 2, 6, 7), (202301, 1, None, 7, 7), (None, None, None, 8, 7)]
+    fact = spark.createDataFrame(mini.fact_sales, mini.SCHEMAS["fact_sales"]).union(
+        spark.createDataFrame(extra, "a int, b bigint, c bigint, d bigint, e int").withColumn("e", F.expr("cast(e as decimal(15,2))"))
+    )
+    wh = Warehouse(spark, mini.builders(spark) | {"fact_sales": lambda _: fact}, str(tmp_path))
+    written = {w.name: (w.row_count, w.measure_sum) for w in wh.refresh_cuboids("sales")}
+    for cuboid in list(LATTICES["sales"].values())[::3]:
+        rows = build(wh, cuboid)
+        assert written[cuboid.name] == (rows.count(), rows.agg(F.sum("total_quantity")).first()[0])
+
+
+def test_a_refresh_needs_one_fact_and_leaves_no_passing_table(spark, mini, tmp_path):
+    def not_needed(_):
+        raise AssertionError("the other fact is not needed")
+
+    wh = Warehouse(spark, mini.builders(spark) | {"fact_inventory": not_needed}, str(tmp_path))
+    written = wh.refresh_cuboids("sales")
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith(("olap_", "sales_"))] == []
+    assert all(exists(spark, w.path) for w in written)
+    folder = next((tmp_path / "refresh").iterdir())
+    assert sorted(f.name.rsplit("-", 1)[0] for f in folder.iterdir()) == sorted(LATTICES["sales"])
+
+
+def test_buckets_are_of_bounded_rows():
+    assert cuboids.bucket_count(None, 8) == cuboids.bucket_count(0, 8) == 1
+    assert cuboids.bucket_count(3_600_000, 8) == 8
+    assert cuboids.bucket_count(216_000_000, 12) == 216
