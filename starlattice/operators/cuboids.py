@@ -370,7 +370,8 @@ def sales_with_attributes(star: Star, buckets: int) -> DataFrame:
         .select("customer_key", "customer_type", "location_key", there.alias(KNOWN["dim_customer"]))
         .join(located(star).withColumn(KNOWN["dim_location"], there), "location_key", "left")
     )
-    people = F.broadcast(people) if star.is_small("dim_customer") else people
+    # Cut like the facts, so that the join adds no shuffle; it may take more parts, of which each has some buckets.
+    people = F.broadcast(people) if star.is_small("dim_customer") else people.repartition(buckets, "customer_key")
     placed = sales.repartition(buckets, "customer_key").join(people, "customer_key", "left")
     return placed.select(*FACT_KEYS, *OF_CUSTOMER, *MEASURES["sales"])
 

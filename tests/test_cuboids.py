@@ -254,6 +254,19 @@ def test_a_refresh_needs_one_fact_and_leaves_no_passing_table(spark, mini, tmp_p
     assert sorted(f.name.rsplit("-", 1)[0] for f in folder.iterdir()) == sorted(LATTICES["sales"])
 
 
+def test_sales_are_shuffled_once_to_many_customers(spark, mini, tmp_path):
+    wh = Warehouse(spark, mini.builders(spark), str(tmp_path), broadcast_rows=0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        rows = cuboids.sales_with_attributes(wh, 3)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(customer_key" in line]
+    assert len(shuffles) == 2 and len(set(line.split(", ")[1] for line in shuffles)) == 1
+
+
 def test_buckets_are_of_bounded_rows():
     assert cuboids.bucket_count(None, 8) == cuboids.bucket_count(0, 8) == 1
     assert cuboids.bucket_count(3_600_000, 8) == 8
