@@ -267,6 +267,17 @@ def test_sales_are_shuffled_once_to_many_customers(spark, mini, tmp_path):
     assert len(shuffles) == 2 and len(set(line.split(", ")[1] for line in shuffles)) == 1
 
 
+def test_one_scan_lies_in_buckets_where_keys_allow(spark, mini, tmp_path, monkeypatch):
+    def not_needed(star):
+        raise AssertionError("grouping sets are for keys that do not fit buckets")
+
+    monkeypatch.setattr(cuboids, "sales_roots_from_one_scan", not_needed)
+    wh = Warehouse(spark, mini.builders(spark), str(tmp_path))
+    wh.refresh_cuboids("sales", one_scan=True)
+    for name in ("olap_sales_base_info", "olap_sales_base_loc", "olap_sales_by_time"):
+        assert rows_of(wh.cuboid(name), CUBOIDS[name]) == expected(mini, CUBOIDS[name])
+
+
 def test_buckets_are_of_bounded_rows():
     assert cuboids.bucket_count(None, 8) == cuboids.bucket_count(0, 8) == 1
     assert cuboids.bucket_count(3_600_000, 8) == 8
