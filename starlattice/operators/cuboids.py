@@ -339,6 +339,9 @@ KNOWN = {"dim_time": "in_dim_time", "dim_customer": "in_dim_customer", "dim_loca
 OF_CUSTOMER = ("customer_type", "state", "city", KNOWN["dim_customer"], KNOWN["dim_location"])
 
 
+# What rides along in the buckets of a cuboid by customer and type: a customer has one of each.
+RIDING = ("state", "city", KNOWN["dim_location"])
+
 # Stock by store without product is small.
 CUBE_BUCKETS = {"sales": ("customer_key", "product_key"), "inventory": ("product_key",)}
 
@@ -350,6 +353,18 @@ def bucket_key(cuboid: Cuboid) -> str | None:
     return "product_key" if cuboid.product else None
 
 
+def twin(cuboid: Cuboid) -> Cuboid | None:
+    """For a cuboid by customer and place the one by customer and type: it has the same groups and those without a place."""
+    if cuboid.place != "customer_loc":
+        return None
+    return Cuboid(cuboid.cube, cuboid.time, cuboid.product, "customer_info")
+
+
+def riding(cuboid: Cuboid, rows: DataFrame) -> tuple[str, ...]:
+    """The columns of `rows` that ride along in the buckets of `cuboid`."""
+    return RIDING if cuboid.place == "customer_info" and set(RIDING) <= set(rows.columns) else ()
+
+
 def bucket_count(count: int | None, parallelism: int) -> int:
     """Buckets of at most about `PART_ROWS` rows; of fewer where there would be less buckets than cores."""
     rows = min(PART_ROWS, max(PART_ROWS // 20, (count or 0) // max(parallelism, 1)))
@@ -386,13 +401,19 @@ def sales_by_product(star: Star, sales: DataFrame, buckets: int) -> DataFrame:
 
 
 def known_sums(star: Star, rows: DataFrame, cuboid: Cuboid) -> DataFrame:
-    """A sales cuboid from all sales, by customer or by product: of those that its dimensions know."""
+    """A sales cuboid from all sales, by customer or by product: of those that its dimensions know.
+
+    The fact has one row per month, product and customer, so with these there is nothing to sum.
+    """
     known = {table for table in cuboid.dimension_tables if KNOWN[table] in rows.columns}
     for table in sorted(known):
         rows = rows.where(KNOWN[table])
     if "dim_time" in cuboid.dimension_tables - known:
         rows = with_time(rows, star, TIME_COLUMNS[cuboid.time])
-    return sums(rows, cuboid.dimensions, cuboid.measures)
+    columns = (*cuboid.dimensions, *riding(cuboid, rows))
+    if {*ALL_TIME_COLUMNS, "product_key", "customer_key"} <= set(columns):
+        return rows.select(*columns, *[F.col(m).cast(t).alias(m) for m, t in MEASURES["sales"].items()])
+    return sums(rows, columns, cuboid.measures)
 
 
 # --- building one cuboid from another ---------------------------------------
@@ -421,7 +442,10 @@ def parents(cuboid: Cuboid) -> list[Cuboid]:
 def build_from(
     parent: Cuboid, rows: DataFrame, cuboid: Cuboid, count: int | None = None, *, in_buckets: bool = False
 ) -> DataFrame:
-    """`cuboid` from the rows, at most `count`, of one of its parents; rows that lie in buckets are not shuffled."""
+    """`cuboid` from the rows, at most `count`, of one of its parents; rows that lie in buckets are not shuffled.
+
+    From its twin in buckets a cuboid is a selection of rows and columns.
+    """
     if cuboid.cube == "inventory" and cuboid.time != parent.time:
         period = rows.withColumn("period", F.col("year") * 100 + F.col("month"))
         time = TIME_COLUMNS[cuboid.time]
@@ -429,7 +453,9 @@ def build_from(
             period, time, "total_quantity_on_hand", "period", ("city", "state"), count, in_place=in_buckets
         )
         return rows.select(*cuboid.dimensions, *cuboid.measures)
-    return sums(rows, cuboid.dimensions, cuboid.measures)
+    if parent == twin(cuboid):
+        return rows.where(KNOWN["dim_location"]).select(*cuboid.dimensions, *cuboid.measures)
+    return sums(rows, (*cuboid.dimensions, *riding(cuboid, rows)), cuboid.measures)
 
 
 def smallest_parents(cuboid: Cuboid) -> list[Cuboid]:
@@ -439,8 +465,10 @@ def smallest_parents(cuboid: Cuboid) -> list[Cuboid]:
 
 
 def bucket_parents(cuboid: Cuboid) -> list[Cuboid]:
-    """Its parents with the fewest columns among those that lie in the same buckets; of a small cuboid, among all."""
-    key = bucket_key(cuboid)
+    """Its twin, or its parents with the fewest columns among those that lie in the same buckets; of a small cuboid, among all."""
+    key, other = bucket_key(cuboid), twin(cuboid)
+    if other is not None:
+        return [other]
     found = [p for p in parents(cuboid) if key is None or bucket_key(p) == key]
     return [p for p in found if len(p.dimensions) == len(found[0].dimensions)]
 

@@ -359,7 +359,7 @@ class Warehouse:
         buckets = cuboids.bucket_count(self.row_count(FACT_OF[cube]), self.spark.sparkContext.defaultParallelism)
         in_session: dict[str, str] = {}
 
-        def write(name: str, rows: DataFrame, key: str, by_year: bool) -> Stored:
+        def write(name: str, rows: DataFrame, key: str, by_year: bool, riding: tuple[str, ...] = ()) -> Stored:
             path, table = f"{self.root}/{folder}/{name}-{uuid.uuid4().hex[:12]}", f"{name}_{uuid.uuid4().hex[:12]}"
             counts, watch = self._counts(name)
             keys = [k for k in (key, "product_key", "store_key", *ALL_TIME_COLUMNS[1:]) if k in rows.columns]
@@ -368,7 +368,7 @@ class Warehouse:
                 rows, path, table, buckets=buckets, key=key, sort_by=list(dict.fromkeys(keys)), partition_by=partition_by, watch=watch
             )
             in_session[name] = table
-            schema = ", ".join(f"`{column}` {kind}" for column, kind in rows.dtypes)
+            schema = ", ".join(f"`{column}` {kind}" for column, kind in rows.dtypes if column not in riding)
             return Stored(name, path, schema, counts.get["row_count"], counts.get["measure_sum"])
 
         def rows_of(name: str) -> DataFrame:
@@ -389,7 +389,7 @@ class Warehouse:
                 rows = cuboids.known_sums(self, rows_of(whole), cuboid)
             if key not in cuboids.CUBE_BUCKETS[cube]:
                 return self._write(cuboid.name, rows, folder, self._by_year(cuboid))
-            return write(cuboid.name, rows, key, cuboid.time != "none")
+            return write(cuboid.name, rows, key, cuboid.time != "none", cuboids.riding(cuboid, rows))
 
         try:
             passing = []

@@ -202,6 +202,26 @@ def test_refresh_shuffles_rows_of_products_and_customers_once(spark, mini, tmp_p
     assert [name for name in large if "Exchange hashpartitioning" in plans[name]] == []
 
 
+def test_cuboids_by_customer_and_place_are_not_summed_again(spark, mini, tmp_path, monkeypatch):
+    plans = {}
+
+    def seen(cuboid, rows):
+        plans[cuboid.name] = rows._jdf.queryExecution().executedPlan().toString()
+        return rows
+
+    whole = cuboids.known_sums
+    monkeypatch.setattr(cuboids, "build_from", lambda parent, rows, cuboid, *args, **named: seen(cuboid, build_from(parent, rows, cuboid, *args, **named)))
+    monkeypatch.setattr(cuboids, "known_sums", lambda star, rows, cuboid: seen(cuboid, whole(star, rows, cuboid)))
+    wh = Warehouse(spark, mini.builders(spark), str(tmp_path))
+    wh.refresh_cuboids("sales", one_scan=True)
+    by_place = [c for c in LATTICES["sales"].values() if c.place == "customer_loc"]
+    assert len(by_place) == 8
+    assert [c.name for c in (*by_place, CUBOIDS["olap_sales_base_info"]) if "Aggregate" in plans[c.name]] == []
+    for cuboid in LATTICES["sales"].values():
+        assert rows_of(wh.cuboid(cuboid.name), cuboid) == expected(mini, cuboid)
+        assert set(wh.cuboid(cuboid.name).columns) == {*cuboid.dimensions, *cuboid.measures}
+
+
 @pytest.mark.parametrize("cube", ["sales", "inventory"])
 def test_refresh_with_large_dimensions(spark, mini, tmp_path, cube):
     wh = Warehouse(spark, mini.builders(spark), str(tmp_path), broadcast_rows=0)
