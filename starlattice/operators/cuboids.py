@@ -371,6 +371,14 @@ def bucket_count(count: int | None, parallelism: int) -> int:
     return max(1, math.ceil((count or 0) / rows))
 
 
+def dividing(buckets: int, parts: int) -> int:
+    """As many buckets, or up to twice as many so that they divide the larger number of parts a shuffle may take.
+
+    A part then has rows of one bucket, because both are the hash of the key modulo their number.
+    """
+    return next((n for n in range(buckets, min(parts, 2 * buckets) + 1) if parts % n == 0), buckets)
+
+
 def sales_with_attributes(star: Star, buckets: int) -> DataFrame:
     """All sales with what the dimensions know of their customers, in one shuffle by customer.
 
@@ -385,7 +393,7 @@ def sales_with_attributes(star: Star, buckets: int) -> DataFrame:
         .select("customer_key", "customer_type", "location_key", there.alias(KNOWN["dim_customer"]))
         .join(located(star).withColumn(KNOWN["dim_location"], there), "location_key", "left")
     )
-    # Cut like the facts, so that the join adds no shuffle; it may take more parts, of which each has some buckets.
+    # Cut like the facts, so that the join adds no shuffle; it may take more parts (`dividing`).
     people = F.broadcast(people) if star.is_small("dim_customer") else people.repartition(buckets, "customer_key")
     placed = sales.repartition(buckets, "customer_key").join(people, "customer_key", "left")
     return placed.select(*FACT_KEYS, *OF_CUSTOMER, *MEASURES["sales"])

@@ -44,6 +44,9 @@ AS_OF = date(2001, 12, 31)
 # Rows of one customer or product that one task of a refresh may take.
 HOT_ROWS = 4_000_000
 
+# Where true, Spark reads in buckets only for a sum or join.
+AUTO_BUCKETED_SCAN = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+
 # Refreshes of a cube that stay for readers of an earlier one.
 KEPT_REFRESHES = 2
 
@@ -357,6 +360,8 @@ class Warehouse:
     def _refresh_in_buckets(self, cube: str, folder: str) -> list[Stored]:
         """All cuboids of a cube, the large ones in buckets; the session forgets these when all are written."""
         buckets = cuboids.bucket_count(self.row_count(FACT_OF[cube]), self.spark.sparkContext.defaultParallelism)
+        if cube == "sales":
+            buckets = cuboids.dividing(buckets, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
         in_session: dict[str, str] = {}
 
         def write(name: str, rows: DataFrame, key: str, by_year: bool, riding: tuple[str, ...] = ()) -> Stored:
@@ -391,6 +396,9 @@ class Warehouse:
                 return self._write(cuboid.name, rows, folder, self._by_year(cuboid))
             return write(cuboid.name, rows, key, cuboid.time != "none", cuboids.riding(cuboid, rows))
 
+        # A plain selection would be read by file, and each task would write to most buckets.
+        as_set = self.spark.conf.get(AUTO_BUCKETED_SCAN)
+        self.spark.conf.set(AUTO_BUCKETED_SCAN, "false")
         try:
             passing = []
             if cube == "sales":
@@ -399,6 +407,7 @@ class Warehouse:
                 passing.append(write("sales_by_product", whole, "product_key", False))
             written = self._each(cube, cuboids.bucket_parents, build)
         finally:
+            self.spark.conf.set(AUTO_BUCKETED_SCAN, as_set)
             for table in in_session.values():
                 self.spark.sql(f"DROP TABLE IF EXISTS `{table}`")
         for stored in passing:

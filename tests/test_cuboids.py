@@ -217,6 +217,7 @@ def test_cuboids_by_customer_and_place_are_not_summed_again(spark, mini, tmp_pat
     by_place = [c for c in LATTICES["sales"].values() if c.place == "customer_loc"]
     assert len(by_place) == 8
     assert [c.name for c in (*by_place, CUBOIDS["olap_sales_base_info"]) if "Aggregate" in plans[c.name]] == []
+    assert [c.name for c in by_place if "Bucketed: true" not in plans[c.name]] == []
     for cuboid in LATTICES["sales"].values():
         assert rows_of(wh.cuboid(cuboid.name), cuboid) == expected(mini, cuboid)
         assert set(wh.cuboid(cuboid.name).columns) == {*cuboid.dimensions, *cuboid.measures}
@@ -302,3 +303,8 @@ def test_buckets_are_of_bounded_rows():
     assert cuboids.bucket_count(None, 8) == cuboids.bucket_count(0, 8) == 1
     assert cuboids.bucket_count(3_600_000, 8) == 8
     assert cuboids.bucket_count(216_000_000, 12) == 216
+
+
+def test_a_part_of_the_shuffle_has_rows_of_one_bucket():
+    assert [cuboids.dividing(n, 200) for n in (1, 9, 11, 36, 101, 200, 216)] == [1, 10, 20, 40, 200, 200, 216]
+    assert cuboids.dividing(3, 1) == 3 and cuboids.dividing(9, 211) == 9
