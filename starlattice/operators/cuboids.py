@@ -345,6 +345,9 @@ RIDING = ("state", "city", KNOWN["dim_location"])
 # Stock by store without product is small.
 CUBE_BUCKETS = {"sales": ("customer_key", "product_key"), "inventory": ("product_key",)}
 
+# Read from the fact: in its files, which have few months each, the products of a store fold before the shuffle; a bucket has few of them.
+FROM_MONTHS = "olap_inv_time_store"
+
 
 def bucket_key(cuboid: Cuboid) -> str | None:
     """The column by which a large cuboid lies in buckets, so that the next is summed from it without a shuffle."""
@@ -399,6 +402,35 @@ def sales_with_attributes(star: Star, buckets: int) -> DataFrame:
     return placed.select(*FACT_KEYS, *OF_CUSTOMER, *MEASURES["sales"])
 
 
+def stock_by_product(star: Star, buckets: int) -> DataFrame:
+    """The finest stock cuboid, in one shuffle by product.
+
+    What is few enough to broadcast is attached behind it: then stock moves by its keys alone, and
+    where stores are many with the key of their location.
+    """
+    cuboid = CUBOIDS["olap_inv_base"]
+    stock = star.table("fact_inventory").select("time_key", "product_key", "store_key", "quantity_on_hand")
+    few_places = star.is_small("dim_location")
+    if few_places and star.is_small("dim_store"):
+        moved = stock.repartition(buckets, "product_key")
+        placed = moved.join(F.broadcast(store_attributes(star, ("city", "state"))), "store_key")
+    elif few_places:
+        stores = star.table("dim_store").select("store_key", "location_key")
+        placed = stock.join(stores, "store_key").repartition(buckets, "product_key").join(located(star), "location_key")
+    else:
+        stores = store_attributes(star, ("city", "state"))
+        placed = stock.join(stores, "store_key").repartition(buckets, "product_key")
+    rows = with_time(placed, star, ALL_TIME_COLUMNS)
+    held = F.col("quantity_on_hand").cast(QUANTITY_TOTAL).alias("total_quantity_on_hand")
+    return rows.select(*cuboid.dimensions, held)
+
+
+def stock_by_store(star: Star) -> DataFrame:
+    """Stock by month and store, from the fact; a store that stands twice in its dimension is one row of both."""
+    cuboid = CUBOIDS[FROM_MONTHS]
+    return sums(build(star, cuboid), cuboid.dimensions, cuboid.measures)
+
+
 def sales_by_product(star: Star, sales: DataFrame, buckets: int) -> DataFrame:
     """Rows of `sales_with_attributes` with their months, summed over customers, in one shuffle by product."""
     measures = tuple(MEASURES["sales"])
@@ -473,10 +505,15 @@ def smallest_parents(cuboid: Cuboid) -> list[Cuboid]:
 
 
 def bucket_parents(cuboid: Cuboid) -> list[Cuboid]:
-    """Its twin, or its parents with the fewest columns among those that lie in the same buckets; of a small cuboid, among all."""
+    """Its twin, or its parents with the fewest columns among those that lie in the same buckets; of a small cuboid, among all.
+
+    Without any, it is read from the fact.
+    """
     key, other = bucket_key(cuboid), twin(cuboid)
     if other is not None:
         return [other]
+    if cuboid.name == FROM_MONTHS:
+        return []
     found = [p for p in parents(cuboid) if key is None or bucket_key(p) == key]
     return [p for p in found if len(p.dimensions) == len(found[0].dimensions)]
 

@@ -388,7 +388,7 @@ class Warehouse:
                 read = rows_of(parent.name) if lies else self._read(parent)
                 rows = cuboids.build_from(finer, read, cuboid, parent.row_count, in_buckets=lies)
             elif cube == "inventory":
-                rows = cuboids.build(self, cuboid).repartition(buckets, key)
+                rows = cuboids.stock_by_product(self, buckets) if key else cuboids.stock_by_store(self)
             else:
                 whole = {"customer_key": "sales", "product_key": "sales_by_product"}[key]
                 rows = cuboids.known_sums(self, rows_of(whole), cuboid)

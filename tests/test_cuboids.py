@@ -1,5 +1,6 @@
 """The lattice, its builders on small and large dimensions, and the refresh."""
 
+import re
 from collections import defaultdict
 
 import pytest
@@ -288,6 +289,66 @@ def test_sales_are_shuffled_once_to_many_customers(spark, mini, tmp_path):
     assert len(shuffles) == 2 and len(set(line.split(", ")[1] for line in shuffles)) == 1
 
 
+def below_shuffle(rows, key):
+    """The lines of the plan that stand below its shuffle by `key`."""
+    lines = rows._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(lines) if f"Exchange hashpartitioning({key}" in line)
+    depth = [len(re.match(r"[\s:+-]*", line).group()) for line in lines]
+    end = next((i for i in range(at + 1, len(lines)) if depth[i] <= depth[at]), len(lines))
+    return lines[at + 1 : end]
+
+
+def test_stock_moves_by_its_keys_in_a_refresh(spark, mini, tmp_path, monkeypatch):
+    below = {}
+
+    def seen(df, path, table, **named):
+        if table.startswith("olap_inv_base_"):
+            below["base"] = below_shuffle(df, "product_key")
+        return write_buckets(df, path, table, **named)
+
+    write_buckets = warehouse.write_buckets
+    monkeypatch.setattr(warehouse, "write_buckets", seen)
+    monkeypatch.setattr(cuboids, "bucket_count", lambda count, parallelism: 3)
+    Warehouse(spark, mini.builders(spark), str(tmp_path)).refresh_cuboids("inventory")
+    assert [line for line in below["base"] if "Join" in line or "city" in line] == []
+
+
+def test_stock_of_many_stores_moves_without_their_places(spark, mini, tmp_path):
+    few = Warehouse(spark, mini.builders(spark), str(tmp_path), broadcast_rows=6)
+    assert few.is_small("dim_location") and not few.is_small("dim_store")
+    rows = cuboids.stock_by_product(few, 3)
+    assert [line for line in below_shuffle(rows, "product_key") if "city" in line] == []
+    assert rows_of(rows, CUBOIDS["olap_inv_base"]) == expected(mini, CUBOIDS["olap_inv_base"])
+    few.refresh_cuboids("inventory")
+    for cuboid in LATTICES["inventory"].values():
+        assert rows_of(few.cuboid(cuboid.name), cuboid) == expected(mini, cuboid)
+
+
+def test_stock_by_month_and_store_of_a_refresh_comes_from_the_fact(spark, mini, tmp_path, monkeypatch):
+    parents_of = {}
+
+    def seen(parent, rows, cuboid, *args, **named):
+        parents_of[cuboid.name] = parent.name
+        return build_from(parent, rows, cuboid, *args, **named)
+
+    monkeypatch.setattr(cuboids, "build_from", seen)
+    Warehouse(spark, mini.builders(spark), str(tmp_path)).refresh_cuboids("inventory")
+    assert "olap_inv_time_store" not in parents_of
+    assert parents_of["olap_inv_month_city"] == "olap_inv_time_store"
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 6, 100])
+def test_refresh_where_stores_stand_twice(spark, mini, tmp_path, broadcast_rows):
+    stores = spark.createDataFrame(mini.dim_store * 2, mini.SCHEMAS["dim_store"])
+    wh = Warehouse(spark, mini.builders(spark) | {"dim_store": lambda _: stores}, str(tmp_path), broadcast_rows=broadcast_rows)
+    wh.refresh_cuboids("inventory")
+    for name in ("olap_inv_time_store", "olap_inv_month_product_city", "olap_inv_by_time"):
+        cuboid = CUBOIDS[name]
+        once = Warehouse(spark, mini.builders(spark))
+        twice = build(once, cuboid).withColumn("total_quantity_on_hand", F.col("total_quantity_on_hand") * 2)
+        assert rows_of(wh.cuboid(name), cuboid) == rows_of(twice, cuboid)
+
+
 def test_one_scan_lies_in_buckets_where_keys_allow(spark, mini, tmp_path, monkeypatch):
     def not_needed(star):
         raise AssertionError("grouping sets are for keys that do not fit buckets")
