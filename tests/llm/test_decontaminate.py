@@ -49,6 +49,34 @@ def test_against_brute_force(spark, monkeypatch, block):
     assert long.n_words == 12_000 and long.n_hit <= 12_000
 
 
+def test_the_texts_are_read_once_for_any_number_of_windows(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", 10)
+    # Few bits, so that many places pass which are in no window.
+    monkeypatch.setattr(decontaminate, "BITS_A_HASH", 1)
+    written, plain = [], decontaminate.stored
+    monkeypatch.setattr(decontaminate, "stored", lambda rows, name: written.append(name) or plain(rows, name))
+    rng = random.Random(11)
+    text = lambda n: " ".join(rng.choices([f"w{i}" for i in range(25)], k=n))
+    docs = [(i, text(rng.randint(0, 120))) for i in range(80)] + [(80, text(4000))]
+    items = [(i, text(rng.randint(3, 14))) for i in range(60)]
+    items += [(100 + i, " ".join(words(docs[i][1])[5:15])) for i in range(20)] + [(200, " ".join(words(docs[80][1])[-9:]))]
+    got = decontaminate.contamination(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), 4
+    )
+    assert {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in got.collect()} == {d: brute(t, items, 4) for d, t in docs}
+    assert written.count("shingle-places") == 1
+
+
+def test_items_of_one_text_are_one_text(spark):
+    copies = [(i, "Same five words, each time") for i in range(300)] + [(7, "same FIVE words each time"), (7, "five words alone")]
+    items = spark.createDataFrame(copies, "item_id long, text string")
+    windows, owners, texts = decontaminate.item_windows(items, 4)
+    assert (windows.count(), owners.count(), texts.count()) == (3, 3, 2)
+    docs = spark.createDataFrame([(1, "the same five words each time"), (2, "five words alone"), (3, "no")], "doc_id long, text string")
+    found = {r.doc_id: r["items"] for r in decontaminate.contamination(docs, items, 4).collect()}
+    assert found == {1: sorted(str(i) for i in range(300)), 2: ["7"], 3: []}
+
+
 def test_dropping_keeps_columns_and_clean_rows(spark):
     docs = messy.documents(spark)
     passage = docs.where("doc_id = 1").first().text
