@@ -369,3 +369,43 @@ def test_buckets_are_of_bounded_rows():
 def test_a_part_of_the_shuffle_has_rows_of_one_bucket():
     assert [cuboids.dividing(n, 200) for n in (1, 9, 11, 36, 101, 200, 216)] == [1, 10, 20, 40, 200, 200, 216]
     assert cuboids.dividing(3, 1) == 3 and cuboids.dividing(9, 211) == 9
+
+
+@pytest.mark.parametrize("cube, hot, broadcast_rows", [("sales", False, 0), ("sales", True, 100), ("inventory", False, 0)])
+def test_changed_years_give_a_whole_refresh(spark, mini, tmp_path, monkeypatch, cube, hot, broadcast_rows):
+    """A year comes in part and late: it alone is summed anew, in buckets unless keys are hot, and each fact is cut once for a key."""
+    if hot:
+        monkeypatch.setattr(warehouse, "HOT_ROWS", 10)
+    version = ["first"]
+    plain = mini.builders(spark)
+
+    def fact(star, name):
+        late = (F.col("time_key") > 202400) & (F.col("product_key") % 3 == 0) & (F.lit(version[0]) == "first")
+        return plain[name](star).where(~late)
+
+    names = {"fact_sales", "fact_inventory"}
+    wh = Warehouse(
+        spark,
+        plain | {name: (lambda star, n=name: fact(star, n)) for name in names},
+        str(tmp_path),
+        views=frozenset(plain),
+        broadcast_rows=broadcast_rows,
+        version=lambda: version[0],
+        changed_years=lambda cube, before: [2024],
+    )
+    wh.refresh_cuboids(cube)
+    version[0] = "second"
+    built, build_one = [], cuboids.build
+    monkeypatch.setattr(cuboids, "build", lambda star, cuboid: built.append(cuboid.name) or build_one(star, cuboid))
+    written = {w.name: w for w in wh.refresh_changed(cube)}
+    assert set(written) == set(LATTICES[cube])
+    # Before, each cuboid without a parent was summed from the fact for itself.
+    assert set(built) <= {cuboids.FROM_MONTHS} or (hot and cube == "sales")
+    for cuboid in LATTICES[cube].values():
+        rows = expected(mini, cuboid)
+        assert rows_of(wh.cuboid(cuboid.name), cuboid) == rows, cuboid.name
+        assert written[cuboid.name].row_count == len(rows)
+        assert written[cuboid.name].measure_sum == sum(v[0] for v in rows.values())
+    left = {f.name.rsplit("-", 1)[0] for f in next((tmp_path / "refresh").iterdir()).iterdir()}
+    assert left - {f"{name}-by" for name in LATTICES[cube]} == set(LATTICES[cube])
+    assert not spark.catalog.listTables()
